@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .kpi import DURATION
 from .quality import VALID
+from .references import distinct_keys
 
 
 def enrich(fact: DataFrame, da: DataFrame, dr: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ class CrossFilter:
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Selected flights, selected bookings, and the payments of those bookings."""
         bookings = self.shared(fb)
-        kept = bookings.select("booking_id").distinct()
+        kept = distinct_keys(bookings, "booking_id")
         return self.flights(ff), bookings, fp.join(kept, "booking_id", "left_semi")
 
 

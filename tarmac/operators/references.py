@@ -8,6 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_keys(df: DataFrame, key: str) -> DataFrame:
+    """The distinct values of ``key``, laid out so that a join on it shuffles them once more.
+
+    A join that found them already partitioned by ``key`` would read them in place, and adaptive
+    execution splits a hot key of the other side only where both sides come from a shuffle made
+    for the join. The keys are narrow, the other side is not.
+    """
+    hashed = df.select(key, F.xxhash64(key).alias("key_hash"))
+    return hashed.distinct().select(key)
+
+
 def match_parent(
     child: DataFrame, parent: DataFrame, key: str, found: str, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -29,7 +40,7 @@ def split_orphans(
     flags = []
     for i, (parent, key) in enumerate(parents):
         flag = f"has_parent_{i}"
-        checked = match_parent(checked, parent.select(key).distinct(), key, flag)
+        checked = match_parent(checked, distinct_keys(parent, key), key, flag)
         flags.append(F.col(flag))
     complete = flags[0]
     for flag in flags[1:]:

@@ -145,6 +145,9 @@ class Airline:
 
     def conflicting_flights(self) -> DataFrame:
         """All distinct rows of the flight ids that occur with different attributes."""
+        return self.stage.table("work/conflicting_flights", self._find_conflicting_flights)
+
+    def _find_conflicting_flights(self) -> DataFrame:
         keys = self.stage.table(
             "work/conflicting_flight_ids",
             lambda: self.resolved_flights().where(CONFLICT).select("flight_id"),
@@ -277,22 +280,32 @@ class Airline:
         )
 
     def judged_bookings(self) -> DataFrame:
-        """Checked bookings with payment totals; ``rejected`` also if a booking with the id is an orphan."""
+        """Checked bookings with payment totals; ``rejected`` if one with the same id is an orphan."""
+        return self.stage.table("work/judged_bookings", self._judge_bookings)
+
+    def _judge_bookings(self) -> DataFrame:
         ledger = self.booking_ledger().drop("has_booking")
-        df = self.checked_bookings().where(~F.col(CONFLICT)).join(ledger, "booking_id", "left")
+        df = self.checked_bookings().where(~F.col(CONFLICT)).drop(CONFLICT, COPIES, A.FINDINGS)
         rejected = F.col("is_orphan") | F.coalesce("has_orphan", F.lit(False))
-        return df.withColumn("rejected", rejected)
+        return df.join(ledger, "booking_id", "left").withColumn("rejected", rejected)
 
     def orphan_bookings(self) -> DataFrame:
+        """Bookings without flight or passenger, and those that share an id with one."""
         return self.judged_bookings().where("rejected")
 
-    def _surviving_booking_ids(self) -> DataFrame:
-        known = F.col("has_booking") & ~F.col("has_orphan") & F.col("booking_id").isNotNull()
-        return self.booking_ledger().where(known).select("booking_id")
+    def judged_payments(self) -> DataFrame:
+        """Distinct payments with an amount, and whether their booking survived."""
+        return self.stage.table("work/judged_payments", self._judge_payments)
+
+    def _judge_payments(self) -> DataFrame:
+        survived = F.col("has_booking") & ~F.col("has_orphan") & F.col("booking_id").isNotNull()
+        bookings = self.booking_ledger().where(survived)
+        payments = self._amounts().drop(CONFLICT, COPIES, A.FINDINGS)
+        return match_parent(payments, bookings, "booking_id", "has_booking")
 
     def orphan_payments(self) -> DataFrame:
         """Payments with an amount whose booking did not survive."""
-        return self._amounts().join(self._surviving_booking_ids(), "booking_id", "left_anti")
+        return self.judged_payments().where(~F.col("has_booking"))
 
     # --- curated tables ----------------------------------------------------------------------
 
@@ -304,7 +317,7 @@ class Airline:
                 self.judged_bookings().where(~F.col("rejected"))
             ),
             "fact_payments": lambda: M.fact_payments(
-                self._amounts().join(self._surviving_booking_ids(), "booking_id", "left_semi")
+                self.judged_payments().where("has_booking")
             ),
             "dim_passengers": lambda: allowlist(
                 self.resolved_passengers().where(~F.col(CONFLICT)), ANALYTICAL
