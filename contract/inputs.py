@@ -96,10 +96,10 @@ def _render(text: str, table, minutes_later) -> str:
     return text.strip()
 
 
-def spark_sql(name: str, sf_dir: str) -> str:
+def spark_sql(name: str) -> str:
     return _render(
         RAW_SQL[name],
-        lambda t: f"parquet.`{sf_dir}/{t}.parquet`",
+        lambda t: "{" + t + "}",
         lambda m: f"timestampadd(MINUTE, cast({m} as int), o_orderdate)",
     )
 
@@ -111,4 +111,9 @@ def duckdb_sql(name: str) -> str:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.sql(spark_sql(name, sf_dir)) for name in RAW_SQL}
+    sources = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _SOURCES}
+    tables = {}
+    for name in RAW_SQL:
+        text = spark_sql(name)
+        tables[name] = spark.sql(text, **{t: df for t, df in sources.items() if "{" + t + "}" in text})
+    return tables

@@ -31,8 +31,19 @@ def parse_ts(df: DataFrame, *cols: str, formats: Sequence[str] = ()) -> DataFram
 
 
 def duration_minutes(start: Column, end: Column) -> Column:
-    """Fractional minutes from ``start`` to ``end``."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(6e7)
+    """Fractional minutes from ``start`` to ``end`` on the clock, whatever the session's time zone.
+
+    Taken from the interval between the two: a difference of timestamps would first place them
+    in the time zone and be an hour off across a clock change.
+    """
+    gap = end - start
+
+    def part(unit: str) -> Column:
+        return F.extract(F.lit(unit), gap)
+
+    minutes = (part("DAY").cast("long") * F.lit(24) + part("HOUR")) * F.lit(60) + part("MINUTE")
+    micros = minutes * F.lit(60_000_000) + (part("SECOND") * F.lit(1_000_000)).cast("long")
+    return micros / F.lit(6e7)
 
 
 def overnight_rollover(

@@ -21,9 +21,9 @@ AUDIT_COLUMNS = [
 
 
 def finding(rule: Rule, when: Column, **parts: Column) -> Column:
-    """The rule as a struct where ``when`` holds, else NULL.
+    """A list with the rule where ``when`` holds, else an empty one.
 
-    ``parts`` fill ``{name}`` at the end of the rule's issue text from columns of the row.
+    ``parts`` fill ``{name}`` in the rule's issue text from columns of the row.
     """
     issue = F.lit(rule.issue)
     for name, value in parts.items():
@@ -34,15 +34,13 @@ def finding(rule: Rule, when: Column, **parts: Column) -> Column:
         F.lit(rule.severity).alias("severity"),
         F.lit(rule.action).alias("action"),
     )
-    return F.when(when, event)
+    return F.when(when, F.array(event)).otherwise(F.array())
 
 
 def tag(df: DataFrame, *findings: Column) -> DataFrame:
     """Append the findings that apply to the row's list."""
-    new = F.array_compact(F.array(*findings))
-    if FINDINGS in df.columns:
-        new = F.concat(F.col(FINDINGS), new)
-    return df.withColumn(FINDINGS, new)
+    known = [F.col(FINDINGS)] if FINDINGS in df.columns else []
+    return df.withColumn(FINDINGS, F.concat(*known, *findings))
 
 
 def audit_log(tagged: DataFrame, record_id: str, dataset: str, run_ts: str) -> DataFrame:

@@ -38,7 +38,7 @@ from ..operators.quantiles import flag_above, iqr_upper_bounds
 from ..operators.references import match_parent
 from ..schemas import CURATED, REQUIRED, require_columns
 from ..sources.curated import export_csv, write_audit, write_quarantine
-from ..sources.staging import StagedTables
+from ..sources.staging import StagedTables, build_together
 
 ROUTE = ["source", "destination"]
 DURATION = "calculated_duration_mins"
@@ -334,6 +334,18 @@ class Airline:
         return self.stage.table(f"curated/{name}.parquet", builders[name])
 
     def tables(self) -> dict[str, DataFrame]:
+        """The whole star schema."""
+        build_together(
+            lambda: self.table("fact_flights"),
+            lambda: self.table("dim_passengers"),
+            self.parsed_payments,
+        )
+        build_together(
+            lambda: self.table("fact_bookings"),
+            lambda: self.table("dim_airline"),
+            lambda: self.table("dim_route"),
+        )
+        build_together(lambda: self.table("fact_payments"), lambda: self.table("dim_date"))
         return {name: self.table(name) for name in CURATED}
 
     # --- quarantine, audit, reconciliation ---------------------------------------------------
@@ -384,6 +396,9 @@ class Airline:
 
     def audit(self) -> DataFrame:
         """Every audit event of the run."""
+        return self.stage.table("work/audit", self._audit)
+
+    def _audit(self) -> DataFrame:
         ts = self.run_ts
 
         def whole(df: DataFrame, key: str, dataset: str, rule: R.Rule) -> DataFrame:

@@ -8,8 +8,11 @@ a hint in the code.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,18 +39,26 @@ class StagedTables:
         self.spark = spark
         self.root = (root or f"{shared_folder(spark)}/tarmac-{uuid.uuid4().hex}").rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table, written first if this run has not done so or its files are gone."""
-        if name in self._schemas:
-            try:
-                return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
-            except AnalysisException:
-                del self._schemas[name]
-        df = build()
-        df.write.mode("overwrite").parquet(self.path(name))
-        self._schemas[name] = df.schema
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
+        with self._locks[name]:
+            if name in self._schemas:
+                try:
+                    return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
+                except AnalysisException:
+                    del self._schemas[name]
+            df = build()
+            df.write.mode("overwrite").parquet(self.path(name))
+            self._schemas[name] = df.schema
+            return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+
+def build_together(*builds: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Build tables that do not depend on each other at the same time, so none waits for cores."""
+    with ThreadPoolExecutor(len(builds)) as pool:
+        return list(pool.map(lambda build: build(), builds))
