@@ -15,28 +15,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def frequencies(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """How often each value occurs in each group (``n``); rows with a NULL in either are left out."""
-    return (
-        df.select(*by, value).dropna().groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    )
+def frequencies(
+    df: DataFrame, by: Sequence[str], value: str, range_width: float = 1.0
+) -> DataFrame:
+    """How often (``n``) each value occurs in each group, and the range of values it belongs to.
+
+    Rows with a NULL in group or value are left out. ``range_width`` sets how wide the ranges are
+    that ``quantiles`` first counts as a whole; it has no influence on any result.
+    """
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*by, value)])
+    counts = df.where(complete).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    ranged = counts.withColumn("value_range", F.floor(F.col(value) / F.lit(range_width)))
+    # A join on the range would add this filter to its own input only. Stated here, all uses of
+    # the table are equal plans, and the rows are scanned and counted once.
+    return ranged.where(F.col("value_range").isNotNull())
 
 
 def quantiles(
-    freq: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    range_width: float = 1.0,
+    freq: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
     """Linearly interpolated quantiles of a ``frequencies`` table: one column per name in ``probs``.
 
-    ``range_width`` sets how wide the value ranges are that are first counted as a whole. It has
-    no influence on the result. The windows see (a) the ranges of a group, and (b) the distinct
-    values within the few ranges that hold a wanted rank, never all values of a group.
+    The windows see (a) the ranges of a group, and (b) the distinct values within the few ranges
+    that hold a wanted rank, never all values of a group.
     """
     by = list(by)
-    freq = freq.withColumn("value_range", F.floor(F.col(value) / F.lit(range_width)))
     group = Window.partitionBy(*by)
     upwards = group.orderBy("value_range").rowsBetween(Window.unboundedPreceding, 0)
     ranges = (

@@ -95,7 +95,7 @@ class Airline:
 
     def malformed_flights(self) -> DataFrame:
         """Flights whose id is NULL, blank or has the wrong format."""
-        return self._formatted_flights()[1]
+        return self.stage.table("work/malformed_flights", lambda: self._formatted_flights()[1])
 
     def deduplicated_flights(self) -> DataFrame:
         """Well-formed flights without exact duplicates; ids may still conflict."""

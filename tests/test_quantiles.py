@@ -19,7 +19,7 @@ PROBS = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 def exact(spark, values, width=1.0):
     df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
-    row = quantiles(frequencies(df, ["g"], "v"), ["g"], "v", PROBS, width).collect()[0]
+    row = quantiles(frequencies(df, ["g"], "v", width), ["g"], "v", PROBS).collect()[0]
     return [row[name] for name in PROBS]
 
 
