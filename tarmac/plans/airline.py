@@ -313,7 +313,7 @@ class Airline:
         """A table of the star schema."""
         builders = {
             "fact_flights": lambda: M.fact_flights(self.flagged_flights()),
-            "fact_bookings": lambda: M.fact_bookings(
+            "fact_bookings": lambda: M.curated_bookings(
                 self.judged_bookings().where(~F.col("rejected"))
             ),
             "fact_payments": lambda: M.fact_payments(

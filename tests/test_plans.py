@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from contract.queries import all_queries, plan
 from tarmac.operators import explore as D
 from tarmac.operators import kpi as K
-from tarmac.operators.quantiles import iqr_upper_bounds
+from tarmac.operators.quantiles import box_stats, iqr_upper_bounds
 from tarmac.plans import Dashboard
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -99,3 +99,9 @@ def test_hot_flight_is_split_in_the_booking_check(spark, airline, conf):
     counted = matched.groupBy("found").agg(F.count("payload").alias("n"))
     assert "skew=true" in final_plan(counted)
     assert {r.found: r.n for r in counted.collect()} == {True: 20000, False: 40000}
+
+
+def test_box_statistics_scan_the_fact_once(dash):
+    text = final_plan(D.duration_view(dash.flights, "all").transform(lambda f: box_stats(f, "airline", K.DURATION)))
+    final = text[: text.index("Initial Plan")]
+    assert len(re.findall(r"FileScan parquet \[[^\]]*calculated_duration_mins", final)) == 1
