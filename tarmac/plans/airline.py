@@ -445,6 +445,9 @@ class Airline:
 
     def reconciliation(self) -> DataFrame:
         """Raw, removed, quarantined and final rows of each dataset, counted independently."""
+        return self.stage.table("work/reconciliation", self._reconcile)
+
+    def _reconcile(self) -> DataFrame:
         rows = F.count(F.lit(1))
         surplus = F.sum(F.col(COPIES) - F.lit(1))
 
@@ -520,8 +523,6 @@ def run(
         export_csv(df, f"{out}/curated/{name}.csv")
     write_quarantine(plan.quarantine(), f"{out}/quarantine")
     write_audit(plan.audit(), f"{out}/audit")
-    C.assert_reconciled(
-        plan.stage.table("work/reconciliation", plan.reconciliation), "flights", "payments"
-    )
+    C.assert_reconciled(plan.reconciliation(), "flights", "payments")
     return plan
 

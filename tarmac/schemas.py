@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,9 +97,19 @@ def require_types(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast the declared columns that are present; unparseable text becomes NULL, the rest stays."""
+    """Cast the declared columns that are present; unparseable text becomes NULL, the rest stays.
+
+    Whole numbers may be written with a decimal point, as tools do for columns with gaps.
+    """
+
+    def cast(field: T.StructField) -> Column:
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.IntegerType):
+            return F.coalesce(column.try_cast("int"), column.try_cast("double").try_cast("int"))
+        return column.try_cast(field.dataType)
+
     casts = {
-        f.name: F.col(f.name).try_cast(f.dataType)
+        f.name: cast(f)
         for f in schema
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType
     }

@@ -40,13 +40,16 @@ class StagedTables:
         self.root = (root or f"{shared_folder(spark)}/tarmac-{uuid.uuid4().hex}").rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+        self._guard = threading.Lock()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table, written first if this run has not done so or its files are gone."""
-        with self._locks[name]:
+        with self._guard:
+            lock = self._locks[name]
+        with lock:
             if name in self._schemas:
                 try:
                     return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))

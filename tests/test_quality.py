@@ -84,8 +84,8 @@ def test_required_columns(spark):
 
 
 def test_conform_casts_leniently(spark):
-    df = spark.createDataFrame([("7", "x"), ("seven", "y")], "age string, other string")
+    df = spark.createDataFrame([("7", "x"), ("8.0", "z"), ("seven", "y")], "age string, other string")
     out = conform(df, RAW["passengers"])
-    assert rows(out) == [(7, "x"), (None, "y")]
+    assert rows(out) == [(7, "x"), (8, "z"), (None, "y")]
     with pytest.raises(SchemaError, match="age"):
         require_types(df, "passengers", RAW["passengers"])
