@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_sum
 from .kpi import DURATION
 from .quality import VALID
 from .references import distinct_keys
@@ -81,7 +82,7 @@ def is_empty(ff: DataFrame, fb: DataFrame) -> bool:
 def kpi_cards(ff: DataFrame, fb: DataFrame, fp: DataFrame) -> DataFrame:
     """The six cards in one row; the mean duration of no flights is shown as 0."""
     bookings = fb.agg(F.count(F.lit(1))).scalar()
-    paid = fp.where(F.col("amount_status") == VALID).agg(F.sum("amount_parsed")).scalar()
+    paid = fp.where(F.col("amount_status") == VALID).agg(exact_sum(F.col("amount_parsed"))).scalar()
     flights = F.count(F.lit(1))
     return ff.agg(
         flights.alias("total_flights"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_sum
 from .quality import DERIVED
 
 DURATION = "calculated_duration_mins"
@@ -95,7 +96,7 @@ def flights_by_airline(ff: DataFrame, da: DataFrame) -> DataFrame:
 def kpi_scalars(ff: DataFrame, fb: DataFrame) -> DataFrame:
     """The headline numbers in one row."""
     bookings = fb.agg(
-        F.struct(F.count(F.lit(1)).alias("n"), F.sum("total_paid_amount").alias("paid"))
+        F.struct(F.count(F.lit(1)).alias("n"), exact_sum(F.col("total_paid_amount")).alias("paid"))
     ).scalar()
     return (
         ff.agg(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_sum
 from ..functions.temporal import date_key
 from ..functions.text import surrogate_key
 from ..schemas import CURATED
@@ -61,7 +62,7 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     """Sum and number of the VALID payments of each booking."""
     valid = payments.where((F.col("amount_status") == VALID) & F.col("booking_id").isNotNull())
     return valid.groupBy("booking_id").agg(
-        F.sum("amount_parsed").alias("total_paid_amount"),
+        exact_sum(F.col("amount_parsed")).alias("total_paid_amount"),
         F.count("payment_id").cast("int").alias("payment_count"),
     )
 
@@ -96,7 +97,7 @@ def booking_ledger(bookings: DataFrame, payments: DataFrame) -> DataFrame:
         .agg(
             F.max("is_booked").alias("has_booking"),
             F.max("is_orphan").alias("has_orphan"),
-            F.sum("amount").alias("total_paid_amount"),
+            exact_sum(F.col("amount")).alias("total_paid_amount"),
             F.count("payment_id").cast("int").alias("payment_count"),
         )
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import exact_sum
 from .quality import DERIVED, MARKED_INVALID
 
 MEASURES = ["raw_rows", "removed_rows", "quarantined_rows", "final_rows"]
@@ -125,7 +126,7 @@ def booking_status(fb: DataFrame) -> DataFrame:
     """Bookings and revenue by status."""
     return fb.groupBy("status").agg(
         F.count("booking_id").alias("total_bookings"),
-        F.sum("total_paid_amount").alias("total_revenue"),
+        exact_sum(F.col("total_paid_amount")).alias("total_revenue"),
     )
 
 
@@ -133,7 +134,7 @@ def payment_status(fp: DataFrame) -> DataFrame:
     """Payments and their sum by amount status; the sum of unparseable amounts is NULL."""
     return fp.groupBy("amount_status").agg(
         F.count("payment_id").alias("total_transactions"),
-        F.sum("amount_parsed").alias("valid_revenue"),
+        exact_sum(F.col("amount_parsed")).alias("valid_revenue"),
     )
 
 

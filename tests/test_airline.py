@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tarmac.__main__ import main
 from tarmac.operators.reconcile import ReconciliationError, assert_reconciled, reconcile, tally
 from tarmac.plans import Airline, run
 from tarmac.rules import AirlineRules
@@ -302,3 +303,13 @@ def test_shared_folder_comes_from_the_session():
     assert shared_folder(session("local[2]"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    for name, df in raw(spark).items():
+        df.write.parquet(f"{tmp_path}/raw/{name}.parquet")
+    main(["--raw", f"{tmp_path}/raw", "--out", f"{tmp_path}/out"])
+    printed = capsys.readouterr().out
+    assert "|flights   |16      |2           |5               |9         |PASS  |" in printed
+    assert "DEL-BOM" in printed and "IndiGo" in printed
+    assert spark.read.parquet(f"{tmp_path}/out/curated/fact_bookings.parquet").count() == 3

@@ -1,5 +1,7 @@
 import hashlib
 from datetime import datetime
+from functools import reduce
+from operator import add
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import (
     date_key,
     duration_minutes,
+    exact_sum,
     hash_text,
     lenient_number,
     masked_email,
@@ -130,3 +133,20 @@ def test_durations_ignore_clock_changes(spark, conf):
 def test_date_keys(spark):
     df = flights(spark, ("2026-04-07 22:00:00", None))
     assert df.select(date_key(F.col("dep")), date_key(F.col("arr"))).collect()[0] == (20260407, 0)
+
+
+def total(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    return df.agg(exact_sum(F.col("v"))).collect()[0][0]
+
+
+def test_sums_of_money_do_not_depend_on_the_order(spark):
+    amounts = [0.1, 0.2, 0.3, 1e9, 0.7, -1e9, 0.1] * 50
+    assert reduce(add, amounts) != reduce(add, sorted(amounts))
+    assert total(spark, amounts) == total(spark, sorted(amounts)) == 70.0
+    assert total(spark, [0.1, None, 0.2]) == 0.3
+    assert total(spark, [None, None]) is None and total(spark, []) is None
+    # Not decimal amounts, or beyond decimals: added as they are.
+    assert total(spark, [1 / 3, 1 / 3]) == 2 / 3
+    assert total(spark, [1e30, 1.0]) == 1e30
+    assert total(spark, [9e21] * 3) == 2.7e22
