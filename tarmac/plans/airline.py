@@ -36,7 +36,7 @@ from ..operators.quality import (
 )
 from ..operators.quantiles import flag_above, iqr_upper_bounds
 from ..operators.references import match_parent
-from ..schemas import CURATED, REQUIRED, require_columns
+from ..schemas import CURATED, REQUIRED, SchemaError, require_columns
 from ..sources.curated import export_csv, write_audit, write_quarantine
 from ..sources.staging import StagedTables, build_together
 
@@ -45,6 +45,8 @@ DURATION = "calculated_duration_mins"
 ANALYTICAL = CURATED["dim_passengers"].names
 # Columns that may be missing from the raw data.
 OPTIONAL = {"bookings": ["seat_number"]}
+# Columns the plan adds to raw rows.
+RESERVED = {COPIES, CONFLICT, DUPLICATED, A.FINDINGS}
 
 
 def _protected_passengers(df: DataFrame) -> DataFrame:
@@ -79,6 +81,10 @@ class Airline:
     ):
         self.spark = spark
         self.raw = require_columns(raw, REQUIRED)
+        for name in REQUIRED:
+            taken = RESERVED & set(raw[name].columns)
+            if taken:
+                raise SchemaError(f"Schema Error: {name} uses reserved names {sorted(taken)}")
         self.rules = rules or R.AirlineRules()
         self.stage = stage or StagedTables(spark)
         self.run_ts = run_ts

@@ -11,7 +11,7 @@ from tarmac.__main__ import main
 from tarmac.operators.reconcile import ReconciliationError, assert_reconciled, reconcile, tally
 from tarmac.plans import Airline, run
 from tarmac.rules import AirlineRules
-from tarmac.schemas import CURATED, RAW
+from tarmac.schemas import CURATED, RAW, SchemaError
 from tarmac.sources.staging import StagedTables, shared_folder
 
 FLIGHTS = "flight_id string, airline string, source string, destination string, departure_time string, arrival_time string, duration string"
@@ -251,6 +251,13 @@ def test_optional_columns_may_be_missing(spark):
     assert plan.protected_passengers().columns == ["passenger_id", "first_name", "last_name", "age", "gender"]
 
 
+def test_columns_of_the_plan_are_reserved(spark):
+    frames = raw(spark)
+    frames["payments"] = frames["payments"].withColumn("copies", F.lit(1))
+    with pytest.raises(SchemaError, match="payments uses reserved names"):
+        Airline(spark, frames)
+
+
 def test_empty_inputs(spark):
     frames = {n: spark.createDataFrame([], s) for n, s in RAW.items()}
     plan = Airline(spark, frames)
