@@ -16,7 +16,14 @@ from tarmac.operators.quantiles import box_stats
 from tarmac.plans import Airline, Dashboard
 from tarmac.rules import AirlineRules
 from tarmac.schemas import REQUIRED, require_columns
-from tarmac.sources.curated import register_views
+from tarmac.sources.curated import (
+    export_csv,
+    read_curated,
+    register_views,
+    write_audit,
+    write_curated,
+    write_quarantine,
+)
 
 from .inputs import raw_tables
 
@@ -110,6 +117,58 @@ def _emptiness(a: Airline) -> DataFrame:
     )
 
 
+def _through_namespace(a: Airline) -> DataFrame:
+    """The same in a catalog namespace, as a reporting tool would address it."""
+    a.tables()
+    register_views(
+        a.spark, a.stage.path("curated"), database="served", location=a.stage.path("served")
+    )
+    return a.spark.sql(
+        """
+        SELECT p.gender, b.status, count(*) AS bookings, count(DISTINCT b.passenger_id) AS passengers
+        FROM served.fact_bookings b JOIN served.dim_passengers p USING (passenger_id)
+        GROUP BY p.gender, b.status
+        """
+    )
+
+
+def _through_csv(a: Airline) -> DataFrame:
+    """All curated tables written as Parquet and CSV, loaded from the CSV files, and enriched."""
+    root = a.stage.path("exchange")
+    write_curated(a.tables(), root)
+    loaded = read_curated(a.spark, root, "csv")
+    return Dashboard.of(loaded).flights.join(
+        loaded["dim_date"].select("date_key", "date"), "date_key", "left"
+    )
+
+
+def _through_quarantine(a: Airline) -> DataFrame:
+    """The quarantine layer written and read back whole."""
+    root = a.stage.path("quarantine")
+    write_quarantine(a.quarantine(), root)
+    stored = a.spark.read.option("mergeSchema", True).parquet(root)
+    return stored.groupBy("dataset", "rule_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _through_audit(a: Airline) -> DataFrame:
+    """The audit trail written as CSV and read back."""
+    root = a.stage.path("audit")
+    write_audit(a.audit(), root)
+    stored = a.spark.read.option("header", True).csv(root)
+    return stored.groupBy("dataset", "rule_id", "issue").agg(F.count(F.lit(1)).alias("events"))
+
+
+def _through_export(a: Airline) -> DataFrame:
+    """The selected bookings downloaded as CSV."""
+    path = a.stage.path("download")
+    export_csv(_dash(a).select(SELECTION).explore("bookings"), path)
+    stored = a.spark.read.option("header", True).csv(path)
+    return stored.groupBy("route_name", "status").agg(
+        F.count(F.lit(1)).alias("bookings"),
+        F.sum(F.col("payment_count").cast("int")).alias("payments"),
+    )
+
+
 _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     # sources and validation
     "require_columns_ok": _required_columns,
@@ -161,6 +220,8 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
         .select("booking_id", "total_paid_amount", "payment_count"),
         "total_paid_amount",
     ),
+    "bookings_quarantine": lambda a: _quarantined(a, "bookings"),
+    "passengers_quarantine": lambda a: _quarantined(a, "passengers"),
     "flights_quarantine": lambda a: _quarantined(a, "flights"),
     # star schema
     "dim_airline": lambda a: a.table("dim_airline"),
@@ -243,6 +304,11 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "dash_explorer_payments": lambda a: _dash(a).select(SELECTION).explore("payments"),
     # serving
     "views_roundtrip": _through_views,
+    "views_namespace": _through_namespace,
+    "curated_csv_roundtrip": _through_csv,
+    "quarantine_roundtrip": _through_quarantine,
+    "audit_roundtrip": _through_audit,
+    "export_roundtrip": _through_export,
 }
 
 

@@ -68,14 +68,17 @@ def register_views(
     database: str | None = None,
     names: Iterable[str] = CURATED,
     prefix: str = "",
+    location: str | None = None,
 ) -> list[str]:
     """Serve curated Parquet tables as SQL views with exactly the contract's columns.
 
     With ``database`` the views are catalog views in that (created) namespace, so that SQL can say
-    ``<database>.fact_flights``; without, they are temporary views of the session.
+    ``<database>.fact_flights``; without, they are temporary views of the session. ``location``
+    is where a new namespace would keep tables of its own, else the warehouse folder.
     """
     if database is not None:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        at = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{at}")
     views = []
     for name in names:
         columns = ", ".join(f"`{c}`" for c in CURATED[name].names)
