@@ -51,6 +51,8 @@ class Sentences:
         shift = np.uint64(64 - BUCKET_BITS)
         hashes = [words.hashes(), *(words.prefix_hashes(n) for n in PREFIXES)]
         self.features = [(h >> shift).astype(np.int32) for h in hashes]
+        self.counted = np.ones(len(text), dtype=np.float32)  # a word that repeats the one before is not
+        self.counted[1:] = (hashes[0][1:] != hashes[0][:-1]) | fresh[1:]
         self.words = words
 
     def __len__(self) -> int:
@@ -64,7 +66,7 @@ class Model:
         self.weights, self.bias = weights.astype(np.float32), bias
 
     def logits(self, s: Sentences) -> np.ndarray:
-        per_word = sum(self.weights[f] for f in s.features)
+        per_word = sum(self.weights[f] for f in s.features) * s.counted
         return self.bias + np.add.reduceat(per_word, s.head).astype(np.float64)
 
 
@@ -72,7 +74,7 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def fit(documents: list[tuple[int, list[np.ndarray]]], rounds: int = 80, l1: float = 2e-5) -> Model:
+def fit(documents: list[tuple[int, list[np.ndarray]]], rounds: int = 100, l1: float = 4e-4) -> Model:
     """Fit on (label, features of each sentence); full-batch AdaGrad with soft thresholding."""
     weights, bias = np.zeros(1 << BUCKET_BITS), -20.0
     if not documents:
@@ -89,7 +91,7 @@ def fit(documents: list[tuple[int, list[np.ndarray]]], rounds: int = 80, l1: flo
     place[useful] = np.arange(len(useful))
     keep = place[flat] >= 0
     flat, owner = place[flat[keep]], owner[keep]
-    w, b = np.zeros(len(useful)), -5.0
+    w, b = np.zeros(len(useful)), -9.5
     sum_w, sum_b = np.full(len(useful), 1e-8), 1e-8
     for _ in range(rounds):
         z = b + np.bincount(owner, weights=w[flat], minlength=len(sentences))
@@ -103,7 +105,7 @@ def fit(documents: list[tuple[int, list[np.ndarray]]], rounds: int = 80, l1: flo
         step = 0.5 / np.sqrt(sum_w)
         w -= step * grad_w
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1, 0)
-        b -= 0.2 * grad_b / np.sqrt(sum_b)
+        b -= 0.6 * grad_b / np.sqrt(sum_b)
     weights[useful] = w
     return Model(weights, b)
 
@@ -213,5 +215,5 @@ def _score_slice(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[n
         of = s.text[last]
         first[of] = s.words.start[s.head[last]] - offsets[of]
         size[of] = s.words.end[ends[last]] - s.words.start[s.head[last]]
-        worst[of] = 1 / (1 + np.exp(-z[last]))
+        worst[of] = np.exp(-softplus(-z[last]))
     return 1 - np.exp(-total), first, size, worst
