@@ -12,6 +12,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(modulus: int, remainder: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.quality import score, train
+
+    documents = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(~_held_out(3, 1))
+    scored = score(documents, train(documents, labels), ["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(_held_out(3, 1), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_lines",
+    )
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.decontaminate import contamination, find_windows
 
@@ -23,10 +42,6 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _held_out(modulus: int, remainder: int):
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
-
-
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.toxicity import score, train
 
@@ -45,6 +60,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op8_toxicity": op8_toxicity,
     "op7_decontaminate": op7_decontaminate,
 }
