@@ -31,6 +31,19 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tarmac.llm.packing import pack_documents
+
+    packed = pack_documents(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        with_ids=False,
+    )
+    return packed.drop("ids")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.decontaminate import contamination, find_windows
 
@@ -62,5 +75,6 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op8_toxicity": op8_toxicity,
+    "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
 }
