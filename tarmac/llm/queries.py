@@ -72,9 +72,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.htmltext import extract, train
+
+    pages = _table(spark, sf_dir, "pages")
+    found = extract(pages, train(pages), ["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
-    "op8_toxicity": op8_toxicity,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
+    "op9_html": op9_html,
 }
