@@ -28,7 +28,7 @@ from tarmac.llm import wordhash
 from tarmac.llm.shared import text_column
 
 #: The bound of the training sample, in documents.
-SAMPLE_DOCS = 10_000
+SAMPLE_DOCS = 6_000
 #: Hashed features; word beginnings of these lengths are features beside the whole word.
 BUCKET_BITS = 18
 PREFIXES = (4, 5)
@@ -74,30 +74,41 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def fit(documents: list[tuple[int, list[np.ndarray]]], rounds: int = 100, l1: float = 4e-4) -> Model:
-    """Fit on (label, features of each sentence); full-batch AdaGrad with soft thresholding."""
-    weights, bias = np.zeros(1 << BUCKET_BITS), -20.0
-    if not documents:
-        return Model(weights, bias)
-    label = np.array([y for y, _ in documents], dtype=np.float64)
-    sentences = [s for _, doc in documents for s in doc]
-    doc = np.repeat(np.arange(len(documents)), [len(d) for _, d in documents])
-    flat = np.concatenate([*sentences, np.zeros(0, np.int32)])
-    owner = np.repeat(np.arange(len(sentences)), [len(s) for s in sentences])
+def fit(
+    label: np.ndarray,
+    sentences: np.ndarray,
+    words: np.ndarray,
+    features: np.ndarray,
+    rounds: int = 100,
+    l1: float = 4e-4,
+) -> Model:
+    """Fit on labelled documents; full-batch AdaGrad with soft thresholding.
+
+    ``sentences`` counts those of each document, ``words`` the words of each sentence, and
+    ``features`` has a row for each word.
+    """
+    weights = np.zeros(1 << BUCKET_BITS)
+    if not len(label):
+        return Model(weights, -20.0)
+    doc = np.repeat(np.arange(len(label), dtype=np.int32), sentences)
     # Features of fewer than three documents teach nothing that holds elsewhere.
-    seen = np.unique(flat.astype(np.int64) * len(documents) + doc[owner]) // len(documents)
-    useful = np.flatnonzero(np.bincount(seen, minlength=len(weights)) >= 3)
-    place = np.full(len(weights), -1)
+    in_docs = np.zeros(len(weights), dtype=np.int32)
+    first = np.concatenate([[0], np.cumsum(np.bincount(doc, weights=words, minlength=len(label)))])
+    for a, b in zip(first[:-1].astype(int), first[1:].astype(int)):
+        in_docs[np.unique(features[a:b])] += 1
+    useful = np.flatnonzero(in_docs >= 3)
+    place = np.full(len(weights), -1, dtype=np.int32)
     place[useful] = np.arange(len(useful))
-    keep = place[flat] >= 0
-    flat, owner = place[flat[keep]], owner[keep]
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), words * features.shape[1])
+    flat = place[features.reshape(-1)]
+    owner, flat = owner[flat >= 0], flat[flat >= 0]
     w, b = np.zeros(len(useful)), -9.5
     sum_w, sum_b = np.full(len(useful), 1e-8), 1e-8
     for _ in range(rounds):
-        z = b + np.bincount(owner, weights=w[flat], minlength=len(sentences))
+        z = b + np.bincount(owner, weights=w[flat], minlength=len(words))
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        none = np.bincount(doc, weights=softplus(z), minlength=len(documents))  # -log Q
-        pull = np.where(label == 1, -1 / np.expm1(np.clip(none, 1e-6, 50)), 1.0) / len(documents)
+        none = np.bincount(doc, weights=softplus(z), minlength=len(label))  # -log Q
+        pull = np.where(label == 1, -1 / np.expm1(np.clip(none, 1e-6, 50)), 1.0) / len(label)
         g = pull[doc] * p
         grad_w, grad_b = np.bincount(flat, weights=g[owner], minlength=len(useful)), g.sum()
         sum_w += grad_w**2
@@ -157,14 +168,16 @@ def train(
                     names=["label", "words", "features"],
                 )
 
-    rows = sample.mapInArrow(hashed, "label int, words binary, features binary").collect()
-    width = 1 + len(PREFIXES)
-    examples = []
-    for r in sorted(rows, key=lambda r: (r.label, r.features)):
-        n = np.frombuffer(r.words, np.int32)
-        features = np.frombuffer(r.features, np.int32)
-        examples.append((r.label, np.split(features, np.cumsum(n)[:-1] * width) if len(n) else []))
-    return fit(examples)
+    table = sample.mapInArrow(hashed, "label int, words binary, features binary").toArrow()
+    table = table.sort_by([("label", "ascending"), ("features", "ascending")])
+    words = [np.frombuffer(x.as_buffer(), np.int32) for x in table["words"]]
+    features = b"".join(x.as_py() for x in table["features"])
+    return fit(
+        table["label"].to_numpy(),
+        np.array([len(x) for x in words], dtype=np.int64),
+        np.concatenate([*words, np.zeros(0, np.int32)]),
+        np.frombuffer(features, np.int32).reshape(-1, 1 + len(PREFIXES)),
+    )
 
 
 def score(documents: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
