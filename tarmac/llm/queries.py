@@ -31,6 +31,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -82,6 +88,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op4_topk": op4_topk,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,

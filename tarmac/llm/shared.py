@@ -101,7 +101,7 @@ def bit_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
                 names=["chunk", "part"],
             )
 
-    def merge(key, group: pa.Table) -> pa.Table:
+    def merge(key, group):
         part = np.zeros((1 << part_bits) // 8, dtype=np.uint8)
         for x in group.column("part"):
             part |= np.frombuffer(x.as_py(), dtype=np.uint8)
