@@ -37,6 +37,21 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.licenses import scan, summary
+
+    return summary(scan(_table(spark, sf_dir, "documents"), ["doc_id"])).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        "base_labels",
+        "labels",
+        "score",
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -89,6 +104,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_topk": op4_topk,
+    "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
