@@ -31,6 +31,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.jaccard import near_duplicates
+
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.topk import top_k
 
@@ -103,6 +110,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op3_jaccard": op3_jaccard,
     "op4_topk": op4_topk,
     "op5_licenses": op5_licenses,
     "op6_packing": op6_packing,
