@@ -108,6 +108,12 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.suffixdedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_jaccard": op3_jaccard,
@@ -117,4 +123,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_html": op9_html,
+    "op10_suffix": op10_suffix,
 }
