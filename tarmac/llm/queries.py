@@ -31,6 +31,13 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.linededup import remove_repeated_lines
+
+    kept = remove_repeated_lines(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", "longest_run", "text")
+
+
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.jaccard import near_duplicates
 
@@ -116,6 +123,7 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_lines": op2_lines,
     "op3_jaccard": op3_jaccard,
     "op4_topk": op4_topk,
     "op5_licenses": op5_licenses,

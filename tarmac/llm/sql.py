@@ -1,3 +1,50 @@
 """DuckDB SQL for the text queries that SQL can express; the others have brute-force tests."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    # Windows of two non-blank lines whose first place is elsewhere lose their lines.
+    "op2_lines": """
+WITH raw AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+),
+numbered AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS j FROM raw
+),
+filled AS (
+  SELECT doc_id, j, line,
+         row_number() OVER (PARTITION BY doc_id ORDER BY j) AS i,
+         lead(line) OVER (PARTITION BY doc_id ORDER BY j) AS line2
+  FROM numbered WHERE trim(line) <> ''
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, i) AS place
+  FROM filled WHERE line2 IS NOT NULL
+),
+covered AS (
+  SELECT doc_id, i FROM placed WHERE place > 1
+  UNION
+  SELECT doc_id, i + 1 FROM placed WHERE place > 1
+),
+gone AS (
+  SELECT f.doc_id, f.j FROM filled f JOIN covered USING (doc_id, i)
+),
+islands AS (
+  SELECT doc_id, j, j - row_number() OVER (PARTITION BY doc_id ORDER BY j) AS island FROM gone
+),
+longest AS (
+  SELECT doc_id, max(n) AS longest_run, sum(n) AS n_removed
+  FROM (SELECT doc_id, island, count(*) AS n FROM islands GROUP BY doc_id, island)
+  GROUP BY doc_id
+),
+kept AS (
+  SELECT n.doc_id, string_agg(n.line, chr(10) ORDER BY n.j) AS text
+  FROM numbered n ANTI JOIN gone g ON n.doc_id = g.doc_id AND n.j = g.j
+  GROUP BY n.doc_id
+)
+SELECT r.doc_id,
+       CAST(len(r.lines) AS BIGINT) AS n_lines,
+       CAST(coalesce(l.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(l.longest_run, 0) AS BIGINT) AS longest_run,
+       CASE WHEN r.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
+FROM raw r LEFT JOIN longest l USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+}
