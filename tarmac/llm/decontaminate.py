@@ -221,7 +221,10 @@ def remove_contaminated(
     documents: DataFrame, items: DataFrame, text: str = "text", share: float = 0.05, **options
 ) -> DataFrame:
     """The documents that are not contaminated, with all their columns and their whole texts."""
+    marked = documents.select(
+        F.struct(*documents.columns).alias("__row"), text_column(documents, text).alias("__words")
+    )
     found = contamination(
-        find_windows(documents, items, documents.columns, text=text, **options), share
+        find_windows(marked, items, ["__row"], text="__words", **options), share
     )
-    return found.where(~F.col("contaminated")).select(*documents.columns)
+    return found.where(~F.col("contaminated")).select("__row.*")

@@ -30,6 +30,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,18 +111,20 @@ class _Pass:
 
     def __init__(self, documents: DataFrame, doc_id: str, text: str, words: int, percent: int):
         self.rows = documents.select(
-            F.col(doc_id).cast("long").alias("id"), text_column(documents, text).alias("text")
+            F.col(doc_id).cast("long").alias("id"),
+            text_column(documents, text).alias("text"),
+            F.xxhash64(text_column(documents, text)).alias("t"),
         )
         self.words, self.percent = words, percent
 
     def sets_and_counts(self) -> DataFrame:
-        """kind 0: id, set size, signature; kind 1: a shingle and its count within a batch."""
+        """kind 0: id, set size, signature, text hash; kind 1: a shingle h and its count n in a batch."""
         words = self.words
 
         def counted(waiting: list[np.ndarray]) -> pa.RecordBatch:
             s, n = np.unique(np.concatenate(waiting), return_counts=True)
             s, n = s[n > 1], n[n > 1]
-            return _batch(np.ones(len(s)), _longs(s), n, _longs(s))
+            return _batch(np.ones(len(s)), _longs(s), n, _longs(s), _longs(s))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting: list[np.ndarray] = []
@@ -136,11 +139,11 @@ class _Pass:
                     if size > COUNTED:
                         yield counted(waiting)
                         waiting, size = [], 0
-                yield _batch(np.zeros(len(n)), batch.column(0), n, h)
+                yield _batch(np.zeros(len(n)), batch.column(0), n, h, batch.column(2))
             if waiting:
                 yield counted(waiting)
 
-        return self.rows.mapInArrow(run, "kind int, id long, n long, h long")
+        return self.rows.mapInArrow(run, "kind int, id long, n long, h long, t long")
 
     def postings(self, order, known=None) -> DataFrame:
         """kind 0: node h, group g, size n; kind 1: shingle h, group g, size n, position at.
@@ -168,7 +171,9 @@ class _Pass:
                 if not nodes:
                     continue
                 if known is not None:
-                    yield _batch(np.zeros(len(nodes)), nodes, groups, sizes, np.zeros(len(nodes)))
+                    yield _batch(
+                        np.zeros(len(nodes)), nodes, groups, sizes, np.zeros(len(nodes)), names=_POSTED
+                    )
                 lengths = np.array([len(p) for p in prefixes])
                 flat = np.concatenate(prefixes).view(np.int64)
                 at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -180,7 +185,7 @@ class _Pass:
                 if known is None:
                     yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(g)], names=["h", "g"])
                 else:
-                    yield _batch(np.ones(len(flat)), flat, g, n, at)
+                    yield _batch(np.ones(len(flat)), flat, g, n, at, names=_POSTED)
 
         if known is None:
             return self.rows.mapInArrow(run, "h long, g long")
@@ -208,14 +213,14 @@ class _Pass:
         return self.rows.mapInArrow(run, "node long, shingles binary")
 
 
-_NAMES = {4: ["kind", "id", "n", "h"], 5: ["kind", "h", "g", "n", "at"]}
+_COUNTED, _POSTED = ("kind", "id", "n", "h", "t"), ("kind", "h", "g", "n", "at")
 
 
-def _batch(*columns) -> pa.RecordBatch:
+def _batch(*columns, names: tuple[str, ...] = _COUNTED) -> pa.RecordBatch:
     arrays = [pa.array(np.asarray(columns[0]).astype(np.int32))]
     for c in columns[1:]:
         arrays.append(c if isinstance(c, pa.Array) else pa.array(np.asarray(c, dtype=np.int64)))
-    return pa.RecordBatch.from_arrays(arrays, names=_NAMES[len(arrays)])
+    return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
 def near_duplicates(
@@ -226,12 +231,12 @@ def near_duplicates(
     percent: int = PERCENT,
     heavy: int = HEAVY,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id of the class) and node, the set's hash."""
+    """doc_id, n_shingles, component_id (the smallest id of its class) and text_hash."""
     spark = documents.sparkSession
     stage = Stage(spark, "jaccard")
     reader = _Pass(documents, doc_id, text, words, percent)
     first = stage.table("sets", reader.sets_and_counts())
-    docs = first.where("kind = 0").select("id", F.col("n").alias("n_shingles"), F.col("h").alias("node"))
+    docs = first.where("kind = 0").select("id", F.col("n").alias("n_shingles"), F.col("h").alias("node"), "t")
     # Of several rows of a node, the smallest id stands for it.
     nodes = docs.where("n_shingles > 0").groupBy("node").agg(F.min("id").alias("id"))
     nodes = stage.table("nodes", nodes)
@@ -295,10 +300,46 @@ def near_duplicates(
         F.col("id").alias("doc_id"),
         "n_shingles",
         F.when(F.col("id").isNotNull(), alone).alias("component_id"),
-        "node",
+        F.col("t").alias("text_hash"),
     )
 
 
+def keep_one(
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """One row of each class, that of its smallest id, with all columns.
+
+    Texts without words are no copies of each other, and rows with a null id all stay. Most texts
+    stay where they are: only rows that a bitmap of fixed size names are joined with the rows to
+    go, which are known by id and text hash.
+    """
+    stage = Stage(documents.sparkSession, "classes")
+    found = near_duplicates(documents, doc_id, text, **options).where("doc_id is not null")
+    found = stage.table("found", found.select("doc_id", "component_id", "text_hash"))
+    gone = found.where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    again = found.groupBy("doc_id", "text_hash").count().where("count > 1")
+    gone = stage.table("gone", gone)
+    key = F.xxhash64("doc_id", "text_hash").alias("key")
+    touched = gone.select(key).union(again.select(key))
+    bits = documents.sparkSession.sparkContext.broadcast(bit_filter(touched, "key", NODE_BITS))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(maybe_in(keys.to_numpy(dtype=np.int64), bits.value, NODE_BITS))
+
+    hashed = documents.withColumn("__t", F.xxhash64(text_column(documents, text)))
+    hashed = hashed.withColumn("__id", F.col(doc_id).cast("long"))
+    hashed = hashed.withColumn("__maybe", maybe(F.xxhash64("__id", "__t")))
+    rest = hashed.where("__maybe and __id is not null").join(
+        gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__t")),
+        ["__id", "__t"],
+        "left_anti",
+    )
+    rest = rest.dropDuplicates(["__id", "__t"])
+    kept = hashed.where("not __maybe or __id is null")
+    return kept.select(*documents.columns).unionByName(rest.select(*documents.columns))
+
+
 def _classes(members: DataFrame, roots: DataFrame | None, stage: Stage, round_) -> DataFrame:
     """Members (node, g, n, id) with the root of their class."""
     if roots is None:

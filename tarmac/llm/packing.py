@@ -316,14 +316,18 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
 
 def _batch(pieces: list[tuple], key_type: pa.DataType, with_ids: bool) -> pa.RecordBatch:
     keys, starts, ids, totals, windows, offsets = zip(*pieces)
-    lists = pa.array(
-        [i.astype(np.int32) for i in ids] if with_ids else [None] * len(ids), pa.list_(pa.int32())
-    )
+    sizes = np.array([len(i) for i in ids], dtype=np.int32)
+    if with_ids:
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        flat = np.concatenate(ids).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+    else:
+        lists = pa.nulls(len(ids), pa.list_(pa.int32()))
     return pa.RecordBatch.from_arrays(
         [
             pa.array(keys, key_type),
             pa.array(starts, pa.int64()),
-            pa.array([len(i) for i in ids], pa.int64()),
+            pa.array(sizes, pa.int64()),
             pa.array([zlib.crc32(i.astype("<u4").tobytes()) for i in ids], pa.int64()),
             pa.array(totals, pa.int64()),
             pa.array(windows, pa.int64()),

@@ -8,23 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _held_out(modulus: int, remainder: int):
+def held_out(modulus: int, remainder: int):
+    """Rows that no model learns from: crc32 of the id as text, by remainder."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.quality import score, train
 
-    documents = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").where(~_held_out(3, 1))
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1))
     scored = score(documents, train(documents, labels), ["doc_id"])
     return scored.select(
         "doc_id",
-        F.coalesce(_held_out(3, 1), F.lit(False)).alias("held_out"),
+        F.coalesce(held_out(3, 1), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         "n_lines",
@@ -34,27 +35,27 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.linededup import remove_repeated_lines
 
-    kept = remove_repeated_lines(_table(spark, sf_dir, "documents"))
+    kept = remove_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", "longest_run", "text")
 
 
 def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.jaccard import near_duplicates
 
-    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.topk import top_k
 
-    return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.licenses import scan, summary
 
-    return summary(scan(_table(spark, sf_dir, "documents"), ["doc_id"])).select(
+    return summary(scan(table(spark, sf_dir, "documents"), ["doc_id"])).select(
         "doc_id",
         "n_words",
         "n_base",
@@ -72,7 +73,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.packing import pack_documents
 
     packed = pack_documents(
-        _table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.json"),
         with_ids=False,
     )
@@ -83,7 +84,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.decontaminate import contamination, find_windows
 
     hits = find_windows(
-        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"]
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
     )
     return contamination(hits).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
@@ -93,12 +94,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.toxicity import score, train
 
-    documents = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").where(~_held_out(4, 2))
+    documents = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(4, 2))
     scored = score(documents, train(documents, labels), ["doc_id"])
     return scored.select(
         "doc_id",
-        F.coalesce(_held_out(4, 2), F.lit(False)).alias("held_out"),
+        F.coalesce(held_out(4, 2), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "worst_first",
@@ -110,7 +111,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.htmltext import extract, train
 
-    pages = _table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages")
     found = extract(pages, train(pages), ["page_id", "url"])
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -118,7 +119,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.suffixdedup import remove_repeats
 
-    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

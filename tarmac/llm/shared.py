@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import os
-import sys
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,81 +47,59 @@ class Stage:
             path.getFileSystem(conf).delete(path, True)
 
 
-def ship(spark: SparkSession) -> None:
-    """Let executors import this package, wherever the driver has it."""
-    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    if top not in sys.path:
-        sys.path.insert(0, top)
-
-
 def text_column(df: DataFrame, column: str):
     """The column as text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def arrow_map(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    """``mapInArrow`` for a function from one batch to several."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from function(batch)
-
-    return df.mapInArrow(run, schema)
-
-
-FILTER_CHUNKS = 64
+#: A filter is built in parts, by the low bits of the keys.
+_PART_BITS = 6
+_PARTS = 1 << _PART_BITS
 
 
 def bit_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
     """A bitmap with a set bit for the hash of each key: ``2**bits`` bits, however many keys.
 
-    Tasks build the parts and only ``2**bits / 8`` bytes reach the driver. A test may say yes for
-    a key that is absent, never no for one that is present, so users test exactly afterwards.
+    Keys are dealt by their low bits, a task sets the bits of its parts, and only ``2**bits / 8``
+    bytes reach the driver. A test may say yes for a key that is absent, never no for one that is
+    present, so users test exactly afterwards.
     """
-    part_bits = bits - (FILTER_CHUNKS.bit_length() - 1)
+    size = 1 << (bits - _PART_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, np.ndarray] = {}
         for batch in batches:
-            slots = filter_slots(batch.column(0).to_numpy(zero_copy_only=False), bits)
-            chunk = slots >> np.uint64(part_bits)
-            for c in np.unique(chunk):
-                part = own.setdefault(int(c), np.zeros(1 << part_bits, dtype=bool))
-                part[slots[chunk == c] & np.uint64((1 << part_bits) - 1)] = True
+            place = _places(batch.column(0).to_numpy(zero_copy_only=False), bits)
+            part = place // np.uint64(size)
+            for p in np.unique(part):
+                marks = own.setdefault(int(p), np.zeros(size, dtype=bool))
+                marks[place[part == p] % np.uint64(size)] = True
         if own:
+            packed = [np.packbits(x).tobytes() for x in own.values()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(own), pa.int32()),
-                    pa.array([np.packbits(x).tobytes() for x in own.values()], pa.binary()),
-                ],
-                names=["chunk", "part"],
+                [pa.array(list(own), pa.int32()), pa.array(packed, pa.binary())],
+                names=["part", "marks"],
             )
 
-    def merge(key, group):
-        part = np.zeros((1 << part_bits) // 8, dtype=np.uint8)
-        for x in group.column("part"):
-            part |= np.frombuffer(x.as_py(), dtype=np.uint8)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "part": [part.tobytes()]})
-
-    schema = "chunk int, part binary"
-    parts = keys.select(F.col(column).cast("long")).mapInArrow(build, schema)
-    whole = np.zeros(1 << bits, dtype=bool).reshape(FILTER_CHUNKS, -1)
-    for row in parts.groupBy("chunk").applyInArrow(merge, schema).collect():
-        whole[row.chunk] = np.unpackbits(np.frombuffer(row.part, dtype=np.uint8)).astype(bool)
-    return np.packbits(whole.reshape(-1))
+    dealt = keys.select(F.col(column).cast("long").alias("key")).where("key is not null")
+    dealt = dealt.repartition(_PARTS, F.col("key").bitwiseAND(_PARTS - 1))
+    whole = np.zeros((_PARTS, size // 8), dtype=np.uint8)
+    for row in dealt.mapInArrow(build, "part int, marks binary").collect():
+        whole[row.part] |= np.frombuffer(row.marks, dtype=np.uint8)
+    return whole.reshape(-1)
 
 
-def filter_slots(keys: np.ndarray, bits: int) -> np.ndarray:
-    mixed = keys.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The bit of each key: its part by its low bits, and a hash within the part."""
+    own = keys.astype(np.int64).view(np.uint64)
+    mixed = own * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0xD6E8FEB86659FD93)
-    return mixed >> np.uint64(64 - bits)
+    part = own & np.uint64(_PARTS - 1)
+    return (part << np.uint64(bits - _PART_BITS)) | (mixed >> np.uint64(64 - bits + _PART_BITS))
 
 
-def maybe_in(keys: np.ndarray, filter_bits: np.ndarray, bits: int) -> np.ndarray:
+def maybe_in(keys: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
     """Whether each key may be in the filter."""
-    slots = filter_slots(keys, bits)
-    return (filter_bits[slots >> np.uint64(3)] >> (7 - (slots & np.uint64(7))).astype(np.uint8)) & 1 == 1
+    place = _places(keys, bits)
+    return (marks[place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1
