@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from contract.oracle import all_oracles
+from contract.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = all_queries()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,7 @@ def database():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
