@@ -11,7 +11,7 @@ from tarmac.llm.linededup import remove_repeated_lines
 from tarmac.llm.packing import pack_documents
 from tarmac.llm.quality import keep_good, train
 from tarmac.llm.queries import held_out, table
-from tarmac.llm.shared import Stage
+from tarmac.llm.shared import Stage, ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +31,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, that of the smallest id."""
+    ship(spark)
     return keep_one(docs)
 
 
@@ -43,6 +44,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences with their ids, and where they lie in windows of 1024."""
     import public_tokenizers
 
+    ship(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +50,33 @@ class Stage:
             path.getFileSystem(conf).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, by way of the shared folder.
+
+    Tasks import it; a cluster that has it installed needs no shipping and takes no harm.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as file:
+        for source in sorted(package.rglob("*.py")):
+            file.write(source, str(source.relative_to(package.parent)))
+    path = context._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/packages-{uuid.uuid4().hex}/{package.name}.zip"
+    )
+    system = path.getFileSystem(context._jsc.hadoopConfiguration())
+    stream = system.create(path)
+    stream.write(packed.getvalue())
+    stream.close()
+    context.addPyFile(system.makeQualified(path).toString())
+    _shipped.add(context.applicationId)
+
+
 def text_column(df: DataFrame, column: str):
     """The column as text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -46,5 +46,96 @@ SELECT r.doc_id,
        CAST(coalesce(l.longest_run, 0) AS BIGINT) AS longest_run,
        CASE WHEN r.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
 FROM raw r LEFT JOIN longest l USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    # All pairs that share a shingle, and the smallest id reachable by links.
+    "op3_jaccard": """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, list_distinct(
+           CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+           END) AS s
+  FROM worded
+),
+spread AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM spread a JOIN spread b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+reach(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce(l.b, s.doc_id)) AS component_id
+FROM sets s LEFT JOIN lowest l ON s.doc_id = l.a
+""",
+    "op4_topk": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op7_decontaminate": """
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+),
+sized AS (SELECT item_id, w, least(len(w), 13) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
+  FROM sized
+),
+lengths AS (SELECT DISTINCT n FROM windows),
+placed AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
+         unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS g
+  FROM worded, lengths WHERE len(w) >= n
+),
+found AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM placed p JOIN windows x ON p.n = x.n AND p.g = x.g),
+words AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id
+),
+ids AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+       CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(x.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(x.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM worded d LEFT JOIN words h USING (doc_id) LEFT JOIN ids x USING (doc_id)
 """,
 }

@@ -18,7 +18,7 @@ context: ``width - gram`` bytes before it and ``width`` bytes from it on, within
    prefixes of both orders tell how far the string shared with any other reaches.
 4. Larger groups are not collected: halving the places that a window may take around the anchor,
    each half is kept while the bytes common to its windows repeat, and is decided at once when all
-   bytes of its windows repeat. Rows are only those that survive.
+   bytes of its windows repeat. Rows are those undecided, and one of each decided class to meet them.
 
 Equal texts are one text; if it is repeated all its windows are. Null and empty text, and text
 below ``width`` bytes, has nothing to remove. Repeated rows each get their row, null ids too. Only
@@ -230,46 +230,59 @@ def _halved(pieces: DataFrame, stage: Stage, width: int, gram: int) -> Iterator[
     """Reach of the contexts of large groups, by halving the places of a window.
 
     A window starts ``o`` bytes before the anchor, lo <= o <= hi. All windows of a range share
-    the bytes from lo before the anchor to width - hi after it.
+    the bytes from lo before the anchor to width - hi after it; together they cover those from hi
+    before to width - lo after it. Contexts that agree on the latter are decided. One of them
+    stays, closed, to meet the undecided, which may share part of its windows.
     """
-    rows = pieces.withColumn("r", F.octet_length("bytes") - F.col("l"))
-    rows = rows.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(width - gram))
+    rows = pieces.select(
+        "gram",
+        "ctx",
+        "l",
+        (F.octet_length("bytes") - F.col("l")).alias("r"),
+        "bytes",
+        F.lit(0).alias("lo"),
+        F.lit(width - gram).alias("hi"),
+        F.lit(True).alias("open"),
+    ).dropDuplicates(["gram", "ctx"])
+    shared = F.expr(f"substring(bytes, cast(l - lo + 1 as int), lo + {width} - hi)")
+    covered = F.expr(f"substring(bytes, cast(l - hi + 1 as int), hi + {width} - lo)")
     round_ = 0
     while True:
         rows = rows.where(f"lo <= l and hi >= {width} - r")
-        kept = _repeating(rows, f"substring(bytes, cast(l - lo + 1 as int), lo + {width} - hi)")
-        kept = stage.table(f"halved-{round_}", kept)
-        if not kept.take(1):
+        rows = rows.withColumn("key", F.xxhash64("gram", "lo", "hi", shared))
+        alive = rows.groupBy("key").agg(
+            F.min("ctx").alias("first"), F.max("ctx").alias("last"), F.max("open").alias("any_open")
+        )
+        alive = alive.where("first < last and any_open").select("key")
+        rows = stage.table(f"halved-{round_}", rows.join(alive, "key").drop("key"))
+        if not rows.take(1):
             return
-        full = kept.where(f"l >= hi and r >= {width} - lo")
-        sure = _repeating(full, f"substring(bytes, cast(l - hi + 1 as int), hi + {width} - lo)")
-        sure = stage.table(f"sure-{round_}", sure.select("gram", "ctx", "lo", "hi").distinct())
-        yield sure.select(
+        full = F.expr(f"l >= hi and r >= {width} - lo")
+        rows = rows.withColumn(
+            "key", F.when(full, F.xxhash64("gram", "lo", "hi", covered)).otherwise(F.xxhash64("ctx"))
+        )
+        same = rows.groupBy("key").agg(F.min("ctx").alias("first"), F.max("ctx").alias("last"))
+        rows = rows.join(same, "key").withColumn("sure", F.expr("first < last")).drop("key", "last")
+        rows = stage.table(f"sure-{round_}", rows)
+        yield rows.where("sure and open").select(
             "gram",
             "ctx",
             F.col("hi").cast("long").alias("l"),
             (F.lit(width) - F.col("lo")).cast("long").alias("r"),
         )
-        rest = kept.where("lo < hi").join(sure, ["gram", "ctx", "lo", "hi"], "left_anti")
-        halves = F.explode(
-            F.expr(
-                "array(struct(lo as x, cast(floor((lo + hi) / 2) as int) as y), "
-                "struct(cast(floor((lo + hi) / 2) as int) + 1 as x, hi as y))"
-            )
-        )
-        rows = rest.withColumn("half", halves).select(
-            "gram", "ctx", "l", "r", "bytes", F.col("half.x").alias("lo"), F.col("half.y").alias("hi")
+        rest = rows.where("lo < hi and (not sure or ctx = first)")
+        halves = F.expr(
+            "explode(array(struct(lo as x, cast(floor((lo + hi) / 2) as int) as y), "
+            "struct(cast(floor((lo + hi) / 2) as int) + 1 as x, hi as y)))"
         )
+        rows = rest.withColumn("open", F.expr("open and not sure")).withColumn("half", halves)
+        rows = rows.select(
+            "gram", "ctx", "l", "r", "bytes",
+            F.col("half.x").alias("lo"), F.col("half.y").alias("hi"), "open",
+        )
         round_ += 1
 
 
-def _repeating(rows: DataFrame, shared: str) -> DataFrame:
-    """The rows whose shared bytes occur in several contexts of their gram and range."""
-    keyed = rows.withColumn("key", F.xxhash64("gram", "lo", "hi", F.expr(shared)))
-    several = _distinct(keyed.select("key", "ctx"), ["key"], "ctx").where("lo < hi").select("key")
-    return keyed.join(several, "key").drop("key")
-
-
 def remove_repeats(
     documents: DataFrame,
     doc_id: str = "doc_id",
