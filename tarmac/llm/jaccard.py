@@ -10,9 +10,11 @@ connected components of the links.
    the shingles of common passages out of the prefixes.
 2. A linked pair shares a shingle within both prefixes of ``n - ceil(p n) + 1`` shingles. Nodes
    with the same prefix and size form one group, and only groups enter the index. Shingles of a
-   single group are dropped early: a bitmap of fixed size keeps most of them out of the shuffle.
+   single node are dropped early: a bitmap of fixed size keeps most of them out of the shuffle.
 3. Group pairs that share a shingle must pass the size and the position filter; then they are
-   expanded to members, whose whole sets are compared.
+   expanded to members, and members of a group are compared too. A member's sketch holds the parity of its shingles per bucket, in two to
+   four bits a shingle; buckets that differ bound the difference of two sets from below, so most
+   pairs that are not similar fall out exactly. The others' whole sets are compared.
 
 Only classes are wanted, so pairs need not all be tried. First, each list of the index is compared
 with one pivot, which takes as many pairs as the list is long; links found merge classes. Then
@@ -47,8 +49,8 @@ HEAVY = 1 << 17
 TOKEN_BITS, NODE_BITS = 26, 24
 #: Rounds in which lists are compared with a pivot before the rest is paired.
 PIVOT_ROUNDS = 2
-#: Shingles counted together in a task.
-COUNTED = 4_000_000
+#: Shingles counted together, and texts worked on together, in a task.
+COUNTED, ROWS = 4_000_000, 2_000
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -76,6 +78,27 @@ def signature(shingles: np.ndarray) -> int:
     return int(wordhash.mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """For each bucket of shingles, whether their number is odd; at least two buckets a shingle."""
+    buckets = max(256, 1 << (2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the shingles that only one of two sets has, from their sketches."""
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    size = min(len(a), len(b)) * 8
+    # Buckets are low bits, so halves of a larger sketch fold into those of a smaller.
+    both = x ^ y
+    low = (1 << size) - 1
+    folded = 0
+    while both:
+        folded ^= both & low
+        both >>= size
+    return folded.bit_count()
+
+
 def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -116,6 +139,7 @@ class _Pass:
             F.xxhash64(text_column(documents, text)).alias("t"),
         )
         self.words, self.percent = words, percent
+        self.parallelism = documents.sparkSession.sparkContext.defaultParallelism
 
     def sets_and_counts(self) -> DataFrame:
         """kind 0: id, set size, signature, text hash; kind 1: a shingle h and its count n in a batch."""
@@ -143,77 +167,90 @@ class _Pass:
             if waiting:
                 yield counted(waiting)
 
-        return self.rows.mapInArrow(run, "kind int, id long, n long, h long, t long")
+        # Few tasks count more together: a shingle that repeats is found with fewer copies.
+        rows = self.rows.coalesce(max(self.parallelism, self.rows.rdd.getNumPartitions() // 8))
+        return rows.mapInArrow(run, "kind int, id long, n long, h long, t long")
 
     def postings(self, order, known=None) -> DataFrame:
-        """kind 0: node h, group g, size n; kind 1: shingle h, group g, size n, position at.
+        """kind 0: node h, group g, size n, sketch; kind 1: shingle h, group g, size n, position at.
 
-        Without ``known``, all shingles and no nodes; else nodes and shingles that may be known.
+        Without ``known``, (h, node) of all shingles; else shingles that may be known, and their nodes.
         """
         words, percent = self.words, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                prefixes, sizes, groups, nodes = [], [], [], []
-                seen = set()
-                for s in shingle_sets(batch.column(1), words):
-                    if not len(s):
-                        continue
-                    node = signature(s)
-                    if node in seen:  # copies within a batch
-                        continue
-                    seen.add(node)
-                    p = order.value.prefix(s, percent)
-                    prefixes.append(p)
-                    sizes.append(len(s))
-                    groups.append(signature(np.append(p, np.uint64(len(s)))))
-                    nodes.append(node)
-                if not nodes:
+                for at in range(0, batch.num_rows, ROWS):
+                    yield from post(batch.column(1).slice(at, ROWS))
+
+        def post(texts: pa.Array) -> Iterator[pa.RecordBatch]:
+            prefixes, sizes, groups, nodes, sketches = [], [], [], [], []
+            seen = set()
+            for s in shingle_sets(texts, words):
+                if not len(s):
                     continue
+                node = signature(s)
+                if node in seen:  # copies close by
+                    continue
+                seen.add(node)
+                p = order.value.prefix(s, percent)
+                group = signature(np.append(p, np.uint64(len(s))))
                 if known is not None:
-                    yield _batch(
-                        np.zeros(len(nodes)), nodes, groups, sizes, np.zeros(len(nodes)), names=_POSTED
-                    )
-                lengths = np.array([len(p) for p in prefixes])
-                flat = np.concatenate(prefixes).view(np.int64)
-                at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                of = np.repeat(np.arange(len(nodes)), lengths)
-                if known is not None:
-                    kept = maybe_in(flat, known.value, TOKEN_BITS)
-                    flat, at, of = flat[kept], at[kept], of[kept]
-                g, n = np.array(groups, np.int64)[of], np.array(sizes, np.int64)[of]
-                if known is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(g)], names=["h", "g"])
-                else:
-                    yield _batch(np.ones(len(flat)), flat, g, n, at, names=_POSTED)
+                    kept = maybe_in(p.view(np.int64), known.value, TOKEN_BITS)
+                    if not kept.any():
+                        continue
+                    sketches.append(sketch(s))
+                prefixes.append(p)
+                sizes.append(len(s))
+                groups.append(group)
+                nodes.append(node)
+            if not nodes:
+                return
+            lengths = np.array([len(p) for p in prefixes])
+            flat = np.concatenate(prefixes).view(np.int64)
+            of = np.repeat(np.arange(len(nodes)), lengths)
+            g, n = np.array(groups, np.int64), np.array(sizes, np.int64)
+            if known is None:
+                of_node = np.array(nodes, np.int64)[of]
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(of_node)], names=["h", "node"])
+                return
+            at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            kept = maybe_in(flat, known.value, TOKEN_BITS)
+            flat, at, of = flat[kept], at[kept], of[kept]
+            yield _batch(np.zeros(len(nodes)), nodes, g, n, n, pa.array(sketches, pa.binary()), names=_POSTED)
+            nothing = pa.nulls(len(flat), pa.binary())
+            yield _batch(np.ones(len(flat)), flat, g[of], n[of], at, nothing, names=_POSTED)
 
         if known is None:
-            return self.rows.mapInArrow(run, "h long, g long")
-        return self.rows.mapInArrow(run, "kind int, h long, g long, n long, at long")
+            return self.rows.mapInArrow(run, "h long, node long")
+        return self.rows.mapInArrow(run, "kind int, h long, g long, n long, at long, sketch binary")
 
     def sets(self, wanted) -> DataFrame:
         """node, and its shingles as bytes, of rows whose id and node may be wanted."""
         words = self.words
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sent: set[int] = set()
             for batch in batches:
                 ids = batch.column(0).fill_null(0).to_numpy()
-                kept: dict[int, bytes] = {}
-                for i, s in enumerate(shingle_sets(batch.column(1), words)):
-                    if len(s):
-                        node = signature(s)
-                        key = np.array([node ^ int(ids[i])], dtype=np.int64)
-                        if node not in kept and maybe_in(key, wanted.value, NODE_BITS)[0]:
-                            kept[node] = s.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.binary())],
-                    names=["node", "shingles"],
-                )
+                for at in range(0, batch.num_rows, ROWS):
+                    kept: dict[int, bytes] = {}
+                    for i, s in enumerate(shingle_sets(batch.column(1).slice(at, ROWS), words), at):
+                        if len(s):
+                            node = signature(s)
+                            key = np.array([node ^ int(ids[i])], dtype=np.int64)
+                            if node not in sent and maybe_in(key, wanted.value, NODE_BITS)[0]:
+                                sent.add(node)
+                                kept[node] = s.tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.binary())],
+                        names=["node", "shingles"],
+                    )
 
         return self.rows.mapInArrow(run, "node long, shingles binary")
 
 
-_COUNTED, _POSTED = ("kind", "id", "n", "h", "t"), ("kind", "h", "g", "n", "at")
+_COUNTED, _POSTED = ("kind", "id", "n", "h", "t"), ("kind", "h", "g", "n", "at", "sketch")
 
 
 def _batch(*columns, names: tuple[str, ...] = _COUNTED) -> pa.RecordBatch:
@@ -247,14 +284,12 @@ def near_duplicates(
     order = spark.sparkContext.broadcast(Order(ranked))
 
     every = reader.postings(order)
-    shared = every.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+    shared = every.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = stage.table("shared", shared.where("lo < hi").select("h"))
     known = spark.sparkContext.broadcast(bit_filter(shared, "h", TOKEN_BITS))
     second = stage.table("postings", reader.postings(order, known))
-    members = second.where("kind = 0").groupBy(F.col("h").alias("node")).agg(
-        F.min("g").alias("g"), F.min("n").alias("n")
-    )
-    members = stage.table("members", members.join(nodes, "node"))
+    members = second.where("kind = 0").select(F.col("h").alias("node"), "g", "n", "sketch")
+    members = stage.table("members", members.dropDuplicates(["node"]).join(nodes, "node"))
     lists = (
         second.where("kind = 1")
         .groupBy("h", "g")
@@ -264,35 +299,32 @@ def near_duplicates(
     lists = stage.table("lists", lists)
     stage.drop("shared", "postings")
 
-    links = []
-    roots = None
+    links = tested = roots = None
     for round_ in range(PIVOT_ROUNDS + 1):
         with_class = _classes(members, roots, stage, round_)
-        groups = with_class.groupBy("g").agg(
-            F.min(F.struct("id", "node")).alias("leader"),
-            F.min("root").alias("lo"),
-            F.max("root").alias("hi"),
-            F.count("*").alias("members"),
-        )
-        groups = stage.table(f"groups-{round_}", groups)
         if round_ < PIVOT_ROUNDS:
+            groups = with_class.groupBy("g").agg(
+                F.min(F.struct("id", "node")).alias("leader"),
+                F.min("root").alias("lo"),
+                F.max("root").alias("hi"),
+                F.count("*").alias("members"),
+            )
+            groups = stage.table(f"groups-{round_}", groups)
             pairs = _pivot_pairs(lists, groups, with_class, percent, round_)
         else:
             pairs = _rest(lists, with_class, percent)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage.table(f"pairs-{round_}", pairs)
-        if not pairs.take(1):
-            if round_ < PIVOT_ROUNDS:
-                continue
-            break
-        found = _verified(pairs, nodes, reader, percent, stage, round_)
-        links.append(found)
-        edges = found
-        for x in links[:-1]:
-            edges = edges.unionByName(x)
-        roots = components(edges, stage, f"components-{round_}")
-        roots = stage.table(f"roots-{round_}", roots)
-
-    final = _classes(members, roots, stage, "final")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        likely = stage.table(f"likely-{round_}", _likely(pairs, members, percent))
+        if not likely.take(1):
+            continue
+        found = _verified(likely, nodes, reader, percent, stage, round_)
+        links = found if links is None else links.unionByName(found)
+        roots = stage.table(f"roots-{round_}", components(links, stage, f"components-{round_}"))
+
+    final = _classes(nodes, roots, stage, "final")
     lowest = final.groupBy("root").agg(F.min("id").alias("component_id"))
     by_node = final.join(lowest, "root").select("node", "component_id")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
@@ -341,7 +373,7 @@ def keep_one(
 
 
 def _classes(members: DataFrame, roots: DataFrame | None, stage: Stage, round_) -> DataFrame:
-    """Members (node, g, n, id) with the root of their class."""
+    """Members, or nodes, with the root of their class."""
     if roots is None:
         return members.withColumn("root", F.col("node"))
     joined = members.join(roots, "node", "left")
@@ -353,8 +385,12 @@ def _size_filter(percent: int, a: str = "n", b: str = "n2") -> str:
 
 
 def _position_filter(percent: int) -> str:
-    """``c`` shared prefix shingles up to positions at and at2, and at most what follows them."""
-    return f"(c + least(n - at, n2 - at2) - 1) * {100 + percent} >= {percent} * (n + n2)"
+    """What follows the first shared shingle, at ``at`` and ``at2``, with it, must be enough.
+
+    A linked pair has a row for its first shared shingle, which passes; rows for later ones, which
+    disregard what was shared before, may fail, and so most rows of long lists do.
+    """
+    return f"least(n - at, n2 - at2) * {100 + percent} >= {percent} * (n + n2)"
 
 
 def _pivot_pairs(lists, groups, members, percent: int, round_: int) -> DataFrame:
@@ -380,17 +416,9 @@ def _pivot_pairs(lists, groups, members, percent: int, round_: int) -> DataFrame
         .join(pivot, "h")
         .where("g <> g2 and not (lo = hi and lo2 = hi2 and lo = lo2)")
         .where(_size_filter(percent))
-        .groupBy("g", "g2")
-        .agg(
-            F.count("*").alias("c"),
-            F.max("at").alias("at"),
-            F.max("at2").alias("at2"),
-            F.min("n").alias("n"),
-            F.min("n2").alias("n2"),
-            F.min("pivot").alias("a"),
-        )
         .where(_position_filter(percent))
-        .select("g", "a")
+        .select("g", F.col("pivot").alias("a"))
+        .distinct()
     )
     # Within a group, members are compared with its leader.
     inside = groups.where("members > 1 and lo < hi").select("g", F.col("leader.node").alias("a"))
@@ -401,7 +429,8 @@ def _apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """(a, b) of distinct nodes in different classes, from rows with a, node and root."""
     other = members.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
     found = pairs.select("a", F.col("node").alias("b"), "root").join(other, "a")
-    return found.where("a <> b and root <> root_a").select("a", "b").distinct()
+    found = found.where("a <> b and root <> root_a")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _rest(lists, members, percent: int) -> DataFrame:
@@ -417,31 +446,44 @@ def _rest(lists, members, percent: int) -> DataFrame:
         F.col("at").alias("at2"),
     )
     each = rows.join(other, "h").where("root < root2").where(_size_filter(percent))
-    # The position filter for the shared shingle alone: what precedes it on both sides may match.
-    each = each.where(
-        f"(least(at, at2) + 1 + least(n - at, n2 - at2) - 1) * {100 + percent} >= {percent} * (n + n2)"
-    )
-    pairs = each.groupBy("node", "node2").agg(
-        F.count("*").alias("c"),
-        F.max("at").alias("at"),
-        F.max("at2").alias("at2"),
-        F.min("n").alias("n"),
-        F.min("n2").alias("n2"),
-    )
-    return pairs.where(_position_filter(percent)).select(
-        F.col("node").alias("a"), F.col("node2").alias("b")
+    pairs = each.where(_position_filter(percent)).select(
+        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")
     )
+    return pairs.distinct()
+
+
+def _likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches do not rule them out."""
+    own = members.select("node", "n", "sketch")
+    joined = (
+        pairs.join(own.toDF("b", "n", "x"), "b").join(own.toDF("a", "n2", "y"), "a")
+    ).select("a", "b", "n", "n2", "x", "y")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            sketches = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+            # Of n + n2 shingles a share of (1 - s) / (1 + s) at most may differ.
+            kept = [
+                (100 + percent) * least_difference(x, y) <= (100 - percent) * (n + n2)
+                for (n, n2), (x, y) in zip(sizes, sketches)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1)], names=["a", "b"]
+            ).filter(pa.array(kept, pa.bool_()))
+
+    return joined.mapInArrow(compare, "a long, b long")
 
 
 def _verified(pairs, nodes, reader: _Pass, percent: int, stage: Stage, round_: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+    """The pairs whose whole sets are similar enough; a set may come from several tasks."""
     spark = pairs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
     bits = bit_filter(
         wanted.select(F.expr("node ^ id").alias("key")), "key", NODE_BITS
     )
     sets = reader.sets(spark.sparkContext.broadcast(bits))
-    sets = stage.table(f"shingles-{round_}", sets.groupBy("node").agg(F.first("shingles").alias("s")))
+    sets = stage.table(f"shingles-{round_}", sets.withColumnRenamed("shingles", "s"))
     joined = (
         pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("s")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("s").alias("s2")), "a")
@@ -461,6 +503,7 @@ def _verified(pairs, nodes, reader: _Pass, percent: int, stage: Stage, round_: i
                 [batch.column(0), batch.column(1)], names=["a", "b"]
             ).filter(pa.array(kept))
 
-    found = stage.table(f"links-{round_}", joined.mapInArrow(compare, "a long, b long"))
+    linked = joined.mapInArrow(compare, "a long, b long").distinct()
+    found = stage.table(f"links-{round_}", linked)
     stage.drop(f"shingles-{round_}")
     return found
