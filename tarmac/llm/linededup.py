@@ -126,7 +126,9 @@ def remove_repeated_lines(
         )
         gone = stage.table("gone", gone)
     lines = F.split(text, "\n")
-    joined = rows.join(gone, "__d", "left").withColumn(
+    # Merged at every size: a plan that sends one side everywhere while it is small tells nothing
+    # of the next size.
+    joined = rows.join(gone.hint("merge"), "__d", "left").withColumn(
         "__gone", F.coalesce("__gone", F.expr("cast(array() as array<int>)"))
     )
     # What stays lies between the deleted lines.
