@@ -85,6 +85,9 @@ from [orders]
 """,
 }
 
+#: The flight ids that the checked and the measured plan accept: larger data have longer numbers.
+FLIGHT_IDS = "^[A-Z0-9]{2}[0-9]{2,9}$"
+
 _SOURCES = ("orders", "events", "customer")
 
 

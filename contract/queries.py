@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from tarmac.sources.curated import (
     write_quarantine,
 )
 
-from .inputs import raw_tables
+from .inputs import FLIGHT_IDS, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,24 +35,22 @@ FOCUS = "IndiGo"
 # The fixed selection of the filtered dashboard queries.
 SELECTION = D.CrossFilter(airlines=(FOCUS,), sources=("DEL",), overnight_only=True)
 
+#: The rules of the checked and the measured plan.
+CHECKED = AirlineRules(flight_id_pattern=FLIGHT_IDS)
+
 _plans: dict[tuple[str, str, str], Airline] = {}
 
 
 def plan(spark: SparkSession, sf_dir: str, rules: AirlineRules | None = None) -> Airline:
     """The airline plan over ``sf_dir``; queries of one session share its staged tables."""
-    rules = rules or AirlineRules()
-    key = (spark.sparkContext.applicationId, sf_dir, rules.flight_id_pattern)
+    rules = rules or CHECKED
+    key = (spark.sparkContext.applicationId, sf_dir, json.dumps(asdict(rules), sort_keys=True))
     known = _plans.get(key)
     if known is None or known.spark is not spark:
         known = _plans[key] = Airline(spark, raw_tables(spark, sf_dir), rules)
     return known
 
 
-def _money(df: DataFrame, *cols: str) -> DataFrame:
-    """To cents: the last bits of a sum of doubles depend on the order of the rows."""
-    return df.withColumns({c: F.round(c, 2) for c in cols})
-
-
 def _dash(a: Airline) -> Dashboard:
     return Dashboard.of({n: a.table(n) for n in
                          ("fact_flights", "fact_bookings", "fact_payments", "dim_airline", "dim_route")})
@@ -109,12 +109,13 @@ def _box(a: Airline) -> DataFrame:
 
 
 def _emptiness(a: Airline) -> DataFrame:
-    d = _dash(a).select(SELECTION)
-    rows = F.count(F.lit(1))
-    return d.flights.agg(rows.alias("flights")).select(
-        (F.col("flights") == 0).alias("no_flights"),
-        (d.bookings.agg(rows).scalar() == 0).alias("no_bookings"),
-    )
+    """The guard on a selection that has rows, and on one that has none."""
+    nowhere = D.CrossFilter(sources=("nowhere",))
+    found = [
+        (what, D.is_empty(d.flights, d.bookings))
+        for what, d in (("chosen", _dash(a).select(SELECTION)), ("nowhere", _dash(a).select(nowhere)))
+    ]
+    return a.spark.createDataFrame(found, "selection string, is_empty boolean")
 
 
 def _through_namespace(a: Airline) -> DataFrame:
@@ -175,6 +176,7 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "raw_counts": lambda a: C.raw_counts(a.raw),
     # flights
     "flights_bad_format": lambda a: a.malformed_flights(),
+    "flights_four_digits": lambda a: Airline(a.spark, a.raw, AirlineRules()).malformed_flights(),
     "flights_exact_dedup": lambda a: a.deduplicated_flights(),
     "flights_conflicts": lambda a: a.conflicting_flights(),
     "flights_airline_derived": lambda a: a.clean_flights().select(
@@ -214,12 +216,9 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "payments_orphans": lambda a: a.orphan_payments().select(
         "payment_id", "booking_id", "amount_parsed", "amount_status"
     ),
-    "payment_rollup": lambda a: _money(
-        a.booking_ledger()
+    "payment_rollup": lambda a: a.booking_ledger()
         .where(F.col("payment_count") > 0)
         .select("booking_id", "total_paid_amount", "payment_count"),
-        "total_paid_amount",
-    ),
     "bookings_quarantine": lambda a: _quarantined(a, "bookings"),
     "passengers_quarantine": lambda a: _quarantined(a, "passengers"),
     "flights_quarantine": lambda a: _quarantined(a, "flights"),
@@ -229,7 +228,7 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "dim_date": lambda a: a.table("dim_date"),
     "dim_passengers": lambda a: a.table("dim_passengers"),
     "fact_flights": lambda a: a.table("fact_flights"),
-    "fact_bookings": lambda a: _money(a.table("fact_bookings"), "total_paid_amount"),
+    "fact_bookings": lambda a: a.table("fact_bookings"),
     "fact_payments": lambda a: a.table("fact_payments"),
     # audit and reconciliation
     "audit_by_rule": lambda a: A.audit_by_rule(a.audit()),
@@ -238,10 +237,8 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "recon_payments": lambda a: a.payment_reconciliation(),
     "recon_airline": lambda a: a.airline_reconciliation(),
     "quality_summary": lambda a: a.quality_summary(),
-    "dq_booking_status": lambda a: _money(C.booking_status(_facts(a)[1]), "total_revenue"),
-    "dq_payment_status": lambda a: _money(
-        C.payment_status(a.table("fact_payments")), "valid_revenue"
-    ),
+    "dq_booking_status": lambda a: C.booking_status(_facts(a)[1]),
+    "dq_payment_status": lambda a: C.payment_status(a.table("fact_payments")),
     # headline figures
     "k1_avg_duration_by_route": lambda a: K.avg_duration_by_route(
         a.table("fact_flights"), a.table("dim_route")
@@ -253,19 +250,17 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "k4_flights_by_airline": lambda a: K.flights_by_airline(
         a.table("fact_flights"), a.table("dim_airline")
     ),
-    "kpi_scalars": lambda a: _money(K.kpi_scalars(*_facts(a)), "total_paid_amount"),
+    "kpi_scalars": lambda a: K.kpi_scalars(*_facts(a)),
     "kpi_top_routes": _top_routes,
     "kpi_flights_by_airline": lambda a: K.flights_by_airline(
         a.table("fact_flights"), a.table("dim_airline")
     ).select("airline", "total_flights"),
     # dashboard
     "dash_enriched": lambda a: _dash(a).flights,
-    "dash_enriched_bookings": lambda a: _money(_dash(a).bookings, "total_paid_amount"),
+    "dash_enriched_bookings": lambda a: _dash(a).bookings,
     "dash_domains": lambda a: D.filter_domains(_dash(a).flights),
-    "dash_cards": lambda a: _money(D.kpi_cards(*_frames(_dash(a))), "total_paid_amount"),
-    "dash_cards_filtered": lambda a: _money(
-        D.kpi_cards(*_frames(_dash(a).select(SELECTION))), "total_paid_amount"
-    ),
+    "dash_cards": lambda a: D.kpi_cards(*_frames(_dash(a))),
+    "dash_cards_filtered": lambda a: D.kpi_cards(*_frames(_dash(a).select(SELECTION))),
     "dash_is_empty": lambda a: _emptiness(a),
     "dash_busiest": lambda a: D.busiest(_dash(a).flights, "airline")
     .select(F.lit("airline").alias("what"), F.col("airline").alias("value"), "n")
@@ -298,9 +293,7 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
         _dash(a).flights.where(F.col("airline") == FOCUS), "route_name", 10, "flights"
     ),
     "dash_explorer_flights": lambda a: _dash(a).select(SELECTION).explore("flights"),
-    "dash_explorer_bookings": lambda a: _money(
-        _dash(a).select(SELECTION).explore("bookings"), "total_paid_amount"
-    ),
+    "dash_explorer_bookings": lambda a: _dash(a).select(SELECTION).explore("bookings"),
     "dash_explorer_payments": lambda a: _dash(a).select(SELECTION).explore("payments"),
     # serving
     "views_roundtrip": _through_views,

@@ -20,13 +20,22 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=FORMATS, default="parquet")
     parser.add_argument("--out", required=True, help="folder for curated, quarantine and audit")
     parser.add_argument("--flight-id-pattern", default=FLIGHT_ID_PATTERN)
+    parser.add_argument(
+        "--timestamp-format",
+        action="append",
+        default=[],
+        help="datetime pattern of text times beside ISO, tried in order; may be repeated",
+    )
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("tarmac").getOrCreate()
     place = f"{options.raw}.{{}}" if options.format == "table" else f"{options.raw}/{{}}.{options.format}"
     raw = read_datasets(spark, {name: place.format(name) for name in RAW}, options.format)
+    rules = AirlineRules(
+        options.flight_id_pattern, timestamp_formats=tuple(options.timestamp_format)
+    )
     now = datetime.now(timezone.utc).isoformat(timespec="seconds")
-    plan = run(spark, raw, options.out, now, AirlineRules(options.flight_id_pattern))
+    plan = run(spark, raw, options.out, now, rules)
 
     tables = plan.tables()
     flights, bookings, routes = (tables[n] for n in ("fact_flights", "fact_bookings", "dim_route"))
@@ -49,6 +58,7 @@ def main(arguments: list[str] | None = None) -> None:
             f"Of {row.source_invalid_rows} payments with an invalid amount"
             f" {row.final_marked_invalid_rows} are left: the others had no surviving booking."
         )
+    plan.close()
 
 
 if __name__ == "__main__":

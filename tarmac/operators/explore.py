@@ -68,7 +68,13 @@ class CrossFilter:
     def apply(
         self, ff: DataFrame, fb: DataFrame, fp: DataFrame
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Selected flights, selected bookings, and the payments of those bookings."""
+        """Selected flights, selected bookings, and the payments of those bookings.
+
+        Every curated payment has a curated booking, so a selection that reaches no booking
+        leaves the payments as they are, without a join.
+        """
+        if not (self.airlines or self.routes or self.sources or self.destinations):
+            return self.flights(ff), fb, fp
         bookings = self.shared(fb)
         kept = distinct_keys(bookings, "booking_id")
         return self.flights(ff), bookings, fp.join(kept, "booking_id", "left_semi")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import fitting
 from ..functions.text import lenient_number, strip
 
 ORIGINAL = "ORIGINAL"
@@ -58,8 +59,11 @@ def standardise_null(df: DataFrame, col: str, value: str) -> DataFrame:
 def parse_amount(
     df: DataFrame, col: str, parsed: str = "amount_parsed", status: str = "amount_status"
 ) -> DataFrame:
-    """Add the number in ``col`` and its status: VALID, MARKED_INVALID, or NULL for no amount."""
-    number = lenient_number(col)
+    """Add the number in ``col`` and its status: VALID, MARKED_INVALID, or NULL for no amount.
+
+    A number that the type of amounts cannot hold exactly is marked invalid, not rounded.
+    """
+    number = fitting(lenient_number(col))
     return df.withColumns(
         {
             parsed: number,

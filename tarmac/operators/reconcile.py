@@ -59,12 +59,16 @@ def assert_reconciled(recon: DataFrame, *datasets: str) -> None:
         raise ReconciliationError(f"Reconciliation failed: {[r.asDict() for r in rows]}")
 
 
-def reconcile_payments(parsed: DataFrame, final: DataFrame, orphans: DataFrame) -> DataFrame:
-    """How raw payments became final ones; ``parsed`` has one row per distinct payment."""
+def reconcile_payments(
+    raw: DataFrame, parsed: DataFrame, final: DataFrame, orphans: DataFrame
+) -> DataFrame:
+    """How raw payments became final ones; ``parsed`` has one row per distinct payment.
+
+    Raw rows are counted from ``raw``, so rows lost before or during deduplication show.
+    """
     one = F.lit(1)
     invalid = F.col("amount_status") == MARKED_INVALID
     before = parsed.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows"),
         F.coalesce(F.sum(F.col("copies") - one), F.lit(0)).alias("removed_rows"),
         F.count_if(F.col("amount_status").isNull()).alias("null_amount_rows"),
         F.count_if(invalid).alias("source_invalid_rows"),
@@ -80,7 +84,8 @@ def reconcile_payments(parsed: DataFrame, final: DataFrame, orphans: DataFrame)
         - F.col("downstream_excluded_rows")
     )
     return (
-        before.withColumn("downstream_excluded_rows", excluded)
+        before.withColumn("raw_rows", raw.agg(F.count(one)).scalar())
+        .withColumn("downstream_excluded_rows", excluded)
         .withColumn("after", after)
         .select(
             "raw_rows",

@@ -7,6 +7,7 @@ bookings without passport and contact.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from ..operators.dedup import (
     resolve_by_key,
     rows_with_keys,
 )
-from ..operators.privacy import allowlist, mask_email, pseudonymise, suppress
+from ..operators.privacy import allowlist, mask_email, mask_tail, pseudonymise, suppress
 from ..operators.quality import (
     DERIVED,
     derive_from_prefix,
@@ -37,12 +38,14 @@ from ..operators.quality import (
 from ..operators.quantiles import flag_above, iqr_upper_bounds
 from ..operators.references import match_parent
 from ..schemas import CURATED, REQUIRED, SchemaError, require_columns
-from ..sources.curated import export_csv, write_audit, write_quarantine
-from ..sources.staging import StagedTables, build_together
+from ..sources.curated import export_csv, write_audit, write_parquet, write_quarantine
+from ..sources.staging import StagedTables, build_together, replace_folder
 
 ROUTE = ["source", "destination"]
 DURATION = "calculated_duration_mins"
 ANALYTICAL = CURATED["dim_passengers"].names
+# The only columns of passengers that quarantine may hold, all protected.
+QUARANTINED_PASSENGER = [*ANALYTICAL, "first_name", "last_name", "email", "aadhaar_id", "phone"]
 # Columns that may be missing from the raw data.
 OPTIONAL = {"bookings": ["seat_number"]}
 # Columns the plan adds to raw rows.
@@ -50,15 +53,23 @@ RESERVED = {COPIES, CONFLICT, DUPLICATED, A.FINDINGS}
 
 
 def _protected_passengers(df: DataFrame) -> DataFrame:
-    """Hash, mask and drop what identifies a passenger."""
+    """Hash, mask and drop what identifies a passenger; for use in memory only."""
     df = standardise_null(df, "last_name", R.NO_LAST_NAME)
     if "aadhaar_id" in df.columns:
         df = pseudonymise(df, ["aadhaar_id"])
     if "email" in df.columns:
         df = mask_email(df)
+    if "phone" in df.columns:
+        df = mask_tail(df, ["phone"])
     return suppress(df, ["date_of_birth"])
 
 
+def _quarantined_passengers(df: DataFrame) -> DataFrame:
+    """Protected rows fit to be written: names hashed, and no column that is not known."""
+    names = [c for c in ("first_name", "last_name") if c in df.columns]
+    return allowlist(pseudonymise(df, names), [c for c in QUARANTINED_PASSENGER if c in df.columns])
+
+
 def _protected_bookings(df: DataFrame) -> DataFrame:
     if "passport_number" in df.columns:
         df = pseudonymise(df, ["passport_number"])
@@ -80,15 +91,23 @@ class Airline:
         run_ts: str = "1970-01-01T00:00:00",
     ):
         self.spark = spark
-        self.raw = require_columns(raw, REQUIRED)
+        self.rules = rules or R.AirlineRules()
+        self.raw = dict(require_columns(raw, REQUIRED))
+        # Like flight times, booking dates may be text in one of the formats of the rules.
+        self.raw["bookings"] = parse_ts(
+            raw["bookings"], "booking_date", formats=self.rules.timestamp_formats
+        )
         for name in REQUIRED:
             taken = RESERVED & set(raw[name].columns)
             if taken:
                 raise SchemaError(f"Schema Error: {name} uses reserved names {sorted(taken)}")
-        self.rules = rules or R.AirlineRules()
         self.stage = stage or StagedTables(spark)
         self.run_ts = run_ts
 
+    def close(self) -> None:
+        """Delete the staged tables; results that read them end with it."""
+        self.stage.close()
+
     # --- flights -----------------------------------------------------------------------------
 
     def _formatted_flights(self) -> tuple[DataFrame, DataFrame]:
@@ -372,7 +391,9 @@ class Airline:
             "flights": by(self.malformed_flights(), R.BAD_FLIGHT_ID).unionByName(
                 by(self.conflicting_flights().select(*flights), R.CONFLICTING_FLIGHT)
             ),
-            "passengers": by(self.conflicting_passengers(), R.CONFLICTING_PASSENGER),
+            "passengers": by(
+                _quarantined_passengers(self.conflicting_passengers()), R.CONFLICTING_PASSENGER
+            ),
             "bookings": by(self.orphan_bookings().select(*booking_columns), R.ORPHAN_BOOKING),
             "payments": by(
                 self.null_amount_payments().select(*payment_columns), R.NULL_AMOUNT
@@ -498,7 +519,14 @@ class Airline:
         )
 
     def payment_reconciliation(self) -> DataFrame:
+        """Raw against final payments; conflicting ids, if quarantined, are no part of either."""
+        raw = self.raw["payments"]
+        if self.rules.quarantine_conflicting_keys:
+            keys = self._key_conflicts("payments").select(F.col("payment_id").alias("conflicting"))
+            same = F.col("payment_id").eqNullSafe(F.col("conflicting"))
+            raw = raw.join(keys, same, "left_anti")
         return C.reconcile_payments(
+            raw,
             self.parsed_payments().where(~F.col(CONFLICT)),
             self.table("fact_payments"),
             self.orphan_payments(),
@@ -522,13 +550,22 @@ def run(
 ) -> Airline:
     """The whole batch: curated Parquet and CSV, quarantine and audit below ``out``, all reconciled.
 
-    Raises ``ReconciliationError`` if rows of flights or payments got lost.
+    Everything is built in a folder of its own beside the published ones. Raises
+    ``ReconciliationError`` if rows of any dataset got lost, and then publishes nothing; else the
+    finished folders take the place of the old ones, each by a rename. The returned plan keeps
+    its own folder of intermediate tables until ``close``.
     """
-    plan = Airline(spark, raw, rules, StagedTables(spark, out), run_ts)
-    for name, df in plan.tables().items():
-        export_csv(df, f"{out}/curated/{name}.csv")
-    write_quarantine(plan.quarantine(), f"{out}/quarantine")
-    write_audit(plan.audit(), f"{out}/audit")
-    C.assert_reconciled(plan.reconciliation(), "flights", "payments")
+    stage = StagedTables(spark, f"{out}/runs/{uuid.uuid4().hex}")
+    plan = Airline(spark, raw, rules, stage, run_ts)
+    tables = plan.tables()
+    C.assert_reconciled(plan.reconciliation())
+    ready = f"{stage.root}/ready"
+    for name, df in tables.items():
+        write_parquet(df, f"{ready}/curated/{name}.parquet")
+        export_csv(df, f"{ready}/curated/{name}.csv")
+    write_quarantine(plan.quarantine(), f"{ready}/quarantine")
+    write_audit(plan.audit(), f"{ready}/audit")
+    for folder in ("curated", "quarantine", "audit"):
+        replace_folder(spark, f"{ready}/{folder}", f"{out}/{folder}")
     return plan
 

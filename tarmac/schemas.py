@@ -8,12 +8,14 @@ from pyspark.sql import types as T
 
 
 def _struct(columns: str) -> T.StructType:
+    """From "name type, ..."; unlike ``StructType.fromDDL`` it needs no running session."""
     schema = T.StructType()
     for column in columns.split(", "):
         schema.add(*column.split(" "))
     return schema
 
 
+# Column names, types and order of the inputs and of the star schema.
 RAW = {
     "flights": _struct(
         "flight_id string, airline string, source string, destination string,"
@@ -99,13 +101,15 @@ def require_types(df: DataFrame, name: str, schema: T.StructType) -> DataFrame:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the declared columns that are present; unparseable text becomes NULL, the rest stays.
 
-    Whole numbers may be written with a decimal point, as tools do for columns with gaps.
+    Whole numbers may be written with a decimal point, as tools do for columns with gaps; a number
+    with a fraction is not a whole number and becomes NULL.
     """
 
     def cast(field: T.StructField) -> Column:
         column = F.col(field.name)
         if isinstance(field.dataType, T.IntegerType):
-            return F.coalesce(column.try_cast("int"), column.try_cast("double").try_cast("int"))
+            number = column.try_cast("double")
+            return F.when(number == F.floor(number), number.try_cast("int"))
         return column.try_cast(field.dataType)
 
     casts = {

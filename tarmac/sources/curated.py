@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import CURATED, SchemaError, conform, require_types
-from .datasets import MissingDatasetError, read_frame
+from .datasets import CSV_OPTIONS, MissingDatasetError, read_frame
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -16,8 +16,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the CSV files (with header) at ``path``."""
-    writer = df.write.mode("overwrite").options(header=True, escape='"')
+    """Replace the CSV files (with header) at ``path``; text keeps its blanks and line breaks."""
+    writer = df.write.mode("overwrite").options(**CSV_OPTIONS)
     writer.partitionBy(*partition_by).csv(path)
 
 

@@ -7,8 +7,8 @@ a hint in the code.
 
 from __future__ import annotations
 
-import tempfile
 import threading
+import time
 import uuid
 from collections import defaultdict
 from collections.abc import Callable
@@ -20,16 +20,34 @@ from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a local session, which has no other machines, may do without the setting.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tarmac-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging").rstrip("/")
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at, system = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def replace_folder(spark: SparkSession, finished: str, published: str) -> None:
+    """Put a finished folder in the place of a published one, which stays until then."""
+    source, system = _file_system(spark, finished)
+    target, _ = _file_system(spark, published)
+    old, _ = _file_system(spark, f"{finished}-replaced")
+    if system.exists(target):
+        system.rename(target, old)
+    else:
+        system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        system.rename(old, target)
+        raise OSError(f"could not publish {published}")
+    system.delete(old, True)
 
 
 class StagedTables:
@@ -39,9 +57,16 @@ class StagedTables:
         self.spark = spark
         self.root = (root or f"{shared_folder(spark)}/tarmac-{uuid.uuid4().hex}").rstrip("/")
         self._schemas: dict[str, T.StructType] = {}
+        #: Seconds that writing each table took, with those it waited for.
+        self.seconds: dict[str, float] = {}
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
         self._guard = threading.Lock()
 
+    def close(self) -> None:
+        """Delete all tables."""
+        delete_folder(self.spark, self.root)
+        self._schemas.clear()
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -55,8 +80,10 @@ class StagedTables:
                     return self.spark.read.schema(self._schemas[name]).parquet(self.path(name))
                 except AnalysisException:
                     del self._schemas[name]
+            began = time.perf_counter()
             df = build()
             df.write.mode("overwrite").parquet(self.path(name))
+            self.seconds[name] = time.perf_counter() - began
             self._schemas[name] = df.schema
             return self.spark.read.schema(df.schema).parquet(self.path(name))
 

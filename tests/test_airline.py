@@ -284,6 +284,59 @@ def test_run_writes_everything(spark, tmp_path):
         assert secret not in stored
 
 
+def test_quarantine_lets_no_unknown_or_clear_column_out(spark):
+    frames = raw(spark)
+    frames["passengers"] = frames["passengers"].withColumns(
+        {"phone": F.lit("0123456789"), "home_address": F.lit("1 Long Street")}
+    )
+    rejected = Airline(spark, frames).quarantine()["passengers"]
+    assert "home_address" not in rejected.columns
+    found = [r.asDict() for r in rejected.collect()]
+    assert len(found) == 2 and {r["phone"] for r in found} == {"012345****"}
+    clear = {"Cid", "C", "A3", "cid@x.com", "1 Long Street", "0123456789"}
+    assert not clear & {v for r in found for v in r.values()}
+
+
+def test_a_payment_lost_before_deduplication_fails_the_reconciliation(spark, monkeypatch):
+    plan = Airline(spark, raw(spark))
+    whole = plan._distinct
+
+    def losing(dataset, key):
+        df = whole(dataset, key)
+        return df.where("payment_id <> 'Y2'") if dataset == "payments" else df
+
+    monkeypatch.setattr(plan, "_distinct", losing)
+    assert plan.payment_reconciliation().first().status == "FAIL"
+    with pytest.raises(ReconciliationError):
+        assert_reconciled(plan.reconciliation())
+
+
+def test_a_failing_run_publishes_nothing(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    run(spark, raw(spark), out, "t1").close()
+    before = spark.read.parquet(f"{out}/curated/fact_payments.parquet").count()
+    whole = Airline._distinct
+
+    def losing(self, dataset, key):
+        df = whole(self, dataset, key)
+        return df.where("payment_id <> 'Y2'") if dataset == "payments" else df
+
+    monkeypatch.setattr(Airline, "_distinct", losing)
+    with pytest.raises(ReconciliationError):
+        run(spark, raw(spark), out, "t2")
+    assert spark.read.parquet(f"{out}/curated/fact_payments.parquet").count() == before
+
+
+def test_text_times_in_other_formats(spark):
+    frames = raw(spark)
+    frames["bookings"] = frames["bookings"].withColumn(
+        "booking_date", F.date_format("booking_date", "dd/MM/yyyy HH:mm")
+    )
+    plan = Airline(spark, frames, AirlineRules(timestamp_formats=("dd/MM/yyyy HH:mm",)))
+    keys = {r.booking_id: r.date_key for r in plan.table("fact_bookings").collect()}
+    assert keys["B1"] == 20260401
+
+
 def test_staged_tables_are_built_once_and_again_if_lost(spark, tmp_path):
     stage = StagedTables(spark, str(tmp_path / "a"))
     builds = []
@@ -301,15 +354,15 @@ def test_staged_tables_are_built_once_and_again_if_lost(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session():
     def session(master, folder=None):
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://warehouse/"}
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default),
+            conf=SimpleNamespace(get=lambda key, default=None: known[key] or default),
             sparkContext=SimpleNamespace(master=master),
         )
 
-    assert shared_folder(session("yarn", "hdfs://shared/work/")) == "hdfs://shared/work"
-    assert shared_folder(session("local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
+    for master in ("yarn", "local[2]"):
+        assert shared_folder(session(master, "hdfs://shared/work/")) == "hdfs://shared/work"
+        assert shared_folder(session(master)) == "hdfs://warehouse/staging"
 
 
 def test_command_line(spark, tmp_path, capsys):

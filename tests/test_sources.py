@@ -1,11 +1,13 @@
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.plans import Dashboard
-from tarmac.schemas import CURATED, SchemaError
-from tarmac.sources.curated import read_curated, register_views, write_curated
-from tarmac.sources.datasets import MissingDatasetError, read_datasets
+from tarmac.schemas import CURATED, SchemaError, conform
+from tarmac.sources.curated import export_csv, read_curated, register_views, write_curated
+from tarmac.sources.datasets import MissingDatasetError, read_datasets, read_frame
+from tarmac.sources.staging import replace_folder
 
 
 @pytest.fixture(scope="module")
@@ -87,7 +89,7 @@ def test_raw_datasets_from_csv(spark, tmp_path):
     places = {n: f"{tmp_path}/{n}.csv" for n in files}
     frames = read_datasets(spark, places, "csv")
     assert frames["bookings"].columns[-1] == "extra"
-    assert dict(frames["bookings"].dtypes)["booking_date"] == "timestamp_ntz"
+    assert dict(frames["bookings"].dtypes)["booking_date"] == "string"
     assert rows(frames["passengers"]) == [("F", None, "P1", "Ann", None)]
     assert rows(frames["flights"], "airline", "arrival_time") == [(None, "later")]
     (tmp_path / "payments.csv").write_text("payment_id,booking_id\nY1,B1\n")
@@ -95,3 +97,39 @@ def test_raw_datasets_from_csv(spark, tmp_path):
         read_datasets(spark, places, "csv")
     with pytest.raises(MissingDatasetError, match="nowhere"):
         read_datasets(spark, {**places, "flights": f"{tmp_path}/nowhere"}, "parquet")
+
+
+ODD = [(" AI10 ", "x\ny"), ('say "hi"', ""), (None, "a,b"), ("\t", "\r\nend "), ("", None)]
+
+
+def test_csv_keeps_values_as_they_are(spark, tmp_path):
+    path = str(tmp_path / "odd.csv")
+    export_csv(spark.createDataFrame(ODD, "a string, b string"), path)
+    assert rows(read_frame(spark, path, "csv")) == sorted(ODD, key=repr)
+
+
+def test_malformed_csv_rows_do_not_pass_unseen(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    path = str(tmp_path / "bad.csv")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_frame(spark, path, "csv").collect()
+    marked = read_frame(spark, path, "csv", malformed="mark")
+    assert [r.malformed_row for r in marked.orderBy("a").collect()] == [None, "3", "4,5,6"]
+    with pytest.raises(ValueError):
+        read_frame(spark, path, "csv", malformed="ignore")
+
+
+def test_numbers_with_a_fraction_are_no_whole_numbers(spark):
+    df = spark.createDataFrame([("30.7",), ("30.0",), ("31",), ("x",), ("9999999999",)], "age string")
+    found = conform(df, T.StructType([T.StructField("age", T.IntegerType())]))
+    assert [r.age for r in found.collect()] == [None, 30, 31, None, None]
+
+
+def test_a_folder_is_replaced_whole(spark, tmp_path):
+    for name, k in (("new", 2), ("old", 1)):
+        spark.range(k).write.parquet(str(tmp_path / name))
+    replace_folder(spark, str(tmp_path / "new"), str(tmp_path / "old"))
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 2
+    assert not (tmp_path / "new").exists()
+    replace_folder(spark, str(tmp_path / "old"), str(tmp_path / "deep" / "first"))
+    assert spark.read.parquet(str(tmp_path / "deep" / "first")).count() == 2
