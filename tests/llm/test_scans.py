@@ -1,0 +1,247 @@
+"""Licence scan, decontamination, packing and top-k search against plain versions."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from llm_data import edge_rows, frame, rows, words
+from pyspark.sql import functions as F
+
+from tarmac.llm import decontaminate, licenses, packing, topk
+from tarmac.llm.license_rules import GATES, RULES, WHOLE_GATES
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+BASE = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
+
+
+def base_fields(text):
+    w = plain_words(text)
+    places = [
+        (i, label)
+        for label, phrase in BASE.items()
+        for i in range(len(w))
+        if w[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in places]
+    labels = ",".join(sorted({label for _, label in places}))
+    return len(w), len(places), min(starts, default=None), max(starts, default=None), labels
+
+
+LICENSED = [
+    "Licensed under CC-BY-SA 4.0. ALL RIGHTS RESERVED",
+    "cc by cc by; cc, by! accept bypass occ by",
+    "GNU General Public License version 3, see https://www.gnu.org/licenses/gpl-3.0.html",
+    "SPDX-License-Identifier: Apache-2.0 All rights reserved. all Rights\nreserved",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    "associated documentation files",
+    "Kopyright ccKby all rights reservedé general public license",
+    "cc by " * 3000,
+]
+
+
+def test_every_rule_can_pass_its_gate():
+    assert len(RULES) > 300 and len({r.id for r in RULES}) == len(RULES)
+    for r in RULES:
+        assert any(w.startswith(GATES) or w in WHOLE_GATES for w in r.keyword.split()), r
+        re.compile(r.signature)
+        if not re.search(r"[(\[?]", r.signature):
+            assert f" {r.keyword}" in f" {r.signature}", r
+
+
+def test_base_phrases_equal_plain_search(spark):
+    table = list(enumerate(LICENSED)) + edge_rows()
+    found = licenses.summary(licenses.scan(frame(spark, table), ["doc_id"]))
+    want = sorted([(d, *base_fields(t)) for d, t in table], key=repr)
+    assert rows(found, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels") == want
+
+
+def test_priority_and_containment(spark):
+    found = licenses.summary(licenses.scan(frame(spark, list(enumerate(LICENSED))), ["doc_id"]))
+    by_id = {r.doc_id: r for r in found.collect()}
+    assert by_id[0].labels == "cc-by,cc-by-sa-4.0,licensed,reserved"  # plain cc-by-sa is covered
+    assert by_id[2].labels == "gpl,gpl-3.0"
+    assert "apache-2.0" in by_id[3].labels and by_id[3].n_base == 2
+    assert by_id[4].labels == "mit"
+    assert by_id[6].n_base == 3000
+    assert all(0 <= r.score <= 1 for r in by_id.values())
+
+
+def test_license_scan_of_nothing(spark, empty):
+    assert licenses.summary(licenses.scan(empty, ["doc_id"])).count() == 0
+
+
+def hits(table, items, size=13):
+    windows = {}
+    for item, text in items:
+        w = plain_words(text)
+        n = min(size, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(item)
+    out = []
+    for doc, text in table:
+        w = plain_words(text)
+        hit, found = set(), set()
+        for n in {len(k) for k in windows}:
+            for i in range(len(w) - n + 1):
+                ids = windows.get(tuple(w[i : i + n]))
+                if ids is not None:
+                    hit.update(range(i, i + n))
+                    found |= ids
+        ids = sorted(str(x) for x in found if x is not None)
+        digest = hashlib.sha256(",".join(ids).encode()).hexdigest()
+        out.append((doc, len(w), len(hit), len(ids), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_words", [400_000, 40])
+def test_windows_equal_plain_search(spark, block_words):
+    rng = random.Random(3)
+    items = [(k, " ".join(words(rng, rng.choice([2, 8, 13, 14, 40]), 900))) for k in range(12)]
+    items += [(3, "again " + items[3][1]), (12, items[4][1].upper()), (13, ""), (14, None), (None, items[5][1])]
+    table = edge_rows()
+    for doc in range(100, 140):
+        w = words(rng, rng.randrange(0, 300), 900)
+        if rng.random() < 0.7:
+            at = rng.randrange(len(w) + 1)
+            part = (rng.choice(items)[1] or "").split()
+            w[at:at] = part[rng.randrange(0, 3) :]
+        table.append((doc, ", ".join(w)))
+    item_table = spark.createDataFrame([(a, b, "x") for a, b in items], "item_id long, text string, n_words string")
+    found = decontaminate.find_windows(
+        frame(spark, table), item_table, ["doc_id"], block_words=block_words
+    )
+    found = decontaminate.contamination(found)
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert rows(found, *names) == hits(table, items)
+
+
+def test_contaminated_documents_go(spark, edges, empty):
+    items = spark.createDataFrame([(1, "same line here same line here")], "item_id long, text string")
+    kept = decontaminate.remove_contaminated(edges, items)
+    assert kept.columns == edges.columns
+    assert kept.count() == len(edge_rows()) - 1
+    assert decontaminate.remove_contaminated(empty, items).count() == 0
+    assert decontaminate.remove_contaminated(edges, items.limit(0)).count() == len(edge_rows())
+
+
+def odd_texts():
+    rng = random.Random(8)
+    return [
+        "a\n b", "  x  y ", "a\xa0b \xa0c", "don't we'll  it's\n\n\nok", "\n", "x<|endoftext|>y <|endoftext|> z",
+        "tab\tb", "ünï 中文 字 🙂🙂", " lead", "trail ", "a\r\nb", "1234 567,8 --- ...!", "\x01odd\x00",
+        "\n".join(" ".join(words(rng, 30, 500)) for _ in range(200)),
+    ]
+
+
+def test_chunked_ids_equal_the_tokenizer():
+    encoder = packing.Encoder(TOKENIZER)
+    texts = odd_texts()
+    for _ in range(2):
+        ids, ends = encoder(texts, 0)
+        for text, a, b in zip(texts, [0, *ends], ends):
+            assert ids[a : b - 1].tolist() == encoder._whole(text) and ids[b - 1] == 0
+
+
+def test_packing_is_whole_and_tight(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    table = list(enumerate(odd_texts()))
+    table += [(100 + k, " ".join(words(rng, rng.randrange(1, 900), 700))) for k in range(150)]
+    table += [(1, None), (2, ""), (None, "null id")]
+    out = packing.pack_documents(frame(spark, table).coalesce(1), TOKENIZER).collect()
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    pieces = {}
+    for r in out:
+        assert r.length == len(r.ids) <= 1024
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    ids = {}
+    for doc, text in table:
+        whole = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        ids.setdefault((doc, len(whole)), []).append(whole)
+    assert set(ids) == set(pieces)
+    for key, wanted in ids.items():
+        if len(wanted) == 1:
+            own = sorted(pieces[key], key=lambda r: r.start)
+            assert [r.start for r in own] == np.cumsum([0] + [r.length for r in own])[:-1].tolist()
+            assert [i for r in own for i in r.ids] == wanted[0]
+    windows = {}
+    for r in out:
+        windows.setdefault(r.sequence_id, []).append(r)
+    total = sum(r.length for r in out)
+    for own in windows.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0] + [r.length for r in own])[:-1].tolist()
+        assert sum(r.length for r in own) <= 1024
+    assert len(windows) * 1024 <= 1.03 * total + 1024
+
+
+def test_packing_of_nothing(spark, empty):
+    assert packing.pack_documents(empty, TOKENIZER).count() == 0
+
+
+def test_differencing_balances():
+    rng = random.Random(4)
+    for count in (1, 3, 40, 200):
+        sizes = [rng.randrange(1, 256) for _ in range(count)]
+        for windows in (1, 2, 7, 30):
+            found = packing.differencing(sizes, windows)
+            assert sorted(i for w in found for i in w) == list(range(count))
+            assert len(found) <= windows
+            if count >= 6 * windows:
+                sums = [sum(sizes[i] for i in w) for w in found]
+                assert max(sums) - min(sums) <= max(sizes) // 4 + 2
+    assert packing.pack([1024, 1, 1023, 600, 600], 1024) is not None
+
+
+def best(table, is_query, k):
+    sound = [
+        (i, [int(np.floor(256 * float(x))) for x in v])
+        for i, v in table
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = []
+    for q in sorted({i for i, _ in sound if is_query(i)}):
+        own = min(v for i, v in sound if i == q)
+        scores = [(-sum(a * b for a, b in zip(own, v)), i) for i, v in sound if i != q]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("block_rows, query_rows", [(8192, 512), (40, 3)])
+def test_top_k_equals_all_scores(spark, block_rows, query_rows):
+    rng = np.random.default_rng(6)
+    table = [(i, rng.normal(0, 0.3, 12).tolist()) for i in range(150)]
+    table += [(i, [0.25] * 12) for i in range(150, 170)]  # ties
+    table += [(5, table[9][1]), (5, table[9][1]), (200, None), (201, []), (202, [1.0, None]), (None, [1.0])]
+    table += [(203, [float("nan")] * 12), (204, [float("inf")] * 12), (210, [0.5, -0.5]), (220, [0.0] * 12)]
+    vectors = spark.createDataFrame(
+        [(i, v, "x", 1) for i, v in table], "vec_id long, embedding array<double>, id string, rank int"
+    )
+    found = topk.top_k(
+        vectors, F.col("id") % 10 == 0, k=4, block_rows=block_rows, query_rows=query_rows
+    )
+    want = best(table, lambda i: i % 10 == 0, 4)
+    assert rows(found, "query_id", "rank", "vec_id", "score") == want
+
+
+def test_top_k_of_few_and_none(spark):
+    vectors = spark.createDataFrame([(0, [0.5]), (1, [1.0])], "vec_id long, embedding array<float>")
+    assert rows(topk.top_k(vectors, F.col("id") == 0)) == [(0, 1, 1, 128 * 256)]
+    assert topk.top_k(vectors.limit(0), F.col("id") == 0).count() == 0
+    alone = vectors.where("vec_id = 0")
+    assert topk.top_k(alone, F.col("id") == 0).count() == 0
+    with pytest.raises(ValueError):
+        topk.top_k(spark.createDataFrame([(0, [1e12])], "vec_id long, embedding array<double>"), F.col("id") == 0)
