@@ -39,14 +39,12 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
 from tarmac.llm.components import components
-from tarmac.llm.shared import Stage, bit_filter, maybe_in, text_column
+from tarmac.llm.shared import Stage, key_filter, text_column
 
 WORDS = 5
 PERCENT = 80
 #: Shingles that are put last in the order: the bound of what is broadcast for it.
 HEAVY = 1 << 17
-#: Bits of the filters that are broadcast.
-TOKEN_BITS, NODE_BITS = 26, 24
 #: Rounds in which lists are compared with a pivot before the rest is paired.
 PIVOT_ROUNDS = 2
 #: Shingles counted together, and texts worked on together, in a task.
@@ -196,7 +194,7 @@ class _Pass:
                 p = order.value.prefix(s, percent)
                 group = signature(np.append(p, np.uint64(len(s))))
                 if known is not None:
-                    kept = maybe_in(p.view(np.int64), known.value, TOKEN_BITS)
+                    kept = known.value.maybe(p.view(np.int64))
                     if not kept.any():
                         continue
                     sketches.append(sketch(s))
@@ -215,7 +213,7 @@ class _Pass:
                 yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(of_node)], names=["h", "node"])
                 return
             at = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            kept = maybe_in(flat, known.value, TOKEN_BITS)
+            kept = known.value.maybe(flat)
             flat, at, of = flat[kept], at[kept], of[kept]
             yield _batch(np.zeros(len(nodes)), nodes, g, n, n, pa.array(sketches, pa.binary()), names=_POSTED)
             nothing = pa.nulls(len(flat), pa.binary())
@@ -239,7 +237,7 @@ class _Pass:
                         if len(s):
                             node = signature(s)
                             key = np.array([node ^ int(ids[i])], dtype=np.int64)
-                            if node not in sent and maybe_in(key, wanted.value, NODE_BITS)[0]:
+                            if node not in sent and wanted.value.maybe(key)[0]:
                                 sent.add(node)
                                 kept[node] = s.tobytes()
                     yield pa.RecordBatch.from_arrays(
@@ -286,7 +284,7 @@ def near_duplicates(
     every = reader.postings(order)
     shared = every.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     shared = stage.table("shared", shared.where("lo < hi").select("h"))
-    known = spark.sparkContext.broadcast(bit_filter(shared, "h", TOKEN_BITS))
+    known = spark.sparkContext.broadcast(key_filter(shared, "h"))
     second = stage.table("postings", reader.postings(order, known))
     members = second.where("kind = 0").select(F.col("h").alias("node"), "g", "n", "sketch")
     members = stage.table("members", members.dropDuplicates(["node"]).join(nodes, "node"))
@@ -353,11 +351,11 @@ def keep_one(
     gone = stage.table("gone", gone)
     key = F.xxhash64("doc_id", "text_hash").alias("key")
     touched = gone.select(key).union(again.select(key))
-    bits = documents.sparkSession.sparkContext.broadcast(bit_filter(touched, "key", NODE_BITS))
+    bits = documents.sparkSession.sparkContext.broadcast(key_filter(touched, "key"))
 
     @F.pandas_udf("boolean")
     def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(maybe_in(keys.to_numpy(dtype=np.int64), bits.value, NODE_BITS))
+        return pd.Series(bits.value.maybe(keys.to_numpy(dtype=np.int64)))
 
     hashed = documents.withColumn("__t", F.xxhash64(text_column(documents, text)))
     hashed = hashed.withColumn("__id", F.col(doc_id).cast("long"))
@@ -479,9 +477,7 @@ def _verified(pairs, nodes, reader: _Pass, percent: int, stage: Stage, round_: i
     """The pairs whose whole sets are similar enough; a set may come from several tasks."""
     spark = pairs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    bits = bit_filter(
-        wanted.select(F.expr("node ^ id").alias("key")), "key", NODE_BITS
-    )
+    bits = key_filter(wanted.select(F.expr("node ^ id").alias("key")), "key")
     sets = reader.sets(spark.sparkContext.broadcast(bits))
     sets = stage.table(f"shingles-{round_}", sets.withColumnRenamed("shingles", "s"))
     joined = (

@@ -85,15 +85,31 @@ def text_column(df: DataFrame, column: str):
 #: A filter is built in parts, by the low bits of the keys.
 _PART_BITS = 6
 _PARTS = 1 << _PART_BITS
+#: The largest filter has 2**28 bits, 32 MB, which bounds what is collected and broadcast.
+LARGEST_BITS = 28
 
 
-def bit_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
-    """A bitmap with a set bit for the hash of each key: ``2**bits`` bits, however many keys.
+class KeyFilter:
+    """A bitmap of keys. It may say yes for a key that is absent, never no for one present."""
 
-    Keys are dealt by their low bits, a task sets the bits of its parts, and only ``2**bits / 8``
-    bytes reach the driver. A test may say yes for a key that is absent, never no for one that is
-    present, so users test exactly afterwards.
+    def __init__(self, marks: np.ndarray, bits: int):
+        self.marks, self.bits = marks, bits
+
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key may be in the filter."""
+        place = _places(keys, self.bits)
+        shift = (7 - (place & np.uint64(7))).astype(np.uint8)
+        return (self.marks[place >> np.uint64(3)] >> shift) & 1 == 1
+
+
+def key_filter(keys: DataFrame, column: str, largest: int = LARGEST_BITS) -> KeyFilter:
+    """A filter with 32 to 64 bits a key, up to ``2**largest`` bits however many keys.
+
+    Keys are dealt by their low bits, a task sets the bits of its parts, and only the bitmap
+    reaches the driver. A full filter lets too much pass but loses nothing, as users test exactly
+    afterwards.
     """
+    bits = min(largest, max(16, (32 * keys.count()).bit_length()))
     size = 1 << (bits - _PART_BITS)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +132,7 @@ def bit_filter(keys: DataFrame, column: str, bits: int) -> np.ndarray:
     whole = np.zeros((_PARTS, size // 8), dtype=np.uint8)
     for row in dealt.mapInArrow(build, "part int, marks binary").collect():
         whole[row.part] |= np.frombuffer(row.marks, dtype=np.uint8)
-    return whole.reshape(-1)
+    return KeyFilter(whole.reshape(-1), bits)
 
 
 def _places(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -128,8 +144,3 @@ def _places(keys: np.ndarray, bits: int) -> np.ndarray:
     part = own & np.uint64(_PARTS - 1)
     return (part << np.uint64(bits - _PART_BITS)) | (mixed >> np.uint64(64 - bits + _PART_BITS))
 
-
-def maybe_in(keys: np.ndarray, marks: np.ndarray, bits: int) -> np.ndarray:
-    """Whether each key may be in the filter."""
-    place = _places(keys, bits)
-    return (marks[place >> np.uint64(3)] >> (7 - (place & np.uint64(7))).astype(np.uint8)) & 1 == 1

@@ -36,12 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import deepshallow, wordhash
-from tarmac.llm.shared import Stage, bit_filter, maybe_in, text_column
+from tarmac.llm.shared import Stage, key_filter, text_column
 
 WIDTH, GRAM = 200, 32
 #: Different contexts of a gram that one task sorts.
 GROUP = 128
-GRAM_BITS, REF_BITS, TEXT_BITS = 26, 24, 22
 
 _ORDER_MASK = np.uint64((1 << 36) - 1 << 28)
 _BASE = 0x9E3779B97F4A7C15
@@ -122,13 +121,13 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
 
     every = texts.mapInArrow(grams, "gram long, ref long")
     shared = stage.table("grams", _distinct(every, ["gram"], "ref").where("lo < hi").select("gram"))
-    bits = spark.sparkContext.broadcast(bit_filter(shared, "gram", GRAM_BITS))
+    bits = spark.sparkContext.broadcast(key_filter(shared, "gram"))
     stage.drop("grams")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found, own in _anchors(batch, width, gram):
-                kept = maybe_in(found.gram, bits.value, GRAM_BITS)
+                kept = bits.value.maybe(found.gram)
                 columns = (
                     found.gram, found.context, found.references(own), own[found.text],
                     found.position, found.left, found.right,
@@ -150,32 +149,38 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     )
     mixed = stage.table("mixed", mixed.where("n > 1 and open").select("gram", "n"))
     chosen = contexts.join(mixed, "gram").select(F.col("lo").alias("ref"))
-    wanted = spark.sparkContext.broadcast(bit_filter(chosen, "ref", REF_BITS))
+    wanted = spark.sparkContext.broadcast(key_filter(chosen, "ref"))
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for found, own in _anchors(batch, width, gram):
-                kept = np.flatnonzero(maybe_in(found.references(own), wanted.value, REF_BITS))
+                kept = np.flatnonzero(wanted.value.maybe(found.references(own)))
                 raw = found.data.tobytes()
                 a, b = found.at - found.left, found.at + found.right
                 pieces = [raw[x:y] for x, y in zip(a[kept].tolist(), b[kept].tolist())]
                 yield _record(
-                    "gram ctx l bytes", found.gram[kept], found.context[kept], found.left[kept],
-                    pa.array(pieces, pa.binary()),
+                    "gram ctx l bytes big", found.gram[kept], found.context[kept], found.left[kept],
+                    pa.array(pieces, pa.binary()), hot.value.maybe(found.gram[kept]),
                 )
 
-    pieces = texts.mapInArrow(bytes_of, "gram long, ctx long, l long, bytes binary")
-    pieces = stage.table("pieces", pieces.join(mixed, "gram"))
+    # Only pieces that may belong to a large group are joined with those; the others, and the few
+    # that a filter let pass wrongly, make small groups, which are dealt out once.
+    crowded = mixed.where(F.col("n") > group).select("gram")
+    hot = spark.sparkContext.broadcast(key_filter(crowded, "gram"))
+    pieces = texts.mapInArrow(bytes_of, "gram long, ctx long, l long, bytes binary, big boolean")
+    pieces = stage.table("pieces", pieces)
+    few = pieces.where("not big").unionByName(
+        pieces.where("big").join(crowded, "gram", "left_anti")
+    )
     small = (
-        pieces.where(F.col("n") <= group)
-        .select("gram", "ctx", "l", "bytes")
+        few.select("gram", "ctx", "l", "bytes")
         .repartition("gram")
         .sortWithinPartitions("gram")
         .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
     )
     whole = contexts.where("lo < hi").select("gram", "ctx", "l", "r")
     reach = whole.unionByName(small)
-    large = pieces.where(F.col("n") > group).drop("n")
+    large = pieces.where("big").drop("big").join(crowded, "gram", "left_semi")
     for part in _halved(large, stage, width, gram):
         reach = reach.unionByName(part)
     reach = reach.where(f"l + r >= {width}")
@@ -304,7 +309,7 @@ def remove_repeats(
     texts = rows.where(F.octet_length("text") >= width).select("t", "text")
     spans = repeated_spans(texts, stage, width, gram, group)
     spans = stage.table("spans", spans.join(copies, "t", "left_anti"))
-    changed = spark.sparkContext.broadcast(bit_filter(spans, "t", TEXT_BITS))
+    changed = spark.sparkContext.broadcast(key_filter(spans, "t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +317,7 @@ def remove_repeats(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            move = maybe_in(batch.column(2).to_numpy(zero_copy_only=False), changed.value, TEXT_BITS)
+            move = changed.value.maybe(batch.column(2).to_numpy(zero_copy_only=False))
             raw = [x.as_buffer().to_pybytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
