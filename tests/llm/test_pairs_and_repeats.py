@@ -11,7 +11,7 @@ import pytest
 
 from tarmac.llm import deepshallow, jaccard, linededup, suffixdedup
 from tarmac.llm.components import components
-from tarmac.llm.shared import Stage, bit_filter, maybe_in
+from tarmac.llm.shared import Stage, key_filter
 
 from llm_data import edge_rows, frame, rows, words
 
@@ -96,12 +96,15 @@ def test_components_of_chains_and_hubs(spark):
     assert rows(found, "node", "root") == sorted(want, key=repr)
 
 
-def test_filter_never_misses(spark):
+@pytest.mark.parametrize("largest, wrong", [(28, 0.05), (10, 1.0)])
+def test_filter_never_misses(spark, largest, wrong):
     keys = np.random.default_rng(1).integers(-(2**62), 2**62, 5000)
-    marks = bit_filter(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", 18)
-    assert maybe_in(keys, marks, 18).all()
+    found = key_filter(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", largest)
+    assert found.maybe(keys).all()
     others = np.random.default_rng(2).integers(-(2**62), 2**62, 5000)
-    assert maybe_in(others, marks, 18).mean() < 0.05
+    assert found.maybe(others).mean() <= wrong
+    none = key_filter(spark.createDataFrame([], "k long"), "k")
+    assert not none.maybe(keys).any()
 
 
 def without_runs(table, min_lines=2):
