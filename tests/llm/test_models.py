@@ -107,7 +107,7 @@ def test_page_blocks():
     <table><tr><td>c1<td>c2</table></article><p>1 < 2</body>"""
     found = htmltext.blocks(page)
     assert [t for _, t in found] == ["a", "b", "T&C", "one two three", "four five six", "c1", "c2", "1 < 2"]
-    assert found[3][0] == ("html", "body", "article", "p")
+    assert found[3][0] == ("html", "body", "article", "p", "b")
     assert found[4][0] == ("html", "body", "article", "p", "x", "y")
     assert found[5][0][-3:] == ("table", "tr", "td") and "p" not in found[5][0]
 
