@@ -12,8 +12,9 @@ context: ``width - gram`` bytes before it and ``width`` bytes from it on, within
    all further shuffles.
 2. Anchors with equal contexts repeat as a whole; these are counted by hash, with map-side
    combining, so groups of copies shrink before the shuffle.
-3. Where a gram has different contexts, one anchor of each is kept with its bytes. Up to ``group``
-   of them are sorted in a task, the suffixes from the anchor on and the reversed texts before it,
+3. Where a gram has different contexts, one anchor of each is kept with its bytes: a task sends a
+   context once, and what several tasks sent is dropped as it is read in order. Up to ``group`` of
+   them are sorted in a task, the suffixes from the anchor on and the reversed texts before it,
    by deep-shallow sorting: multikey quicksort to a shallow depth, then blind tries. The common
    prefixes of both orders tell how far the string shared with any other reaches.
 4. Larger groups are not collected: halving the places that a window may take around the anchor,
@@ -41,6 +42,8 @@ from tarmac.llm.shared import Stage, key_filter, text_column
 WIDTH, GRAM = 200, 32
 #: Different contexts of a gram that one task sorts.
 GROUP = 128
+#: Contexts that a task remembers to have sent; it forgets them all when there are more.
+SENT = 200_000
 
 _ORDER_MASK = np.uint64((1 << 36) - 1 << 28)
 _BASE = 0x9E3779B97F4A7C15
@@ -152,9 +155,11 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     wanted = spark.sparkContext.broadcast(key_filter(chosen, "ref"))
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
             for found, own in _anchors(batch, width, gram):
                 kept = np.flatnonzero(wanted.value.maybe(found.references(own)))
+                kept = kept[_unsent(found.gram[kept], found.context[kept], sent)]
                 raw = found.data.tobytes()
                 a, b = found.at - found.left, found.at + found.right
                 pieces = [raw[x:y] for x, y in zip(a[kept].tolist(), b[kept].tolist())]
@@ -175,7 +180,7 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     small = (
         few.select("gram", "ctx", "l", "bytes")
         .repartition("gram")
-        .sortWithinPartitions("gram")
+        .sortWithinPartitions("gram", "ctx")
         .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
     )
     whole = contexts.where("lo < hi").select("gram", "ctx", "l", "r")
@@ -193,11 +198,22 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     )
 
 
+def _unsent(grams: np.ndarray, contexts: np.ndarray, sent: set[tuple[int, int]]) -> np.ndarray:
+    """Whether each context comes for the first time; ``sent`` holds those before and is filled."""
+    if len(sent) > SENT:
+        sent.clear()
+    first = np.zeros(len(grams), dtype=bool)
+    for i, key in enumerate(zip(grams.tolist(), contexts.tolist())):
+        if key not in sent:
+            sent.add(key)
+            first[i] = True
+    return first
+
+
 def _sorted_groups(width: int):
-    """For batches in order of gram: how far each context repeats, to either side."""
+    """For batches in order of gram and context: how far each context repeats, to either side."""
 
     def solve(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
-        rows = list({r[1]: r for r in rows}.values())
         if len(rows) < 2:
             return []
         after = deepshallow.common_prefixes([b[l:] for _, _, l, b in rows])
@@ -217,7 +233,8 @@ def _sorted_groups(width: int):
                 if waiting and waiting[-1][0] != row[0]:
                     out.extend(solve(waiting))
                     waiting = []
-                waiting.append(row)
+                if not waiting or waiting[-1][1] != row[1]:
+                    waiting.append(row)
             yield _found(out)
         yield _found(solve(waiting))
 

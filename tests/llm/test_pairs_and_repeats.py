@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 
@@ -199,6 +201,45 @@ def test_byte_repeats_edges(spark, edges, empty):
     assert suffixdedup.remove_repeats(empty).count() == 0
 
 
+def test_copies_do_not_wait_in_a_task():
+    """Many tasks may send the same context of a gram; one row of each is held."""
+    a, b = b"x" * 100 + b"y" * 200, b"z" * 100 + b"y" * 200
+    names = ["gram", "ctx", "l", "bytes"]
+
+    def batches():
+        for ctx, piece in [(1, a)] * 20 + [(2, b)]:
+            columns = ([5] * 10_000, [ctx] * 10_000, [100] * 10_000, [piece] * 10_000)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    tracemalloc.start()
+    found = [r for out in suffixdedup._sorted_groups(200)(batches()) for r in out.to_pylist()]
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sorted((r["gram"], r["ctx"], r["l"], r["r"]) for r in found) == [(5, 1, 0, 200), (5, 2, 0, 200)]
+    assert most < 30 << 20
+
+
+def test_a_task_sends_a_context_once(spark):
+    """Copies of a text and a near copy: pieces of different contexts only."""
+    rng = random.Random(7)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    table = [(k, base) for k in range(60)] + [(60, base[:250] + "changed" + base[250:])]
+    sizes = {}
+
+    class Counted(Stage):
+        def table(self, name, df):
+            out = super().table(name, df)
+            if name == "pieces":
+                sizes[name] = out.count(), out.select("gram", "ctx").distinct().count()
+            return out
+
+    texts = frame(spark, table).coalesce(1).selectExpr("xxhash64(text) as t", "text")
+    spans = suffixdedup.repeated_spans(texts, Counted(spark, "test"), 50, 12, 128)
+    assert spans.count() == 2
+    rows_, different = sizes["pieces"]
+    assert rows_ == different > 0
+
+
 def test_deep_shallow_order():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 60))) for _ in range(300)]
