@@ -35,7 +35,7 @@ artistic-2.0 | artistic license | under the terms of the artistic license (?:ver
 ofl-1.1 | sil open font license | licensed under the sil open font license version 1 1
 proprietary | strictly prohibited | unauthorized (?:copying|use|reproduction)(?: or [^ ]+){0,4} (?:[^ ]+ ){0,12}is strictly prohibited
 proprietary | confidential and proprietary | (?:this [^ ]+ is )?confidential and proprietary
-no-reuse | may not be reproduced | no part of this (?:[^ ]+ ){1,3}may (?:not )?be reproduced
+no-reuse | be reproduced | no part of this (?:[^ ]+ ){1,3}may (?:not )?be reproduced
 no-reuse | without prior written permission | (?:reproduced|redistributed|republished) (?:[^ ]+ ){0,12}without prior written permission
 """
 
@@ -49,7 +49,7 @@ mit-0 | mit no attribution | mit no attribution
 bsd-4-clause | bsd | (?:4 clause|four clause|original) bsd license
 bsd-3-clause | bsd | (?:3 clause|three clause|new|modified|revised) bsd license
 bsd-2-clause | bsd | (?:2 clause|two clause|simplified|freebsd) bsd license
-bsd | bsd license | bsd (?:style )?license
+bsd | bsd | bsd (?:style )?license
 isc | isc license | isc license
 zlib | zlib | zlib(?: libpng)? license
 gpl-3.0 | general public license | (?:gnu )?general public license (?:version |v )?3(?: 0)?
@@ -77,8 +77,8 @@ epl | eclipse public license | eclipse public license
 cddl-1.1 | common development and distribution license | common development and distribution license (?:version )?1 1
 cddl-1.0 | common development and distribution license | common development and distribution license
 cpl-1.0 | common public license | common public license
-eupl-1.2 | european union public licence | european union public licen[cs]e (?:version |v )?1 2
-eupl | european union public licence | european union public licence
+eupl-1.2 | european union public licen | european union public licen[cs]e (?:version |v )?1 2
+eupl | european union public licen | european union public licen[cs]e
 artistic-2.0 | artistic license | artistic license 2 0
 artistic-1.0 | artistic license | artistic license
 boost-1.0 | boost software license | boost software license
@@ -181,8 +181,12 @@ reserved | all rights reserved
 HINTS = """
 copyright | copyright | copyright(?: c)?(?: (?:19|20)[0-9]{2}(?: (?:19|20)?[0-9]{2})?)?
 copyleft | copyleft | copyleft
-licensed | licensed under | (?:is |are )?(?:licensed|released|distributed) under(?: the)?(?: terms of)?
-license-file | license | (?:see|refer to) the (?:file )?(?:license|copying)(?: txt| md)?(?: file)?
+licensed | licensed under | (?:is |are )?licensed under(?: the)?(?: terms of)?
+licensed | released under | (?:is |are )?released under(?: the)?(?: terms of)?
+licensed | distributed under | (?:is |are )?distributed under(?: the)?(?: terms of)?
+license-file | license | (?:see|refer to) the (?:file )?license(?: txt| md)?(?: file)?
+license-file | the copying | (?:see|refer to) the copying(?: txt| md)?(?: file)?
+license-file | file copying | (?:see|refer to) the file copying(?: txt| md)?(?: file)?
 reserved-some | some rights reserved | some rights reserved
 reserved-none | no rights reserved | no rights reserved
 trademark | registered trademark | (?:is a|are) registered trademarks? of
@@ -191,7 +195,7 @@ warranty | without warranty | (?:provided |distributed )?(?:as is )?without warr
 """
 
 GATES = tuple(
-    "licen unlicen copyr copyl reserved permission redistribution spdx gpl lgpl agpl gnu cc0 "
+    "licen unlicen copyr copyl copying released distributed reserved permission redistribution spdx gpl lgpl agpl gnu cc0 "
     "creative bsd zlib cecill unencumbered proprietary prohibited reproduced fuck domain "
     "trademark terms warranty wtfpl opendatacommons mozilla eclipse scripts attribution".split()
 )

@@ -59,6 +59,65 @@ def test_every_rule_can_pass_its_gate():
             assert f" {r.keyword}" in f" {r.signature}", r
 
 
+def branches(signature):
+    """Texts that a signature matches, with each of its branches and options; repeats at both ends."""
+    import itertools
+    from re import _parser
+
+    def expand(items):
+        parts = [[""]]
+        for op, value in items:
+            op = str(op)
+            if op == "LITERAL":
+                parts.append([chr(value)])
+            elif op == "IN":
+                chars = [c for kind, v in value for c in (
+                    [chr(v)] if str(kind) == "LITERAL"
+                    else [chr(v[0]), chr(v[1])] if str(kind) == "RANGE" else []
+                )]
+                parts.append(["x"] if str(value[0][0]) == "NEGATE" else chars)
+            elif op == "NOT_LITERAL":
+                parts.append(["x"])
+            elif op == "BRANCH":
+                parts.append([t for branch in value[1] for t in expand(branch)])
+            elif op == "SUBPATTERN":
+                parts.append(expand(value[-1]))
+            else:
+                assert op in ("MAX_REPEAT", "MIN_REPEAT"), op
+                least, most, inner = value
+                texts = expand(inner)
+                ends = {least, min(int(most), least + 3)}
+                parts.append([t * n for t in texts for n in sorted(ends)])
+        return ["".join(p) for p in itertools.product(*parts)]
+
+    return expand(_parser.parse(signature))
+
+
+def test_keyword_and_gate_are_in_every_branch():
+    for r in RULES:
+        for text in branches(r.signature):
+            assert re.fullmatch(r.signature, text), (r, text)
+            assert f" {r.keyword}" in f" {text}", (r, text)
+            assert any(w.startswith(GATES) or w in WHOLE_GATES for w in text.split()), (r, text)
+
+
+def test_branches_are_found(spark):
+    table = [
+        (0, "No part of this publication may be reproduced."),
+        (1, "European Union Public License, version 1.2"),
+        (2, "The European Union Public License"),
+        (3, "For the terms, see the COPYING file"),
+        (4, "refer to the file COPYING"),
+        (5, "It is released under the terms of this page"),
+        (6, "a BSD-style license"),
+    ]
+    found = licenses.summary(licenses.scan(frame(spark, table), ["doc_id"])).collect()
+    assert {r.doc_id: r.labels for r in found} == {
+        0: "no-reuse", 1: "eupl-1.2", 2: "eupl", 3: "license-file", 4: "license-file",
+        5: "licensed", 6: "bsd",
+    }
+
+
 def test_base_phrases_equal_plain_search(spark):
     table = list(enumerate(LICENSED)) + edge_rows()
     found = licenses.summary(licenses.scan(frame(spark, table), ["doc_id"]))
