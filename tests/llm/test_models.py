@@ -112,6 +112,21 @@ def test_page_blocks():
     assert found[5][0][-3:] == ("table", "tr", "td") and "p" not in found[5][0]
 
 
+def test_page_blocks_of_open_head_and_odd_names():
+    """An omitted </head>, names that begin like raw ones, and formulas lose no text."""
+    texts = lambda page: [t for _, t in htmltext.blocks(page)]
+    page = "<html><head><title>t</title><meta charset=x><body><article><p>one<p>two</article></body></html>"
+    assert htmltext.blocks(page) == [(("html", "body", "article", "p"), t) for t in ("one", "two")]
+    assert texts("<head><style>p {}</style><p>one") == ["one"]
+    assert texts("<head/><p>one</p>") == ["one"]
+    for name in ("title-bar", "object-card", "select-box", "head-line", "math-note", "svg-icon"):
+        assert texts(f"<{name}>a</{name}><p>b</p>") == ["a", "b"], name
+    formula = "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds"
+    assert texts(formula) == ["so x=1 holds"]
+    assert texts("<svg width=1 /><p>one") == ["one"]
+    assert texts("<svg><text>no</text></svg><script>no</script ><p>one") == ["one"]
+
+
 def test_lstm_gradients():
     rng = np.random.default_rng(2)
     lengths = np.array([3, 1, 5])
