@@ -4,7 +4,7 @@ import hashlib
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from tarmac.__main__ import main

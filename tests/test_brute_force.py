@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from tarmac.plans import Airline
 from tarmac.schemas import RAW

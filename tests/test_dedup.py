@@ -1,4 +1,4 @@
-from conftest import rows
+from base_helpers import rows
 
 from tarmac.operators.dedup import (
     count_copies,

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from tarmac.operators import explore as D
 from tarmac.operators import kpi as K

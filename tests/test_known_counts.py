@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 from itertools import permutations
 
 import pytest
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from tarmac.operators import audit as A

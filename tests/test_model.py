@@ -1,6 +1,6 @@
 import datetime
 
-from conftest import rows
+from base_helpers import rows
 
 from tarmac.operators import model as M
 from tarmac.schemas import CURATED

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import final_plan
+from base_helpers import final_plan
 from pyspark.sql import functions as F
 
 from contract.queries import all_queries, plan

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from tarmac.operators.privacy import allowlist, mask_email, mask_tail, pseudonymise, suppress

@@ -1,4 +1,4 @@
-from conftest import final_plan, rows
+from base_helpers import final_plan, rows
 from pyspark.sql import functions as F
 
 from tarmac.operators.references import distinct_keys, match_parent, split_orphans
