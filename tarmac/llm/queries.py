@@ -125,6 +125,38 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.fillmiddle import fill_in_middle, restored
+
+    made = fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    whole = restored(F.col("form"), F.col("output"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(whole.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_bytepairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tarmac.llm.bytepairs import decode, encode
+
+    coder = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = encode(table(spark, sf_dir, "documents"), ["doc_id"], *coder).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        "ids",
+    )
+    decoded = decode(encoded, ["doc_id", "n_tokens", "ids_sha256"], *coder)
+    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_lines": op2_lines,
@@ -136,4 +168,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html": op9_html,
     "op10_suffix": op10_suffix,
+    "op12_middle": op12_middle,
+    "op13_bytepairs": op13_bytepairs,
 }

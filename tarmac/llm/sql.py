@@ -137,5 +137,38 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        sha256(coalesce(x.ids, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM worded d LEFT JOIN words h USING (doc_id) LEFT JOIN ids x USING (doc_id)
+""",
+    # Units listed one by one; forms and cuts from the hash of seed and id.
+    "op12_middle": """
+WITH parted AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT *, len(u) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm'
+              ELSE 'psm' END AS form
+  FROM parted
+),
+cut AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS p,
+         array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(u[greatest(a, b) + 1:], '') AS s
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+                        ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
 """,
 }

@@ -40,7 +40,7 @@ def test_query_equals_sql(spark, database, name):
 
 
 def test_names_of_queries():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality", "line_dedup", "near_duplicates", "decontamination", "packing",
     ]
