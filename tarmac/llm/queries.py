@@ -125,6 +125,12 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tarmac.llm.ranked import search_ranked
+
+    return search_ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tarmac.llm.fillmiddle import fill_in_middle, restored
 
@@ -168,6 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_html": op9_html,
     "op10_suffix": op10_suffix,
+    "op11_ranked": op11_ranked,
     "op12_middle": op12_middle,
     "op13_bytepairs": op13_bytepairs,
 }

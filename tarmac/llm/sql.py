@@ -137,6 +137,45 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        sha256(coalesce(x.ids, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM worded d LEFT JOIN words h USING (doc_id) LEFT JOIN ids x USING (doc_id)
+""",
+    # Every document that shares a term with an item is scored.
+    "op11_ranked": """
+WITH worded AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+),
+size AS (
+  SELECT count(*) FILTER (WHERE len(w) > 0) AS n_all, CAST(coalesce(sum(len(w)), 0) AS BIGINT) AS l_all FROM worded
+),
+spread AS (SELECT row, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM worded),
+tfs AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM spread WHERE term IN (SELECT term FROM items) GROUP BY row, doc_id, n, term
+),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+impacts AS (
+  SELECT row, doc_id, t.term,
+         CAST(floor(1000 * ln((2 * n_all + 2) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT)
+           * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_all) // l_all)))) AS impact
+  FROM tfs t JOIN dfs USING (term), size
+),
+scored AS (
+  SELECT item_id, row, doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM items JOIN impacts USING (term) GROUP BY item_id, row, doc_id HAVING sum(impact) > 0
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
 """,
     # Units listed one by one; forms and cuts from the hash of seed and id.
     "op12_middle": """
