@@ -102,6 +102,14 @@ def test_ids_equal_the_library(spark, library):
     assert rows(back, "doc_id", "n_tokens", "ids", "decoded") == sorted(want, key=repr)
 
 
+def texts_of(codec, texts):
+    """The ids of each text, from slices of texts."""
+    out = []
+    for ids, counts in codec.encode(texts):
+        out += [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])]
+    return out
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(max_size=40) | st.text("ab ", max_size=60).map(str.encode))
 def test_merges_equal_the_library(library, piece):
@@ -109,18 +117,44 @@ def test_merges_equal_the_library(library, piece):
     assert bytepairs.merged_parts(piece, library._mergeable_ranks) == want
 
 
-def test_a_full_table_changes_nothing(library, monkeypatch):
-    monkeypatch.setattr(bytepairs, "REMEMBERED_BYTES", 2000)
-    codec = bytepairs.Codec(*CODER)
-    for text in odd_texts():
-        assert list(codec.encode(text)) == library.encode_ordinary(text)
-        assert codec.encoded.bytes <= 2000 + 4 * 6000 + 40 * 6000
-
-
-def test_texts_met_in_turn_equal_listed_ones(library, monkeypatch):
-    monkeypatch.setattr(bytepairs, "LISTED_CHARS", 0)
+@pytest.fixture(scope="module")
+def codec():
+    return bytepairs.Codec(*CODER)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(min_size=2, max_size=40), min_size=1, max_size=30))
+def test_merges_of_many_equal_those_of_one(codec, pieces):
+    pieces = [p for p in pieces if p not in codec.ranks] or [b"\x00\x00\xff"]
+    ids, counts = bytepairs.merged_together(pieces, codec.byte_ids, codec.pair_ranks)
+    want = [bytepairs.merged_parts(p, codec.ranks) for p in pieces]
+    assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_ranks_of_pairs(codec):
+    rng = np.random.default_rng(4)
+    first, second = rng.integers(0, 50_256, (2, 20_000))
+    want = [
+        codec.ranks.get(codec.tokens[a] + codec.tokens[b], bytepairs._NONE)
+        for a, b in zip(first.tolist(), second.tolist())
+    ]
+    assert codec.pair_ranks(first, second).tolist() == want
+    some = [(codec.ranks[t[:1]], codec.ranks[t[1:]], r) for t, r in codec.ranks.items() if t[1:] in codec.ranks and len(t) > 1]
+    a, b, ranks = (np.array(x) for x in zip(*some))
+    assert codec.pair_ranks(a, b).tolist() == ranks.tolist()
+
+
+@pytest.mark.parametrize("limits", [{}, {"REMEMBERED_BYTES": 2000, "SLICE_CHARS": 500}, {"SLICE_CHARS": 8}, {"SHORT": 1}])
+def test_limits_change_nothing(library, monkeypatch, limits):
+    """A table that is emptied, small slices, texts listed in parts, and matches one by one."""
+    for name, value in limits.items():
+        monkeypatch.setattr(bytepairs, name, value)
     codec = bytepairs.Codec(*CODER)
-    assert all(list(codec.encode(t)) == library.encode_ordinary(t) for t in odd_texts())
+    texts = odd_texts()
+    assert texts_of(codec, texts) == [library.encode_ordinary(t) for t in texts]
+    assert texts_of(codec, []) == []
+    if "REMEMBERED_BYTES" in limits:
+        assert codec.encoded.bytes() < 40_000
 
 
 def test_decoding_of_odd_lists(spark):
@@ -132,12 +166,8 @@ def test_decoding_of_odd_lists(spark):
     assert rows(found) == [(1, None), (2, bytearray()), (3, None), (4, None), (5, None), (6, bytearray(b"ab"))]
 
 
-def test_slices_of_ids_lose_no_row(spark, library):
-    texts = [(i, "some words here " * (i % 7)) for i in range(500)]
-    before, bytepairs.SLICE_IDS = bytepairs.SLICE_IDS, 10
-    try:
-        found = bytepairs.encode(frame(spark, texts), ["doc_id", "n"], *CODER)
-        got = rows(found, "doc_id", "n_tokens")
-    finally:
-        bytepairs.SLICE_IDS = before
-    assert got == sorted(((i, len(library.encode_ordinary(t))) for i, t in texts), key=repr)
+def test_slices_lose_no_row(spark, library):
+    texts = [(i, "some words here " * (i % 7)) for i in range(500)] + [(1000, "long text " * 150_000), (1001, None)]
+    found = bytepairs.encode(frame(spark, texts).coalesce(1), ["doc_id", "n"], *CODER)
+    want = [(i, len(library.encode_ordinary(t or ""))) for i, t in texts]
+    assert rows(found, "doc_id", "n_tokens") == sorted(want, key=repr)
