@@ -27,6 +27,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -35,6 +36,8 @@ from tarmac.llm.shared import text_column
 
 #: Characters of texts that are encoded, and leave, together; longer texts are listed in parts.
 SLICE_CHARS = 1 << 20
+#: Lists that are decoded, and leave, together.
+DECODED_ROWS = 256
 #: Size of the table of encoded matches, at which it starts anew: its entries, estimated.
 REMEMBERED_BYTES = 64 << 20
 _ENTRY_BYTES = 180
@@ -265,7 +268,13 @@ class Codec:
         import regex
 
         self.ranks = read_ranks(path)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        size = np.zeros(max(self.ranks.values()) + 1, dtype=np.int64)
+        for token, rank in self.ranks.items():
+            size[rank] = len(token)
+        #: The bytes of all tokens by rank, and where each begins.
+        self.token_bounds = np.concatenate([[0], np.cumsum(size)])
+        joined = b"".join(sorted(self.ranks, key=self.ranks.__getitem__))
+        self.token_bytes = np.frombuffer(joined, dtype=np.uint8)
         self.pattern = regex.compile(pattern)
         self.pair_ranks = PairRanks(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
@@ -324,12 +333,26 @@ class Codec:
         if matches:
             yield self._ids(matches)
 
-    def decode(self, ids: list[int | None]) -> bytes | None:
-        """The bytes of the tokens, or null if one of them is none."""
-        try:
-            return b"".join(map(self.tokens.__getitem__, ids))
-        except KeyError:
-            return None
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of the tokens of each list; null if the list is, or one of its ids is no token."""
+        first = np.frombuffer(lists.buffers()[1], dtype=np.int32)
+        bounds = first[lists.offset : lists.offset + len(lists) + 1].astype(np.int64)
+        ids = lists.values.slice(bounds[0], bounds[-1] - bounds[0])
+        bounds = bounds - bounds[0]
+        flat = ids.fill_null(-1).to_numpy(zero_copy_only=False)
+        known = (flat >= 0) & (flat < len(self.token_bounds) - 1)
+        flat = np.where(known, flat, 0)
+        begin = self.token_bounds[flat]
+        size = np.where(known, self.token_bounds[flat + 1] - begin, 0)
+        known &= size > 0
+        ends = np.concatenate([[0], np.cumsum(size)])
+        data = self.token_bytes[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], size)]
+        strange = np.concatenate([[0], np.cumsum(~known)])[bounds]
+        null = (np.diff(strange) > 0) | lists.is_null().to_numpy(zero_copy_only=False)
+        texts = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(lists), [None, pa.py_buffer(ends[bounds]), pa.py_buffer(data)]
+        )
+        return pc.if_else(pa.array(null), pa.scalar(None, pa.large_binary()), texts).cast(pa.binary())
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -379,12 +402,9 @@ def decode(
         codec = _codec(ranks, pattern)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            for first in range(0, batch.num_rows, 1024):
-                some = lists.slice(first, 1024)
-                texts = [None if x.as_py() is None else codec.decode(x.as_py()) for x in some]
-                kept = [c.slice(first, 1024) for c in batch.columns[:-1]]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(texts, pa.binary())], names=schema.names
-                )
+            for first in range(0, batch.num_rows, DECODED_ROWS):
+                kept = [c.slice(first, DECODED_ROWS) for c in batch.columns[:-1]]
+                texts = codec.decode(lists.slice(first, DECODED_ROWS))
+                yield pa.RecordBatch.from_arrays([*kept, texts], names=schema.names)
 
     return rows.mapInArrow(run, schema)
