@@ -43,7 +43,8 @@ union all
 select flight_id,airline,source,destination2,departure_time,arrival_time,duration from b where k%211=7
 """,
     "bookings": """
-select concat('B',cast(event_id as string)) booking_id,
+with b as (
+select event_id e, concat('B',cast(event_id as string)) booking_id,
   case when user_id%50=49 then concat('X',cast(user_id as string))
        else concat('P',cast(user_id as string)) end passenger_id,
   concat(case (event_id*3)%(select count(*) from [orders])%4 when 0 then 'AI' when 1 then '6F'
@@ -57,7 +58,12 @@ select concat('B',cast(event_id as string)) booking_id,
          case event_id%3 when 0 then 'A' when 1 then 'B' else 'C' end) seat_number,
   concat('N',cast(user_id*7919 as string)) passport_number,
   'x' emergency_contact_name, '0' emergency_contact_phone
-from [events]
+from [events])
+select booking_id,passenger_id,flight_id,booking_date,status,seat_number,passport_number,
+  emergency_contact_name,emergency_contact_phone from b
+union all
+select booking_id,passenger_id,flight_id,booking_date,status,seat_number,passport_number,
+  emergency_contact_name,emergency_contact_phone from b where e%89=7
 """,
     "passengers": """
 with b as (select c_custkey k, c_name n, c_mktsegment m from [customer])
@@ -76,12 +82,16 @@ select concat('P',cast(k as string)), n, m, cast(2+k%89 as int),
   'alt@ex.com', concat('A',cast(k as string)), '2000-01-01' from b where k%131=6
 """,
     "payments": """
-select concat('PAY',cast(o_orderkey as string)) payment_id,
+with b as (
+select o_orderkey k, concat('PAY',cast(o_orderkey as string)) payment_id,
   concat('B',cast(cast(floor(o_orderkey*2/3) as bigint) as string)) booking_id,
   case when o_orderkey%20=3 then cast(null as string) when o_orderkey%33=4 then 'INVALID'
        else cast(cast(o_totalprice as decimal(18,2)) as string) end amount,
   o_orderpriority payment_method
-from [orders]
+from [orders])
+select payment_id,booking_id,amount,payment_method from b
+union all
+select payment_id,booking_id,amount,payment_method from b where k%103=9
 """,
 }
 
@@ -120,3 +130,78 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         text = spark_sql(name)
         tables[name] = spark.sql(text, **{t: df for t, df in sources.items() if "{" + t + "}" in text})
     return tables
+
+
+#: How raw rows look as CSV: blanks around flight ids, line breaks, and times in two formats.
+#: ``broken`` says which rows get a field too many (``longer``) or too few.
+CSV_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss.SSSSSS"
+CSV_ROWS = {
+    "flights": {
+        "broken": "cast(duration as int)%83 in (5,6)",
+        "longer": "cast(duration as int)%83=5",
+        "fields": {
+            "flight_id": "case when cast(duration as int)%7=0 then concat(' ',flight_id,'  ') else flight_id end",
+            "airline": "airline",
+            "source": "source",
+            "destination": "destination",
+            "departure_time": "[time departure_time]",
+            "arrival_time": "[time arrival_time]",
+            "duration": "concat(duration,[break],'\"min\", about')",
+        },
+    },
+    "bookings": {
+        "broken": "cast(substr(booking_id,2) as int)%97 in (5,6)",
+        "longer": "cast(substr(booking_id,2) as int)%97=5",
+        "fields": {
+            "booking_id": "booking_id",
+            "passenger_id": "passenger_id",
+            "flight_id": "flight_id",
+            "booking_date": "[time booking_date]",
+            "status": "status",
+            "seat_number": "concat(seat_number,[break],' window ')",
+            "passport_number": "passport_number",
+        },
+    },
+}
+
+
+def write_raw_csv(raw: dict[str, DataFrame], dataset: str, path: str) -> None:
+    """Raw rows as CSV with what real files have; lines are put together field by field."""
+    shape = CSV_ROWS[dataset]
+
+    def text(field: str) -> str:
+        for name in ("departure_time", "arrival_time", "booking_date"):
+            field = field.replace(
+                f"[time {name}]",
+                f"case when minute({name})%2=0 then date_format({name},'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+                f" else date_format({name},'{CSV_TIME_FORMAT}') end",
+            )
+        return field.replace("[break]", "chr(10)")
+
+    def quoted(field: str) -> str:
+        return f"""coalesce(concat('"',replace({text(field)},'"','""'),'"'),'')"""
+
+    fields = [quoted(f) for f in shape["fields"].values()]
+    line = f"concat_ws(',',{','.join(fields)})"
+    lines = raw[dataset].selectExpr(
+        f"case when not coalesce({shape['broken']},false) then {line}"
+        f" when {shape['longer']} then concat({line},',more')"
+        f" else concat_ws(',',{','.join(fields[:3])}) end as value",
+        "1 as place",
+    ).selectExpr("value", "place", "pmod(hash(value),4) as file")
+    # A folder per file; the header is the first line of each.
+    header = raw[dataset].sparkSession.range(4).selectExpr(
+        f"'{','.join(shape['fields'])}' as value", "0 as place", "cast(id as int) as file"
+    )
+    sorted_lines = lines.unionAll(header).repartition("file").sortWithinPartitions("file", "place")
+    sorted_lines.drop("place").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def duckdb_csv_sql(dataset: str) -> str:
+    """The raw rows that the CSV files hold whole, with text as read and times as they were."""
+    shape = CSV_ROWS[dataset]
+    fields = []
+    for name, field in shape["fields"].items():
+        plain = name if field.startswith("[time") else field.replace("[break]", "chr(10)")
+        fields.append(f"{plain} as {name}")
+    return f"select {', '.join(fields)} from raw_{dataset} where not coalesce({shape['broken']}, false)"

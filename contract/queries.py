@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 from tarmac.operators import audit as A
 from tarmac.operators import explore as D
 from tarmac.operators import kpi as K
+from tarmac.operators import model as M
 from tarmac.operators import reconcile as C
 from tarmac.operators.dedup import CONFLICT
-from tarmac.operators.quantiles import box_stats
 from tarmac.plans import Airline, Dashboard
 from tarmac.rules import AirlineRules
 from tarmac.schemas import REQUIRED, require_columns
 from tarmac.sources.curated import (
-    export_csv,
+    MONTH,
+    on_days,
     read_curated,
     register_views,
     write_audit,
@@ -27,7 +28,9 @@ from tarmac.sources.curated import (
     write_quarantine,
 )
 
-from .inputs import FLIGHT_IDS, raw_tables
+from tarmac.sources.datasets import READ_OPTIONS, read_datasets
+
+from .inputs import CSV_ROWS, CSV_TIME_FORMAT, FLIGHT_IDS, raw_tables, write_raw_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +41,10 @@ SELECTION = D.CrossFilter(airlines=(FOCUS,), sources=("DEL",), overnight_only=Tr
 #: The rules of the checked and the measured plan.
 CHECKED = AirlineRules(flight_id_pattern=FLIGHT_IDS)
 
+#: The year and month that the query on facts by month asks for.
+MONTH_SHOWN = (1995, 3)
+
+_csv_plans: dict[str, Airline] = {}
 _plans: dict[tuple[str, str, str], Airline] = {}
 
 
@@ -52,8 +59,8 @@ def plan(spark: SparkSession, sf_dir: str, rules: AirlineRules | None = None) ->
 
 
 def _dash(a: Airline) -> Dashboard:
-    return Dashboard.of({n: a.table(n) for n in
-                         ("fact_flights", "fact_bookings", "fact_payments", "dim_airline", "dim_route")})
+    names = ("fact_flights", "fact_bookings", "fact_payments", "dim_airline", "dim_route")
+    return Dashboard.of({n: a.table(n) for n in names}, a.stage)
 
 
 def _facts(a: Airline) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +111,7 @@ def _ranking(a: Airline, metric: str) -> DataFrame:
 
 
 def _box(a: Airline) -> DataFrame:
-    box = box_stats(_dash(a).flights, "airline", "calculated_duration_mins")
+    box = _dash(a).duration_box()
     return box.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 
@@ -144,36 +151,70 @@ def _through_csv(a: Airline) -> DataFrame:
 
 
 def _through_quarantine(a: Airline) -> DataFrame:
-    """The quarantine layer written and read back whole."""
+    """The quarantine layer written and read back whole, all datasets with the columns of all."""
     root = a.stage.path("quarantine")
-    write_quarantine(a.quarantine(), root)
-    stored = a.spark.read.option("mergeSchema", True).parquet(root)
-    return stored.groupBy("dataset", "rule_id").agg(F.count(F.lit(1)).alias("rows"))
+    rejected = a.quarantine()
+    write_quarantine(rejected, root)
+    return a.spark.read.option("mergeSchema", True).parquet(root)
 
 
 def _through_audit(a: Airline) -> DataFrame:
     """The audit trail written as CSV and read back."""
     root = a.stage.path("audit")
     write_audit(a.audit(), root)
-    stored = a.spark.read.option("header", True).csv(root)
-    return stored.groupBy("dataset", "rule_id", "issue").agg(F.count(F.lit(1)).alias("events"))
+    return a.spark.read.options(**READ_OPTIONS).csv(root).drop("processed_timestamp")
 
 
 def _through_export(a: Airline) -> DataFrame:
     """The selected bookings downloaded as CSV."""
     path = a.stage.path("download")
-    export_csv(_dash(a).select(SELECTION).explore("bookings"), path)
-    stored = a.spark.read.option("header", True).csv(path)
-    return stored.groupBy("route_name", "status").agg(
-        F.count(F.lit(1)).alias("bookings"),
-        F.sum(F.col("payment_count").cast("int")).alias("payments"),
-    )
+    chosen = _dash(a).select(SELECTION)
+    chosen.export("bookings", path)
+    return a.spark.read.options(**READ_OPTIONS).schema(chosen.bookings.schema).csv(path)
+
+
+def _from_csv(a: Airline) -> Airline:
+    """The plan over flights and bookings read from CSV files with broken rows and text times."""
+    if a.stage.root not in _csv_plans:
+        places = {name: a.stage.path(f"csv/{name}.csv") for name in CSV_ROWS}
+        for name, path in places.items():
+            write_raw_csv(a.raw, name, path)
+        for name in set(a.raw) - set(CSV_ROWS):
+            places[name] = a.stage.path(f"csv/{name}.parquet")
+            a.raw[name].write.mode("overwrite").parquet(places[name])
+        formats = {name: path.rsplit(".", 1)[1] for name, path in places.items()}
+        read = read_datasets(a.spark, places, formats, malformed="mark")
+        rules = replace(a.rules, timestamp_formats=(CSV_TIME_FORMAT,))
+        _csv_plans[a.stage.root] = Airline(a.spark, read, rules)
+    return _csv_plans[a.stage.root]
+
+
+def _month(a: Airline) -> DataFrame:
+    """Flights and mean duration by airline in one month, of facts published by month."""
+    root = a.stage.path("published")
+    write_curated(a.tables(), root)
+    tables = read_curated(a.spark, root, months=True)
+    days = tables["dim_date"].where((F.col("year") == MONTH_SHOWN[0]) & (F.col("month") == MONTH_SHOWN[1]))
+    flights = on_days(tables["fact_flights"], days).drop(MONTH)
+    return K.flights_by_airline(flights, tables["dim_airline"])
 
 
 _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     # sources and validation
     "require_columns_ok": _required_columns,
-    "raw_counts": lambda a: C.raw_counts(a.raw),
+    "raw_counts": lambda a: a.raw_counts(),
+    "csv_malformed_rows": lambda a: _from_csv(a).malformed_rows().select(
+        "dataset", "record_id", "text"
+    ),
+    "csv_flights": lambda a: _from_csv(a).clean_flights().select(
+        "flight_id", "airline", "source", "destination", "departure_time",
+        "adjusted_arrival_time", "calculated_duration_mins", "copies",
+    ),
+    "csv_bookings": lambda a: _from_csv(a).standardised_bookings().select(
+        "booking_id", "passenger_id", "flight_id", "booking_date", "status", "seat_number", "copies"
+    ),
+    "csv_reconciliation": lambda a: _from_csv(a).reconciliation(),
+    "csv_audit": lambda a: A.audit_by_rule(_from_csv(a).audit()),
     # flights
     "flights_bad_format": lambda a: a.malformed_flights(),
     "flights_four_digits": lambda a: Airline(a.spark, a.raw, AirlineRules()).malformed_flights(),
@@ -216,9 +257,8 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "payments_orphans": lambda a: a.orphan_payments().select(
         "payment_id", "booking_id", "amount_parsed", "amount_status"
     ),
-    "payment_rollup": lambda a: a.booking_ledger()
-        .where(F.col("payment_count") > 0)
-        .select("booking_id", "total_paid_amount", "payment_count"),
+    "payment_rollup": lambda a: M.payment_rollup(a.parsed_payments()),
+    "booking_ledger": lambda a: a.booking_ledger(),
     "bookings_quarantine": lambda a: _quarantined(a, "bookings"),
     "passengers_quarantine": lambda a: _quarantined(a, "passengers"),
     "flights_quarantine": lambda a: _quarantined(a, "flights"),
@@ -280,9 +320,7 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     "dash_duration_view_normal": lambda a: D.duration_view(_dash(a).flights, "normal"),
     "dash_duration_view_anomaly": lambda a: D.duration_view(_dash(a).flights, "anomaly"),
     "dash_duration_view_overnight": lambda a: D.duration_view(_dash(a).flights, "overnight"),
-    "dash_duration_hist": lambda a: D.histogram(
-        _dash(a).flights, "calculated_duration_mins"
-    ).select("bin", "n"),
+    "dash_duration_hist": lambda a: _dash(a).duration_histogram().select("bin", "n"),
     "dash_duration_box": lambda a: _box(a),
     "dash_anomaly_detail": lambda a: D.anomaly_detail(_dash(a).flights),
     "dash_airline_focus": lambda a: D.airline_focus(_dash(a).flights, _dash(a).bookings, FOCUS),
@@ -298,6 +336,7 @@ _ON_PLAN: dict[str, Callable[[Airline], DataFrame]] = {
     # serving
     "views_roundtrip": _through_views,
     "views_namespace": _through_namespace,
+    "month_by_airline": _month,
     "curated_csv_roundtrip": _through_csv,
     "quarantine_roundtrip": _through_quarantine,
     "audit_roundtrip": _through_audit,

@@ -26,11 +26,18 @@ def main(arguments: list[str] | None = None) -> None:
         default=[],
         help="datetime pattern of text times beside ISO, tried in order; may be repeated",
     )
+    parser.add_argument(
+        "--malformed",
+        choices=("fail", "mark"),
+        default="fail",
+        help="CSV rows with too many or too few fields: stop, or quarantine and audit them",
+    )
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("tarmac").getOrCreate()
     place = f"{options.raw}.{{}}" if options.format == "table" else f"{options.raw}/{{}}.{options.format}"
-    raw = read_datasets(spark, {name: place.format(name) for name in RAW}, options.format)
+    places = {name: place.format(name) for name in RAW}
+    raw = read_datasets(spark, places, options.format, malformed=options.malformed)
     rules = AirlineRules(
         options.flight_id_pattern, timestamp_formats=tuple(options.timestamp_format)
     )

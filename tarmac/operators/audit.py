@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..rules import Rule
-from .dedup import COPIES
 
 FINDINGS = "dq"
 AUDIT_COLUMNS = [
@@ -43,31 +44,28 @@ def tag(df: DataFrame, *findings: Column) -> DataFrame:
     return df.withColumn(FINDINGS, F.concat(*known, *findings))
 
 
-def audit_log(tagged: DataFrame, record_id: str, dataset: str, run_ts: str) -> DataFrame:
+def audit_log(tagged: DataFrame, record_id: str, dataset: str | Column, run_ts: str) -> DataFrame:
     """One audit event per finding; the run's timestamp is the same for all of them."""
+    name = F.lit(dataset) if isinstance(dataset, str) else dataset
     events = tagged.where(F.size(FINDINGS) > 0).select(
-        F.col(record_id).cast("string").alias("record_id"), F.explode(FINDINGS).alias("event")
+        F.col(record_id).cast("string").alias("record_id"),
+        name.alias("dataset"),
+        F.explode(FINDINGS).alias("event"),
     )
     return events.select(
         F.coalesce("record_id", F.lit("nan")).alias("record_id"),
-        F.lit(dataset).alias("dataset"),
+        "dataset",
         "event.*",
         F.lit(run_ts).alias("processed_timestamp"),
     )
 
 
-def duplicates_summary(copies: DataFrame, dataset: str, rule: Rule, run_ts: str) -> DataFrame:
-    """One event for all exact duplicates of a dataset; none if there were none."""
-    return (
-        copies.agg(F.max(COPIES).alias("most"))
-        .where(F.col("most") > 1)
-        .select(
-            F.lit("Multiple").alias("record_id"),
-            F.lit(dataset).alias("dataset"),
-            *[F.lit(v).alias(k) for k, v in rule._asdict().items()],
-            F.lit(run_ts).alias("processed_timestamp"),
-        )
-    )
+def duplicates_summary(
+    spark: SparkSession, duplicated: Sequence[tuple[str, Rule]], run_ts: str
+) -> DataFrame:
+    """One event for all exact duplicates of each dataset that had some."""
+    events = [("Multiple", dataset, *rule, run_ts) for dataset, rule in duplicated]
+    return spark.createDataFrame(events, ", ".join(f"{c} string" for c in AUDIT_COLUMNS))
 
 
 def audit_by_rule(audit: DataFrame) -> DataFrame:

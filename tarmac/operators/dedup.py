@@ -1,14 +1,14 @@
 """Exact duplicates and rows that share a key.
 
-Everything here is an aggregation with map-side combining, so a row (or key) that makes up a
-large share of the input is reduced before it is shuffled. No window puts a key's rows on one task.
+Everything here is a hash aggregation with map-side combining, so a row (or key) that makes up a
+large share of the input is reduced before it is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPIES = "copies"
@@ -26,49 +26,87 @@ def count_copies(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
 
 
+def fingerprint(cols: Sequence[str]) -> list[Column]:
+    """Two numbers of 64 bits that stand for the values of ``cols``; NULL is a value of its own."""
+    absent = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in cols])
+    return [F.xxhash64(F.lit(seed), absent, *cols) for seed in (1, 2)]
+
+
 def resolve_by_key(
     df: DataFrame,
     key: str,
     compare_cols: Sequence[str] | None = None,
     order_col: str | None = None,
 ) -> DataFrame:
-    """One row per key plus what happened to it, in a single shuffle of ``df``.
-
-    The row kept is the smallest by ``order_col`` where given, else by all columns, so that a
-    rerun keeps the same one. Added columns: ``copies`` (input rows with the key), ``duplicated``
-    (these rows are not all identical) and ``conflict`` (they differ in ``compare_cols``; by
-    default in any column). The smallest and the largest row of a key are equal exactly when all
-    of its rows are, which is why no per-key collection is needed. Rows that differ under a NULL
-    key cannot be told to be the same entity and count as a conflict.
+    """One row per key plus what happened to it: ``resolve_variants`` of the distinct rows."""
+    return resolve_variants(count_copies(df), key, compare_cols, order_col)
+
+
+def resolve_variants(
+    variants: DataFrame,
+    key: str,
+    compare_cols: Sequence[str] | None = None,
+    order_col: str | None = None,
+) -> DataFrame:
+    """One row per key of distinct rows with ``copies``, as ``count_copies`` returns them.
+
+    The row kept is the smallest by ``order_col`` where given, then by all columns, so that a
+    rerun keeps the same one. Added or changed columns: ``copies`` (input rows with the key),
+    ``duplicated`` (these rows are not all identical) and ``conflict`` (they differ in
+    ``compare_cols``; by default in any column). Rows that differ under a NULL key cannot be told
+    to be the same entity and count as a conflict.
+
+    Keys are counted by hash aggregation over numbers: variants, copies, and the extremes of a
+    fingerprint (of 128 bits) of ``compare_cols``, which are equal if all variants agree. Only keys
+    with several variants come out of it, mostly few, and only their rows are compared column by
+    column; a window keeps one per key, and Spark applies it on the map side too, so a key with
+    very many variants reaches its task as one row of each map task. All other rows pass by an
+    anti join.
     """
-    rest = [c for c in df.columns if c != key]
-    row = F.struct(*rest)
-    compared = row if compare_cols is None else F.struct(*compare_cols)
-    kept = F.min(row) if order_col is None else F.min_by(row, F.struct(order_col, *rest))
-    groups = df.groupBy(key).agg(
-        kept.alias("kept"),
-        F.min(row).alias("low"),
-        F.max(row).alias("high"),
-        F.min(compared).alias("low_compared"),
-        F.max(compared).alias("high_compared"),
-        F.count(F.lit(1)).alias(COPIES),
+    rest = [c for c in variants.columns if c not in (key, COPIES)]
+    extremes = []
+    if compare_cols is not None:
+        for place, mark in enumerate(fingerprint(compare_cols)):
+            extremes += [F.min(mark).alias(f"low_{place}"), F.max(mark).alias(f"high_{place}")]
+    keys = (
+        variants.groupBy(F.col(key).alias("several_key"))
+        .agg(F.count(F.lit(1)).alias("variants"), F.sum(COPIES).alias("all_copies"), *extremes)
+        .where(F.col("variants") > 1)
+    )
+    differs = F.lit(True)
+    if compare_cols is not None:
+        differs = (F.col("low_0") != F.col("high_0")) | (F.col("low_1") != F.col("high_1"))
+    keys = keys.select(
+        "several_key", "all_copies", (differs | F.col("several_key").isNull()).alias(CONFLICT)
+    )
+    same = F.col(key).eqNullSafe(F.col("several_key"))
+    single = variants.join(keys.select("several_key"), same, "left_anti").select(
+        key, *rest, COPIES, F.lit(False).alias(DUPLICATED), F.lit(False).alias(CONFLICT)
     )
-    duplicated = ~F.col("low").eqNullSafe(F.col("high"))
-    differs = ~F.col("low_compared").eqNullSafe(F.col("high_compared"))
-    return groups.select(
-        key,
-        "kept.*",
-        COPIES,
-        duplicated.alias(DUPLICATED),
-        (differs | (duplicated & F.col(key).isNull())).alias(CONFLICT),
+    order = [order_col] if order_col is not None else []
+    first = Window.partitionBy(key).orderBy(*order, *(c for c in rest if c not in order))
+    several = (
+        variants.drop(COPIES)
+        .join(keys, same)
+        .withColumn("place", F.row_number().over(first))
+        .where(F.col("place") == 1)
+    )
+    return single.unionAll(
+        several.select(
+            key, *rest, F.col("all_copies").alias(COPIES), F.lit(True).alias(DUPLICATED), CONFLICT
+        )
     )
 
 
 def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The distinct rows of ``df`` whose key is in ``keys``, with their number of copies."""
+    return count_copies(with_keys(df, keys, key))
+
+
+def with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key is in ``keys``; NULL is a key as well."""
     wanted = keys.select(F.col(key).alias("wanted_key"))
-    hits = df.join(wanted, F.col(key).eqNullSafe(F.col("wanted_key")), "left_semi")
-    return count_copies(hits)
+    return df.join(wanted, F.col(key).eqNullSafe(F.col("wanted_key")), "left_semi")
 
 
 def quarantine_conflicts(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.money import exact_sum
 from .kpi import DURATION
 from .quality import VALID
-from .references import distinct_keys
 
 
 def enrich(fact: DataFrame, da: DataFrame, dr: DataFrame) -> DataFrame:
@@ -22,12 +22,28 @@ def enrich(fact: DataFrame, da: DataFrame, dr: DataFrame) -> DataFrame:
     return fact.join(da, "airline_key", "left").join(dr, "route_key", "left")
 
 
+#: The columns that selections act on, and where payments carry them.
+FILTERED = ["airline", "route_name", "source", "destination"]
+BOOKED = "booked"
+
+
+def carry_filters(fp: DataFrame, fb: DataFrame) -> DataFrame:
+    """Payments with the distinct filter columns of the bookings they are for, as a list.
+
+    Booking ids may repeat, so a payment can be for several; the list is never longer than the
+    airlines and routes there are. Done once, a selection needs no join from payments to bookings.
+    """
+    of_booking = fb.where(F.col("booking_id").isNotNull()).groupBy("booking_id").agg(
+        F.collect_set(F.struct(*FILTERED)).alias(BOOKED)
+    )
+    return fp.join(of_booking, "booking_id", "left").select(*fp.columns, BOOKED)
+
+
 def filter_domains(ff: DataFrame) -> DataFrame:
     """What each filter offers: the values of every filter column, sorted, in one pass over ``ff``."""
-    columns = ["airline", "route_name", "source", "destination"]
-    combinations = ff.select(*columns).distinct()
+    combinations = ff.select(*FILTERED).distinct()
     return (
-        combinations.unpivot([], columns, "domain", "value")
+        combinations.unpivot([], FILTERED, "domain", "value")
         .dropna()
         .distinct()
         .orderBy("domain", "value")
@@ -45,15 +61,13 @@ class CrossFilter:
     overnight_only: bool = False
     anomaly_only: bool = False
 
+    def _wanted(self, column: Callable[[str], Column]) -> list[Column]:
+        chosen = zip(FILTERED, (self.airlines, self.routes, self.sources, self.destinations))
+        return [column(c).isin(*values) for c, values in chosen if values]
+
     def shared(self, df: DataFrame) -> DataFrame:
         """The selections that reach flights and bookings alike."""
-        selections = {
-            "airline": self.airlines,
-            "route_name": self.routes,
-            "source": self.sources,
-            "destination": self.destinations,
-        }
-        wanted = [F.col(c).isin(*values) for c, values in selections.items() if values]
+        wanted = self._wanted(F.col)
         return df.where(reduce(Column.__and__, wanted)) if wanted else df
 
     def flights(self, ff: DataFrame) -> DataFrame:
@@ -65,19 +79,23 @@ class CrossFilter:
             ff = ff.where("is_statistical_outlier")
         return ff
 
+    def payments(self, fp: DataFrame) -> DataFrame:
+        """Payments, with what ``carry_filters`` added, of which any booking is selected."""
+        if not self._wanted(F.col):
+            return fp
+        return fp.where(
+            F.exists(BOOKED, lambda b: reduce(Column.__and__, self._wanted(b.getField)))
+        )
+
     def apply(
         self, ff: DataFrame, fb: DataFrame, fp: DataFrame
     ) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Selected flights, selected bookings, and the payments of those bookings.
 
         Every curated payment has a curated booking, so a selection that reaches no booking
-        leaves the payments as they are, without a join.
+        leaves the payments as they are.
         """
-        if not (self.airlines or self.routes or self.sources or self.destinations):
-            return self.flights(ff), fb, fp
-        bookings = self.shared(fb)
-        kept = distinct_keys(bookings, "booking_id")
-        return self.flights(ff), bookings, fp.join(kept, "booking_id", "left_semi")
+        return self.flights(ff), self.shared(fb), self.payments(fp)
 
 
 def is_empty(ff: DataFrame, fb: DataFrame) -> bool:
@@ -153,26 +171,6 @@ def duration_view(ff: DataFrame, view: str) -> DataFrame:
     return ff.where(conditions[view])
 
 
-def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
-    """Non-empty ones of ``bins`` equal-width bins between the smallest and the largest value."""
-    extremes = df.agg(F.struct(F.min(col).alias("low"), F.max(col).alias("high"))).scalar()
-    low, high = extremes.getField("low"), extremes.getField("high")
-    width = (high - low) / F.lit(bins)
-    place = F.floor(F.coalesce(F.try_divide(F.col(col) - low, width), F.lit(0.0)))
-    counts = (
-        df.where(F.col(col).isNotNull())
-        .select(F.least(place, F.lit(bins - 1)).alias("bin"))
-        .groupBy("bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counts.select(
-        "bin",
-        (low + F.col("bin") * width).alias("bin_start"),
-        (low + (F.col("bin") + F.lit(1)) * width).alias("bin_end"),
-        "n",
-    ).orderBy("bin")
-
-
 def anomaly_detail(ff: DataFrame) -> DataFrame:
     """The outlying flights."""
     return duration_view(ff, "anomaly").select(

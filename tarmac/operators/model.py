@@ -103,18 +103,6 @@ def booking_ledger(bookings: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def fact_bookings(bookings: DataFrame, rollup: DataFrame, flights: DataFrame) -> DataFrame:
-    """Bookings with the keys of their flight and their payment totals, to the curated columns.
-
-    ``rollup`` has a row per booking id, ``flights`` (curated) a row per flight. A booking without
-    payments gets 0, one without flight NULL keys.
-    """
-    keys = flights.select("flight_id", "route_key", "airline_key")
-    return curated_bookings(
-        bookings.join(keys, "flight_id", "left").join(rollup, "booking_id", "left")
-    )
-
-
 def curated_bookings(bookings: DataFrame) -> DataFrame:
     """Bookings that already carry flight keys and payment totals, to the curated columns."""
     return bookings.withColumns(

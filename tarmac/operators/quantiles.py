@@ -1,56 +1,71 @@
-"""Exact per-group quantiles, and the outlier and box statistics built on them.
-
-``percentile`` keeps all distinct values of a group in one aggregation buffer. Here a group may
-hold a large share of all rows and its values may be continuous, so the work is split instead:
-count equal values, find the value range a quantile falls into from range totals, and look at
-single values in that range only.
+"""Exact per-group quantiles, and the outlier, box and histogram figures built on them.
+
+``percentile`` keeps all distinct values of a group in one aggregation buffer, and a running sum
+over a group puts them into one task. Here a group may hold a large share of all rows and its
+values may be continuous, so a running sum over ranges takes their place: equal values are counted
+first, the counts are dealt by ranges of (group, value) to partitions of equal size, whatever the
+distribution, and written once; sums of whole partitions tell which of them hold a wanted rank,
+and single values are looked at in these only. No task sees more than one partition's values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import scratch
+
+#: Which partition of (group, value) ranges a row is in.
+PART = "part"
+Write = Callable[[DataFrame], DataFrame]
+
+
+def frequencies(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """How often (``n``) each value occurs in each group; NULL is a group, but no value.
+
+    Small enough to keep where values repeat: quantiles, box and histogram come from it.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value)
+    return counted.agg(F.count(F.lit(1)).alias("n"))
+
 
-def frequencies(
-    df: DataFrame, by: Sequence[str], value: str, range_width: float = 1.0
+def in_ranges(
+    freq: DataFrame, by: Sequence[str], value: str, write: Write = scratch
 ) -> DataFrame:
-    """How often (``n``) each value occurs in each group, and the range of values it belongs to.
+    """A ``frequencies`` table of complete groups in partitions of consecutive (group, value).
 
-    Rows with a NULL in group or value are left out. ``range_width`` sets how wide the ranges are
-    that ``quantiles`` first counts as a whole; it has no influence on any result.
+    ``write`` must store the rows: ranges are drawn from a sample, so the partition numbers of a
+    second evaluation would be others. A partition has about the advisory size of adaptive
+    execution, and a row belongs to one (group, value), so none is much larger than the rest.
     """
-    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in (*by, value)])
-    counts = df.where(complete).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    ranged = counts.withColumn("value_range", F.floor(F.col(value) / F.lit(range_width)))
-    # A join on the range would add this filter to its own input only. Stated here, all uses of
-    # the table are equal plans, and the rows are scanned and counted once.
-    return ranged.where(F.col("value_range").isNotNull())
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in by])
+    dealt = freq.where(complete).repartitionByRange(*by, value)
+    return write(dealt.withColumn(PART, F.spark_partition_id()).sortWithinPartitions(*by, value))
 
 
 def quantiles(
-    freq: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
+    ranges: DataFrame, by: Sequence[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
-    """Linearly interpolated quantiles of a ``frequencies`` table: one column per name in ``probs``.
+    """Linearly interpolated quantiles of an ``in_ranges`` table: one column per name in ``probs``.
 
-    The windows see (a) the ranges of a group, and (b) the distinct values within the few ranges
-    that hold a wanted rank, never all values of a group.
+    The windows see (a) one row for each partition that a group is in, and (b) the values of a
+    group in one partition, of the few partitions that hold a wanted rank.
     """
     by = list(by)
     group = Window.partitionBy(*by)
-    upwards = group.orderBy("value_range").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (
-        freq.groupBy(*by, "value_range")
-        .agg(F.sum("n").alias("range_n"))
+    upwards = group.orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
+    parts = (
+        ranges.groupBy(*by, PART)
+        .agg(F.sum("n").alias("part_n"))
         .select(
             *by,
-            "value_range",
-            (F.sum("range_n").over(upwards) - F.col("range_n")).alias("rank_from"),
-            F.sum("range_n").over(upwards).alias("rank_to"),
-            F.sum("range_n").over(group).alias("total"),
+            PART,
+            (F.sum("part_n").over(upwards) - F.col("part_n")).alias("rank_from"),
+            F.sum("part_n").over(upwards).alias("rank_to"),
+            F.sum("part_n").over(group).alias("total"),
         )
     )
 
@@ -61,17 +76,15 @@ def quantiles(
         return (rank >= F.col("rank_from")) & (rank < F.col("rank_to"))
 
     wanted = [f(position(p)) for p in probs.values() for f in (F.floor, F.ceil)]
-    hits = ranges.where(reduce(Column.__or__, map(holds, wanted))).select(
-        *by, "value_range", F.col("rank_from").alias("range_from"), "total"
+    hits = parts.where(reduce(Column.__or__, map(holds, wanted))).select(
+        *by, PART, F.col("rank_from").alias("part_from"), "total"
     )
 
     within = (
-        Window.partitionBy(*by, "value_range")
-        .orderBy(value)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*by, PART).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     )
-    seen = F.col("range_from") + F.sum("n").over(within)
-    values = freq.join(hits, [*by, "value_range"]).select(
+    seen = F.col("part_from") + F.sum("n").over(within)
+    values = ranges.join(hits, [*by, PART]).select(
         *by, value, "total", (seen - F.col("n")).alias("rank_from"), seen.alias("rank_to")
     )
     picked = []
@@ -93,10 +106,16 @@ def quantiles(
 
 
 def iqr_upper_bounds(
-    df: DataFrame, by: Sequence[str], value: str, k: float = 1.5, bound: str = "upper_bound"
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    k: float = 1.5,
+    bound: str = "upper_bound",
+    write: Write = scratch,
 ) -> DataFrame:
     """Q3 + k * (Q3 - Q1) of ``value`` in each group."""
-    q = quantiles(frequencies(df, by, value), by, value, {"q1": 0.25, "q3": 0.75})
+    ranges = in_ranges(frequencies(df, by, value), by, value, write)
+    q = quantiles(ranges, by, value, {"q1": 0.25, "q3": 0.75})
     return q.select(
         *by, (F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias(bound)
     )
@@ -119,30 +138,21 @@ def flag_above(
     return joined.withColumn(flag, above).drop(bound)
 
 
-def iqr_outliers(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    k: float = 1.5,
-    flag: str = "is_statistical_outlier",
+def box_stats(
+    freq: DataFrame, by: str, value: str, k: float = 1.5, write: Write = scratch
 ) -> DataFrame:
-    """Flag the upper-tail outliers of each group."""
-    return flag_above(df, iqr_upper_bounds(df, by, value, k), by, value, flag=flag)
-
-
-def box_stats(df: DataFrame, by: str, value: str, k: float = 1.5) -> DataFrame:
-    """Minimum, quartiles, maximum, fences and number of outliers of ``value`` per group.
+    """Minimum, quartiles, maximum, fences and number of outliers per group of ``frequencies``.
 
     The fences are the extreme values still within ``k`` times the interquartile range of the box.
     """
-    freq = frequencies(df, [by], value)
-    boxes = quantiles(freq, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    ranges = in_ranges(freq, [by], value, write)
+    boxes = quantiles(ranges, [by], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     v = F.col(value)
     reach = F.lit(k) * (F.col("q3") - F.col("q1"))
     above_lower = v >= F.col("q1") - reach
     below_upper = v <= F.col("q3") + reach
     return (
-        freq.join(boxes, by)
+        ranges.join(boxes, by)
         .groupBy(by)
         .agg(
             F.sum("n").alias("n"),
@@ -157,3 +167,23 @@ def box_stats(df: DataFrame, by: str, value: str, k: float = 1.5) -> DataFrame:
         )
         .orderBy(by)
     )
+
+
+def histogram(freq: DataFrame, value: str, bins: int = 40) -> DataFrame:
+    """Non-empty ones of ``bins`` equal-width bins between the smallest and the largest value.
+
+    The rows behind are those of a ``frequencies`` table, of one or all of its groups; any number of
+    bins is summed from the same counts.
+    """
+    counts = freq.groupBy(value).agg(F.sum("n").alias("n"))
+    extremes = counts.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    low, high = extremes.getField("low"), extremes.getField("high")
+    width = (high - low) / F.lit(bins)
+    place = F.floor(F.coalesce(F.try_divide(F.col(value) - low, width), F.lit(0.0)))
+    binned = counts.groupBy(F.least(place, F.lit(bins - 1)).alias("bin")).agg(F.sum("n").alias("n"))
+    return binned.select(
+        "bin",
+        (low + F.col("bin") * width).alias("bin_start"),
+        (low + (F.col("bin") + F.lit(1)) * width).alias("bin_end"),
+        "n",
+    ).orderBy("bin")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum
-from .quality import DERIVED, MARKED_INVALID
 
 MEASURES = ["raw_rows", "removed_rows", "quarantined_rows", "final_rows"]
 
@@ -17,32 +16,20 @@ class ReconciliationError(ValueError):
     """Rows got lost or were counted twice."""
 
 
-def tally(df: DataFrame, dataset: str, **measures: Column) -> DataFrame:
-    """One row of named counts for a dataset."""
-    return df.agg(
-        *[F.coalesce(m, F.lit(0)).cast("long").alias(n) for n, m in measures.items()]
-    ).select(F.lit(dataset).alias("dataset"), *measures)
-
-
 def raw_counts(datasets: dict[str, DataFrame]) -> DataFrame:
     """Rows per dataset."""
-    counts = [tally(df, name, raw_rows=F.count(F.lit(1))) for name, df in datasets.items()]
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("raw_rows")).select(F.lit(name).alias("dataset"), "raw_rows")
+        for name, df in datasets.items()
+    ]
     return reduce(DataFrame.unionAll, counts)
 
 
-def reconcile(*tallies: DataFrame) -> DataFrame:
-    """Add up the tallies of each dataset and compare raw - removed - quarantined with final."""
-    parts = [
-        t.select(
-            "dataset",
-            *[F.col(m) if m in t.columns else F.lit(0).cast("long").alias(m) for m in MEASURES],
-        )
-        for t in tallies
-    ]
-    totals = (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("dataset")
-        .agg(*[F.sum(m).alias(m) for m in MEASURES])
+def reconcile(spark: SparkSession, tallies: dict[str, dict[str, int]]) -> DataFrame:
+    """Compare raw - removed - quarantined with final rows of each dataset; absent figures are 0."""
+    rows = [(name, *(tally.get(m, 0) for m in MEASURES)) for name, tally in tallies.items()]
+    totals = spark.createDataFrame(
+        rows, "dataset string, " + ", ".join(f"{m} long" for m in MEASURES)
     )
     expected = F.col("raw_rows") - F.col("removed_rows") - F.col("quarantined_rows")
     status = F.when(expected == F.col("final_rows"), "PASS").otherwise("FAIL")
@@ -60,71 +47,55 @@ def assert_reconciled(recon: DataFrame, *datasets: str) -> None:
 
 
 def reconcile_payments(
-    raw: DataFrame, parsed: DataFrame, final: DataFrame, orphans: DataFrame
+    spark: SparkSession,
+    raw_rows: int,
+    removed_rows: int,
+    null_amount_rows: int,
+    source_invalid_rows: int,
+    downstream_excluded_rows: int,
+    final_rows: int,
+    final_marked_invalid_rows: int,
 ) -> DataFrame:
-    """How raw payments became final ones; ``parsed`` has one row per distinct payment.
+    """How raw payments became final ones.
 
-    Raw rows are counted from ``raw``, so rows lost before or during deduplication show.
+    Raw rows are counted by themselves, so rows lost before or during deduplication show.
     """
-    one = F.lit(1)
-    invalid = F.col("amount_status") == MARKED_INVALID
-    before = parsed.agg(
-        F.coalesce(F.sum(F.col("copies") - one), F.lit(0)).alias("removed_rows"),
-        F.count_if(F.col("amount_status").isNull()).alias("null_amount_rows"),
-        F.count_if(invalid).alias("source_invalid_rows"),
-    )
-    after = final.agg(
-        F.struct(F.count(one).alias("rows"), F.count_if(invalid).alias("invalid"))
-    ).scalar()
-    excluded = orphans.agg(F.count(one)).scalar()
-    expected = (
-        F.col("raw_rows")
-        - F.col("removed_rows")
-        - F.col("null_amount_rows")
-        - F.col("downstream_excluded_rows")
-    )
-    return (
-        before.withColumn("raw_rows", raw.agg(F.count(one)).scalar())
-        .withColumn("downstream_excluded_rows", excluded)
-        .withColumn("after", after)
-        .select(
-            "raw_rows",
-            "removed_rows",
-            "null_amount_rows",
-            "source_invalid_rows",
-            "downstream_excluded_rows",
-            F.col("after.rows").alias("final_rows"),
-            F.col("after.invalid").alias("final_marked_invalid_rows"),
-            F.when(expected == F.col("after.rows"), "PASS").otherwise("FAIL").alias("status"),
-        )
+    expected = raw_rows - removed_rows - null_amount_rows - downstream_excluded_rows
+    figures = {
+        "raw_rows": raw_rows,
+        "removed_rows": removed_rows,
+        "null_amount_rows": null_amount_rows,
+        "source_invalid_rows": source_invalid_rows,
+        "downstream_excluded_rows": downstream_excluded_rows,
+        "final_rows": final_rows,
+        "final_marked_invalid_rows": final_marked_invalid_rows,
+    }
+    status = "PASS" if expected == final_rows else "FAIL"
+    return spark.createDataFrame(
+        [(*figures.values(), status)], ", ".join(f"{f} long" for f in figures) + ", status string"
     )
 
 
 def reconcile_derivation(
-    raw: DataFrame, cleaned: DataFrame, fact: DataFrame, unknown: str = "UNKNOWN"
+    spark: SparkSession,
+    source_missing_rows: int,
+    derived_rows: int,
+    handled_rows: int,
+    final_null_key_rows: int,
+    final_literal_unknown_rows: int,
 ) -> DataFrame:
     """What became of flights without a usable airline.
 
-    ``cleaned`` are the surviving flights after derivation, ``fact`` the curated ones.
+    ``handled_rows`` are surviving flights whose airline was derived or is still missing.
     """
-    missing = F.col("airline").isNull() | (F.col("airline") == unknown)
-    derived = F.col("airline_source") == DERIVED
-    source = raw.agg(F.count_if(missing).alias("source_missing_rows"))
-    handled = cleaned.agg(
-        F.struct(
-            F.count_if(derived).alias("derived"),
-            F.count_if(derived | missing).alias("missing"),
-            F.count_if(F.col("airline") == unknown).alias("literal"),
-        )
-    ).scalar()
-    no_key = fact.agg(F.count_if(F.col("airline_key").isNull())).scalar()
-    return source.withColumn("handled", handled).select(
-        "source_missing_rows",
-        F.col("handled.derived").alias("derived_rows"),
-        (F.col("source_missing_rows") - F.col("handled.missing")).alias("lost_before_derivation"),
-        no_key.alias("final_null_key_rows"),
-        F.col("handled.literal").alias("final_literal_unknown_rows"),
-    )
+    figures = {
+        "source_missing_rows": source_missing_rows,
+        "derived_rows": derived_rows,
+        "lost_before_derivation": source_missing_rows - handled_rows,
+        "final_null_key_rows": final_null_key_rows,
+        "final_literal_unknown_rows": final_literal_unknown_rows,
+    }
+    return spark.createDataFrame([tuple(figures.values())], ", ".join(f"{f} long" for f in figures))
 
 
 def booking_status(fb: DataFrame) -> DataFrame:

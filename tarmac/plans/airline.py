@@ -1,13 +1,16 @@
 """From raw flights, bookings, passengers and payments to a reconciled star schema.
 
-Every table that more than one result needs is staged (see ``sources.staging``). Raw personal
-data is never staged: passengers leave their aggregation with the analytical columns only, and
-bookings without passport and contact.
+Every table that more than one result needs is staged (see ``sources.staging``), and what the
+row accounting and the audit need to know of a table is observed while it is written. So each raw
+dataset is read twice: once to be processed, once to be counted by itself. Raw personal data is
+never staged: passengers leave their aggregation hashed, masked or dropped, and bookings without
+passport and contact.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,13 +26,16 @@ from ..operators.dedup import (
     COPIES,
     DUPLICATED,
     count_copies,
-    drop_exact_duplicates,
+    fingerprint,
     resolve_by_key,
+    resolve_variants,
     rows_with_keys,
+    with_keys,
 )
 from ..operators.privacy import allowlist, mask_email, mask_tail, pseudonymise, suppress
 from ..operators.quality import (
     DERIVED,
+    MARKED_INVALID,
     derive_from_prefix,
     parse_amount,
     standardise_null,
@@ -38,7 +44,8 @@ from ..operators.quality import (
 from ..operators.quantiles import flag_above, iqr_upper_bounds
 from ..operators.references import match_parent
 from ..schemas import CURATED, REQUIRED, SchemaError, require_columns
-from ..sources.curated import export_csv, write_audit, write_parquet, write_quarantine
+from ..sources.curated import write_audit, write_curated, write_quarantine
+from ..sources.datasets import MALFORMED
 from ..sources.staging import StagedTables, build_together, replace_folder
 
 ROUTE = ["source", "destination"]
@@ -50,6 +57,33 @@ QUARANTINED_PASSENGER = [*ANALYTICAL, "first_name", "last_name", "email", "aadha
 OPTIONAL = {"bookings": ["seat_number"]}
 # Columns the plan adds to raw rows.
 RESERVED = {COPIES, CONFLICT, DUPLICATED, A.FINDINGS}
+# Datasets whose malformed rows may hold personal data, of which only a hash is kept.
+PERSONAL = {"bookings", "passengers"}
+# The curated table of each dataset.
+FINAL = {
+    "flights": "fact_flights",
+    "passengers": "dim_passengers",
+    "bookings": "fact_bookings",
+    "payments": "fact_payments",
+}
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _surplus() -> Column:
+    """Rows that equal another one."""
+    return F.sum(F.col(COPIES) - F.lit(1))
+
+
+def _most() -> Column:
+    return F.max(COPIES)
+
+
+def _readable(df: DataFrame) -> DataFrame:
+    """Without rows that have too many or too few fields, if the reader marked them."""
+    return df.where(F.col(MALFORMED).isNull()).drop(MALFORMED) if MALFORMED in df.columns else df
 
 
 def _protected_passengers(df: DataFrame) -> DataFrame:
@@ -64,10 +98,11 @@ def _protected_passengers(df: DataFrame) -> DataFrame:
     return suppress(df, ["date_of_birth"])
 
 
-def _quarantined_passengers(df: DataFrame) -> DataFrame:
+def _quarantined_passengers(df: DataFrame, others: Sequence[str] = ()) -> DataFrame:
     """Protected rows fit to be written: names hashed, and no column that is not known."""
     names = [c for c in ("first_name", "last_name") if c in df.columns]
-    return allowlist(pseudonymise(df, names), [c for c in QUARANTINED_PASSENGER if c in df.columns])
+    known = [c for c in (*QUARANTINED_PASSENGER, *others) if c in df.columns]
+    return allowlist(pseudonymise(df, names), known)
 
 
 def _protected_bookings(df: DataFrame) -> DataFrame:
@@ -92,47 +127,129 @@ class Airline:
     ):
         self.spark = spark
         self.rules = rules or R.AirlineRules()
-        self.raw = dict(require_columns(raw, REQUIRED))
+        for name, df in require_columns(raw, REQUIRED).items():
+            taken = RESERVED & set(df.columns)
+            if taken:
+                raise SchemaError(f"Schema Error: {name} uses reserved names {sorted(taken)}")
+        #: The datasets as given, and their rows that could be read.
+        self.given = dict(raw)
+        self.raw = {name: _readable(df) for name, df in raw.items()}
         # Like flight times, booking dates may be text in one of the formats of the rules.
         self.raw["bookings"] = parse_ts(
-            raw["bookings"], "booking_date", formats=self.rules.timestamp_formats
+            self.raw["bookings"], "booking_date", formats=self.rules.timestamp_formats
         )
-        for name in REQUIRED:
-            taken = RESERVED & set(raw[name].columns)
-            if taken:
-                raise SchemaError(f"Schema Error: {name} uses reserved names {sorted(taken)}")
         self.stage = stage or StagedTables(spark)
         self.run_ts = run_ts
+        self._counted: dict[str, int] = {}
 
     def close(self) -> None:
         """Delete the staged tables; results that read them end with it."""
         self.stage.close()
 
-    # --- flights -----------------------------------------------------------------------------
+    # --- raw rows ----------------------------------------------------------------------------
+
+    def malformed_rows(self) -> DataFrame:
+        """Raw rows with too many or too few fields: dataset, record_id (their hash) and text.
+
+        The text of datasets with personal data is not kept.
+        """
+        return self.stage.table("work/malformed_rows", self._malformed_rows)
 
-    def _formatted_flights(self) -> tuple[DataFrame, DataFrame]:
-        valid, invalid = validate_key_format(
-            self.raw["flights"], "flight_id", self.rules.flight_id_pattern
+    def _malformed_rows(self) -> DataFrame:
+        found = [self._malformed_rows_of(n) for n, df in self.given.items() if MALFORMED in df.columns]
+        nothing = self.spark.createDataFrame(
+            [], "dataset string, record_id string, text string, has_key boolean"
         )
+        rows = reduce(DataFrame.unionByName, found, nothing)
+        counts = {n: F.count_if(F.col("dataset") == n) for n in self.given}
+        return self.stage.watched(rows, "malformed_rows", **counts)
+
+    def _malformed_rows_of(self, dataset: str) -> DataFrame:
+        df, text = self.given[dataset], F.col(MALFORMED)
+        return df.where(text.isNotNull()).select(
+            F.lit(dataset).alias("dataset"),
+            F.sha2(text, 256).alias("record_id"),
+            (F.lit(None).cast("string") if dataset in PERSONAL else text).alias("text"),
+            # A CSV reader refuses to give the text of malformed rows without a column beside it.
+            F.col(df.columns[0]).isNotNull().alias("has_key"),
+        )
+
+    def raw_tally(self, dataset: str) -> int:
+        """Rows of a dataset as given, malformed ones too, counted apart from their processing."""
+        if dataset == "flights":
+            self.malformed_flights()
+            return self.stage.tallies["raw_flights"]["rows"]
+        if dataset not in self._counted:
+            self._counted[dataset] = self.given[dataset].count()
+        return self._counted[dataset]
+
+    def _malformed_tally(self, dataset: str) -> int:
+        if MALFORMED not in self.given[dataset].columns:
+            return 0
+        self.malformed_rows()
+        return self.stage.tallies["malformed_rows"][dataset]
+
+    def raw_counts(self) -> DataFrame:
+        """Rows of each dataset as given."""
+        counts = [(name, self.raw_tally(name)) for name in REQUIRED]
+        return self.spark.createDataFrame(counts, "dataset string, raw_rows long")
+
+    # --- flights -----------------------------------------------------------------------------
+
+    def _formatted_flights(self, flights: DataFrame) -> tuple[DataFrame, DataFrame]:
+        valid, invalid = validate_key_format(flights, "flight_id", self.rules.flight_id_pattern)
         if self.rules.trim_flight_ids:
             valid = valid.withColumn("flight_id", strip("flight_id"))
         return valid, invalid
 
     def malformed_flights(self) -> DataFrame:
         """Flights whose id is NULL, blank or has the wrong format."""
-        return self.stage.table("work/malformed_flights", lambda: self._formatted_flights()[1])
+        return self.stage.table("work/malformed_flights", self._malformed_flights)
+
+    def _malformed_flights(self) -> DataFrame:
+        given, airline = self.given["flights"], F.col("airline")
+        read = F.col(MALFORMED).isNull() if MALFORMED in given.columns else F.lit(True)
+        # No shuffle up to the write, so all raw flights can be counted on the way.
+        given = self.stage.watched(
+            given,
+            "raw_flights",
+            rows=_rows(),
+            missing_airline=F.count_if(read & (airline.isNull() | (airline == R.UNKNOWN))),
+        )
+        malformed = self._formatted_flights(_readable(given))[1]
+        return self.stage.watched(malformed, "malformed_flights", rows=_rows())
+
+    def flight_variants(self) -> DataFrame:
+        """Distinct well-formed flights with their copies; ids may still conflict."""
+        return self.stage.table("work/flight_variants", self._flight_variants)
+
+    def _flight_variants(self) -> DataFrame:
+        variants = count_copies(self._formatted_flights(self.raw["flights"])[0])
+        return self.stage.watched(variants, "flight_variants", surplus=_surplus(), most=_most())
 
     def deduplicated_flights(self) -> DataFrame:
         """Well-formed flights without exact duplicates; ids may still conflict."""
-        return drop_exact_duplicates(self._formatted_flights()[0])
+        return self.flight_variants().drop(COPIES)
 
     def resolved_flights(self) -> DataFrame:
         """One row per well-formed flight id: corrected, timed, and marked if conflicting."""
-        return self.stage.table("work/resolved_flights", self._resolve_flights)
+        return self.stage.table("work/resolved_flights", self._resolve_flights_watched)
+
+    def _resolve_flights_watched(self) -> DataFrame:
+        kept, airline = ~F.col(CONFLICT), F.col("airline")
+        derived = F.col("airline_source") == DERIVED
+        missing = airline.isNull() | (airline == R.UNKNOWN)
+        return self.stage.watched(
+            self._resolve_flights(),
+            "resolved_flights",
+            derived=F.count_if(kept & derived),
+            handled=F.count_if(kept & (derived | missing)),
+            literal_unknown=F.count_if(kept & (airline == R.UNKNOWN)),
+        )
 
     def _resolve_flights(self) -> DataFrame:
         r = self.rules
-        df = resolve_by_key(self._formatted_flights()[0], "flight_id")
+        df = resolve_variants(self.flight_variants(), "flight_id")
         df = derive_from_prefix(df, "flight_id", "airline", r.airline_by_prefix)
         df = parse_ts(df, "departure_time", "arrival_time", formats=r.timestamp_formats)
         df = overnight_rollover(df, "departure_time", "arrival_time", r.max_overnight_minutes)
@@ -177,13 +294,20 @@ class Airline:
             "work/conflicting_flight_ids",
             lambda: self.resolved_flights().where(CONFLICT).select("flight_id"),
         )
-        return rows_with_keys(self._formatted_flights()[0], keys, "flight_id")
+        conflicts = with_keys(self.flight_variants(), keys, "flight_id")
+        return self.stage.watched(conflicts, "conflicting_flights", rows=_rows())
 
     def route_bounds(self) -> DataFrame:
         """Duration above which a flight of a route is an outlier."""
         return self.stage.table(
             "work/route_bounds",
-            lambda: iqr_upper_bounds(self.clean_flights(), ROUTE, DURATION, self.rules.iqr_factor),
+            lambda: iqr_upper_bounds(
+                self.clean_flights(),
+                ROUTE,
+                DURATION,
+                self.rules.iqr_factor,
+                write=lambda df: self.stage.table("work/duration_ranges", lambda: df),
+            ),
         )
 
     def flagged_flights(self) -> DataFrame:
@@ -192,13 +316,28 @@ class Airline:
 
     # --- passengers --------------------------------------------------------------------------
 
-    def _compare_passengers(self) -> DataFrame:
-        return resolve_by_key(self.raw["passengers"], "passenger_id", ["age", "gender"])
+    def passenger_variants(self) -> DataFrame:
+        """Distinct raw passengers with their copies, fit to be written.
+
+        Rows that differ only in what is hashed, masked or dropped are still rows of their own.
+        """
+        return self.stage.table("work/passenger_variants", self._passenger_variants)
+
+    def _passenger_variants(self) -> DataFrame:
+        raw = self.raw["passengers"]
+        marks = [m.alias(f"mark_{i}") for i, m in enumerate(fingerprint(raw.columns))]
+        safe = _quarantined_passengers(_protected_passengers(raw.select("*", *marks)), ["mark_0", "mark_1"])
+        variants = count_copies(safe).drop("mark_0", "mark_1")
+        return self.stage.watched(variants, "passenger_variants", most=_most())
 
     def resolved_passengers(self) -> DataFrame:
         """One row per passenger id, analytical columns only, marked if duplicated or conflicting."""
         return self.stage.table("work/resolved_passengers", self._resolve_passengers)
 
+    def _compare_passengers(self) -> DataFrame:
+        variants = self.passenger_variants().select(*ANALYTICAL, COPIES)
+        return resolve_variants(variants, "passenger_id", ["age", "gender"])
+
     def _resolve_passengers(self) -> DataFrame:
         df = self._compare_passengers()
         duplicated, conflict = F.col(DUPLICATED), F.col(CONFLICT)
@@ -207,33 +346,37 @@ class Airline:
             A.finding(R.AGREEING_PASSENGER, duplicated & ~conflict),
             A.finding(R.CONFLICTING_PASSENGER, duplicated & conflict),
         )
-        return df.select(*ANALYTICAL, COPIES, DUPLICATED, CONFLICT, A.FINDINGS)
+        df = df.select(*ANALYTICAL, COPIES, DUPLICATED, CONFLICT, A.FINDINGS)
+        return self.stage.watched(
+            df, "resolved_passengers", surplus=_surplus(), conflicting=F.count_if(CONFLICT)
+        )
 
     def protected_passengers(self) -> DataFrame:
         """Surviving passengers with all columns, identifying ones hashed, masked or dropped.
 
         Never written: an intermediate, as only the analytical columns are for reporting.
         """
-        kept = self._compare_passengers().where(~F.col(CONFLICT))
-        return _protected_passengers(kept.select(*self.raw["passengers"].columns))
+        raw = self.raw["passengers"]
+        kept = resolve_by_key(raw, "passenger_id", ["age", "gender"]).where(~F.col(CONFLICT))
+        return _protected_passengers(kept.select(*raw.columns))
 
-    def duplicated_passenger_rows(self) -> DataFrame:
-        """Distinct rows of the ids that have several, protected, with copies and conflict mark."""
-        keys = self.stage.table(
-            "work/duplicated_passenger_ids",
-            lambda: self.resolved_passengers().where(DUPLICATED).select("passenger_id"),
+    def _conflicting_passenger_ids(self) -> DataFrame:
+        return self.stage.table(
+            "work/conflicting_passenger_ids",
+            lambda: self.resolved_passengers().where(CONFLICT).select("passenger_id"),
         )
-        return rows_with_keys(self.raw["passengers"], keys, "passenger_id")
 
     def conflicting_passengers(self) -> DataFrame:
         """All distinct rows, protected, of the ids whose rows disagree on age or gender."""
-        keys = self.stage.table(
-            "work/conflicting_passenger_ids",
-            lambda: self.resolved_passengers().where(CONFLICT).select("passenger_id"),
+        rows = rows_with_keys(
+            self.raw["passengers"], self._conflicting_passenger_ids(), "passenger_id"
         )
-        rows = rows_with_keys(self.raw["passengers"], keys, "passenger_id")
         return _protected_passengers(rows.drop(COPIES))
 
+    def _conflicting_passengers_to_write(self) -> DataFrame:
+        variants = self.passenger_variants().drop(COPIES)
+        return with_keys(variants, self._conflicting_passenger_ids(), "passenger_id")
+
     # --- payments ----------------------------------------------------------------------------
 
     def _distinct(self, dataset: str, key: str) -> DataFrame:
@@ -254,9 +397,21 @@ class Airline:
             A.finding(R.NULL_AMOUNT, kept & amount.isNull()),
             A.finding(R.INVALID_AMOUNT, kept & amount.isNotNull() & F.col("amount_parsed").isNull()),
         )
-        return df.select(
+        df = df.select(
             *REQUIRED["payments"], "amount_parsed", "amount_status", COPIES, CONFLICT, A.FINDINGS
         )
+        status = F.col("amount_status")
+        return self.stage.watched(
+            df,
+            "parsed_payments",
+            surplus=_surplus(),
+            most=_most(),
+            conflicting=F.count_if(CONFLICT),
+            conflicting_copies=F.sum(F.when(F.col(CONFLICT), F.col(COPIES))),
+            surplus_kept=F.sum(F.when(kept, F.col(COPIES) - F.lit(1))),
+            without_amount=F.count_if(kept & status.isNull()),
+            invalid=F.count_if(kept & (status == MARKED_INVALID)),
+        )
 
     def _amounts(self) -> DataFrame:
         return self.parsed_payments().where(~F.col(CONFLICT) & F.col("amount_status").isNotNull())
@@ -293,7 +448,10 @@ class Airline:
         flights = self.table("fact_flights")
         df = match_parent(df, flights, "flight_id", "has_flight", ["route_key", "airline_key"])
         df = match_parent(df, self.table("dim_passengers"), "passenger_id", "has_passenger")
-        return df.withColumn("is_orphan", ~(F.col("has_flight") & F.col("has_passenger")))
+        df = df.withColumn("is_orphan", ~(F.col("has_flight") & F.col("has_passenger")))
+        return self.stage.watched(
+            df, "checked_bookings", surplus=_surplus(), most=_most(), conflicting=F.count_if(CONFLICT)
+        )
 
     def booking_ledger(self) -> DataFrame:
         """What is known per booking id from both bookings and payments."""
@@ -312,7 +470,8 @@ class Airline:
         ledger = self.booking_ledger().drop("has_booking")
         df = self.checked_bookings().where(~F.col(CONFLICT)).drop(CONFLICT, COPIES, A.FINDINGS)
         rejected = F.col("is_orphan") | F.coalesce("has_orphan", F.lit(False))
-        return df.join(ledger, "booking_id", "left").withColumn("rejected", rejected)
+        df = df.join(ledger, "booking_id", "left").withColumn("rejected", rejected)
+        return self.stage.watched(df, "judged_bookings", rejected=F.count_if("rejected"))
 
     def orphan_bookings(self) -> DataFrame:
         """Bookings without flight or passenger, and those that share an id with one."""
@@ -326,7 +485,9 @@ class Airline:
         survived = F.col("has_booking") & ~F.col("has_orphan") & F.col("booking_id").isNotNull()
         bookings = self.booking_ledger().where(survived)
         payments = self._amounts().drop(CONFLICT, COPIES, A.FINDINGS)
-        return match_parent(payments, bookings, "booking_id", "has_booking")
+        df = match_parent(payments, bookings, "booking_id", "has_booking")
+        orphans = F.count_if(~F.col("has_booking"))
+        return self.stage.watched(df, "judged_payments", orphans=orphans)
 
     def orphan_payments(self) -> DataFrame:
         """Payments with an amount whose booking did not survive."""
@@ -356,7 +517,14 @@ class Airline:
                 M.observed_days(self.table("fact_bookings")),
             ),
         }
-        return self.stage.table(f"curated/{name}.parquet", builders[name])
+        measures = {
+            "fact_flights": {"without_airline": F.count_if(F.col("airline_key").isNull())},
+            "fact_payments": {"invalid": F.count_if(F.col("amount_status") == MARKED_INVALID)},
+        }
+        return self.stage.table(
+            f"curated/{name}.parquet",
+            lambda: self.stage.watched(builders[name](), name, rows=_rows(), **measures.get(name, {})),
+        )
 
     def tables(self) -> dict[str, DataFrame]:
         """The whole star schema."""
@@ -391,9 +559,7 @@ class Airline:
             "flights": by(self.malformed_flights(), R.BAD_FLIGHT_ID).unionByName(
                 by(self.conflicting_flights().select(*flights), R.CONFLICTING_FLIGHT)
             ),
-            "passengers": by(
-                _quarantined_passengers(self.conflicting_passengers()), R.CONFLICTING_PASSENGER
-            ),
+            "passengers": by(self._conflicting_passengers_to_write(), R.CONFLICTING_PASSENGER),
             "bookings": by(self.orphan_bookings().select(*booking_columns), R.ORPHAN_BOOKING),
             "payments": by(
                 self.null_amount_payments().select(*payment_columns), R.NULL_AMOUNT
@@ -406,6 +572,13 @@ class Airline:
                 rejected[dataset] = rejected[dataset].unionByName(
                     by(rows.select(*rejected[dataset].drop("rule_id").columns), rule)
                 )
+        for dataset, df in rejected.items():
+            if MALFORMED in self.given[dataset].columns:
+                rows = self.malformed_rows().where(F.col("dataset") == dataset)
+                rows = rows.select("record_id", F.col("text").alias(MALFORMED))
+                rejected[dataset] = df.unionByName(
+                    by(rows, R.MALFORMED_ROW), allowMissingColumns=True
+                )
         return rejected
 
     def _conflicting_keys(self) -> list[tuple[str, str, R.Rule]]:
@@ -426,115 +599,111 @@ class Airline:
         return self.stage.table("work/audit", self._audit)
 
     def _audit(self) -> DataFrame:
-        ts = self.run_ts
+        """Each table is read once; whether a dataset had duplicates was observed on its write."""
+        ts, tallies = self.run_ts, self.stage.tallies
 
-        def whole(df: DataFrame, key: str, dataset: str, rule: R.Rule) -> DataFrame:
-            tagged = A.tag(df.select(key), A.finding(rule, F.lit(True)))
+        def whole(df: DataFrame, key: str, dataset: str | Column, rule: R.Rule) -> DataFrame:
+            tagged = A.tag(df, A.finding(rule, F.lit(True)))
             return A.audit_log(tagged, key, dataset, ts)
 
-        conflicts = self.conflicting_flights()
-        passengers = self.resolved_passengers()
-        # An id whose rows are not all identical can still have identical rows among them.
-        identical = passengers.where(~F.col(DUPLICATED)).select(COPIES)
         orphan_ids = self.booking_ledger().where("has_orphan")
         events = [
             whole(self.malformed_flights(), "flight_id", "flights", R.BAD_FLIGHT_ID),
-            A.duplicates_summary(
-                self.clean_flights().select(COPIES).unionAll(conflicts.select(COPIES)),
-                "flights",
-                R.DUPLICATE_FLIGHTS,
-                ts,
-            ),
-            whole(conflicts, "flight_id", "flights", R.CONFLICTING_FLIGHT),
+            whole(self.conflicting_flights(), "flight_id", "flights", R.CONFLICTING_FLIGHT),
             A.audit_log(self.resolved_flights(), "flight_id", "flights", ts),
-            A.duplicates_summary(
-                self.checked_bookings(), "bookings", R.DUPLICATE_BOOKINGS, ts
-            ),
             A.audit_log(self.checked_bookings(), "booking_id", "bookings", ts),
-            A.duplicates_summary(
-                identical.unionAll(self.duplicated_passenger_rows().select(COPIES)),
-                "passengers",
-                R.DUPLICATE_PASSENGERS,
-                ts,
-            ),
-            A.audit_log(passengers, "passenger_id", "passengers", ts),
-            A.duplicates_summary(
-                self.parsed_payments(), "payments", R.DUPLICATE_PAYMENTS, ts
-            ),
+            A.audit_log(self.resolved_passengers(), "passenger_id", "passengers", ts),
             A.audit_log(self.parsed_payments(), "payment_id", "payments", ts),
             whole(orphan_ids, "booking_id", "bookings", R.ORPHAN_BOOKING),
             whole(self.orphan_payments(), "payment_id", "payments", R.ORPHAN_PAYMENT),
         ]
+        if any(MALFORMED in df.columns for df in self.given.values()):
+            rows = self.malformed_rows()
+            events.append(whole(rows, "record_id", F.col("dataset"), R.MALFORMED_ROW))
         if self.rules.quarantine_conflicting_keys:
             for dataset, key, rule in self._conflicting_keys():
                 events.append(whole(self._key_conflicts(dataset), key, dataset, rule))
+        duplicated = [
+            (dataset, rule)
+            for dataset, table, rule in (
+                ("flights", "flight_variants", R.DUPLICATE_FLIGHTS),
+                ("bookings", "checked_bookings", R.DUPLICATE_BOOKINGS),
+                ("passengers", "passenger_variants", R.DUPLICATE_PASSENGERS),
+                ("payments", "parsed_payments", R.DUPLICATE_PAYMENTS),
+            )
+            if tallies[table]["most"] > 1
+        ]
+        events.append(A.duplicates_summary(self.spark, duplicated, ts))
         return reduce(DataFrame.unionByName, events)
 
     def reconciliation(self) -> DataFrame:
-        """Raw, removed, quarantined and final rows of each dataset, counted independently."""
-        return self.stage.table("work/reconciliation", self._reconcile)
+        """Raw, removed, quarantined and final rows of each dataset, counted independently.
 
-    def _reconcile(self) -> DataFrame:
-        rows = F.count(F.lit(1))
-        surplus = F.sum(F.col(COPIES) - F.lit(1))
-
-        def tally(df: DataFrame, dataset: str, **measures: Column) -> DataFrame:
-            return C.tally(df, dataset, **measures)
-
-        conflicting = F.count_if(F.col(CONFLICT))
-        return C.reconcile(
-            tally(self.raw["flights"], "flights", raw_rows=rows),
-            tally(self.malformed_flights(), "flights", quarantined_rows=rows),
-            tally(self.clean_flights(), "flights", removed_rows=surplus),
-            tally(
-                self.conflicting_flights(), "flights", removed_rows=surplus, quarantined_rows=rows
+        Raw rows are counted by themselves, all others as their tables were written.
+        """
+        self.tables()
+        self.malformed_flights(), self.conflicting_flights()
+        t = self.stage.tallies
+        payments = t["parsed_payments"]
+        counts = {
+            "flights": (
+                t["flight_variants"]["surplus"],
+                t["malformed_flights"]["rows"] + t["conflicting_flights"]["rows"],
             ),
-            tally(self.table("fact_flights"), "flights", final_rows=rows),
-            tally(self.raw["passengers"], "passengers", raw_rows=rows),
-            tally(
-                self.resolved_passengers(),
-                "passengers",
-                removed_rows=surplus,
-                quarantined_rows=conflicting,
+            "passengers": (
+                t["resolved_passengers"]["surplus"], t["resolved_passengers"]["conflicting"]
             ),
-            tally(self.table("dim_passengers"), "passengers", final_rows=rows),
-            tally(self.raw["bookings"], "bookings", raw_rows=rows),
-            tally(
-                self.checked_bookings(),
-                "bookings",
-                removed_rows=surplus,
-                quarantined_rows=conflicting,
+            "bookings": (
+                t["checked_bookings"]["surplus"],
+                t["checked_bookings"]["conflicting"] + t["judged_bookings"]["rejected"],
             ),
-            tally(self.orphan_bookings(), "bookings", quarantined_rows=rows),
-            tally(self.table("fact_bookings"), "bookings", final_rows=rows),
-            tally(self.raw["payments"], "payments", raw_rows=rows),
-            tally(
-                self.parsed_payments(),
-                "payments",
-                removed_rows=surplus,
-                quarantined_rows=F.count_if(F.col(CONFLICT) | F.col("amount_status").isNull()),
+            "payments": (
+                payments["surplus"],
+                payments["conflicting"] + payments["without_amount"] + t["judged_payments"]["orphans"],
             ),
-            tally(self.orphan_payments(), "payments", quarantined_rows=rows),
-            tally(self.table("fact_payments"), "payments", final_rows=rows),
+        }
+        final = {name: t[FINAL[name]]["rows"] for name in counts}
+        return C.reconcile(
+            self.spark,
+            {
+                name: {
+                    "raw_rows": self.raw_tally(name),
+                    "removed_rows": removed,
+                    "quarantined_rows": quarantined + self._malformed_tally(name),
+                    "final_rows": final[name],
+                }
+                for name, (removed, quarantined) in counts.items()
+            },
         )
 
     def payment_reconciliation(self) -> DataFrame:
         """Raw against final payments; conflicting ids, if quarantined, are no part of either."""
-        raw = self.raw["payments"]
-        if self.rules.quarantine_conflicting_keys:
-            keys = self._key_conflicts("payments").select(F.col("payment_id").alias("conflicting"))
-            same = F.col("payment_id").eqNullSafe(F.col("conflicting"))
-            raw = raw.join(keys, same, "left_anti")
+        self.table("fact_payments")
+        t = self.stage.tallies
+        parsed = t["parsed_payments"]
         return C.reconcile_payments(
-            raw,
-            self.parsed_payments().where(~F.col(CONFLICT)),
-            self.table("fact_payments"),
-            self.orphan_payments(),
+            self.spark,
+            raw_rows=self.raw_tally("payments")
+            - self._malformed_tally("payments")
+            - parsed["conflicting_copies"],
+            removed_rows=parsed["surplus_kept"],
+            null_amount_rows=parsed["without_amount"],
+            source_invalid_rows=parsed["invalid"],
+            downstream_excluded_rows=t["judged_payments"]["orphans"],
+            final_rows=t["fact_payments"]["rows"],
+            final_marked_invalid_rows=t["fact_payments"]["invalid"],
         )
 
     def airline_reconciliation(self) -> DataFrame:
+        self.table("fact_flights"), self.malformed_flights()
+        t = self.stage.tallies
         return C.reconcile_derivation(
-            self.raw["flights"], self.clean_flights(), self.table("fact_flights"), R.UNKNOWN
+            self.spark,
+            source_missing_rows=t["raw_flights"]["missing_airline"],
+            derived_rows=t["resolved_flights"]["derived"],
+            handled_rows=t["resolved_flights"]["handled"],
+            final_null_key_rows=t["fact_flights"]["without_airline"],
+            final_literal_unknown_rows=t["resolved_flights"]["literal_unknown"],
         )
 
     def quality_summary(self) -> DataFrame:
@@ -560,9 +729,7 @@ def run(
     tables = plan.tables()
     C.assert_reconciled(plan.reconciliation())
     ready = f"{stage.root}/ready"
-    for name, df in tables.items():
-        write_parquet(df, f"{ready}/curated/{name}.parquet")
-        export_csv(df, f"{ready}/curated/{name}.csv")
+    write_curated(tables, f"{ready}/curated")
     write_quarantine(plan.quarantine(), f"{ready}/quarantine")
     write_audit(plan.audit(), f"{ready}/audit")
     for folder in ("curated", "quarantine", "audit"):

@@ -34,6 +34,8 @@ NULL_AMOUNT = Rule("PAY-01", "NULL amount", "High", "QUARANTINE")
 INVALID_AMOUNT = Rule("PAY-02", "INVALID string amount", "Medium", "FLAG (MARKED_INVALID)")
 ORPHAN_BOOKING = Rule("REF-01/02", "Orphan record", "High", "QUARANTINE")
 ORPHAN_PAYMENT = Rule("REF-03", "Orphan payment", "High", "QUARANTINE")
+# A rule of this library: raw rows with too many or too few fields.
+MALFORMED_ROW = Rule("S-01", "Row with too many or too few fields", "High", "QUARANTINE")
 
 # Flight-id prefix to airline, flight-id format, missing-value markers.
 AIRLINE_BY_PREFIX = {"AI": "Air India", "6F": "IndiGo", "SJ": "SpiceJet", "UK": "Vistara"}

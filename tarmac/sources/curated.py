@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import CURATED, SchemaError, conform, require_types
 from .datasets import CSV_OPTIONS, MissingDatasetError, read_frame
 
 
+#: The folder column of facts with a date: year and month of their date key.
+MONTH = "date_month"
+DATED_FACTS = ("fact_flights", "fact_bookings")
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the table at ``path``."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -21,11 +27,31 @@ def export_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     writer.partitionBy(*partition_by).csv(path)
 
 
+def month_of(date_key: str) -> Column:
+    """The year and month of a date key, 0 for no date."""
+    return F.floor(F.col(date_key) / 100).cast("int")
+
+
+def by_month(fact: DataFrame) -> DataFrame:
+    """A fact with its month, whose rows are dealt for a folder per month.
+
+    Rebalancing puts the rows of a month together, so there are few files, but splits a month
+    with very many rows, and joins months with few.
+    """
+    return fact.withColumn(MONTH, month_of("date_key")).hint("rebalance", MONTH)
+
+
 def write_curated(tables: dict[str, DataFrame], root: str) -> None:
-    """Write each curated table as ``<name>.parquet`` and ``<name>.csv`` below ``root``."""
+    """Write each curated table as ``<name>.parquet`` and ``<name>.csv`` below ``root``.
+
+    Parquet facts with a date are in folders by month, which readers that ask for days skip.
+    """
     for name, df in tables.items():
         table = df.select(*CURATED[name].names)
-        write_parquet(table, f"{root}/{name}.parquet")
+        if name in DATED_FACTS:
+            write_parquet(by_month(table), f"{root}/{name}.parquet", [MONTH])
+        else:
+            write_parquet(table, f"{root}/{name}.parquet")
         export_csv(table, f"{root}/{name}.csv")
 
 
@@ -44,9 +70,16 @@ def write_audit(audit: DataFrame, root: str, fmt: str = "csv") -> None:
 
 
 def read_curated(
-    spark: SparkSession, root: str, fmt: str = "parquet", names: Iterable[str] = CURATED
+    spark: SparkSession,
+    root: str,
+    fmt: str = "parquet",
+    names: Iterable[str] = CURATED,
+    months: bool = False,
 ) -> dict[str, DataFrame]:
-    """Load curated tables, after checking that every one is there and has its columns."""
+    """Load curated tables, after checking that every one is there and has its columns.
+
+    With ``months`` facts in folders by month keep ``date_month``, by which ``on_days`` prunes.
+    """
     tables = {}
     for name in names:
         location = f"{root}/{name}.{fmt}"
@@ -58,10 +91,23 @@ def read_curated(
         if missing:
             raise SchemaError(f"Schema Error: {name} missing {missing}")
         df = conform(df, CURATED[name]) if fmt == "csv" else require_types(df, name, CURATED[name])
-        tables[name] = df.select(*CURATED[name].names)
+        kept = [MONTH] if months and MONTH in df.columns else []
+        tables[name] = df.select(*CURATED[name].names, *kept)
     return tables
 
 
+def on_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """The facts of some members of ``dim_date``.
+
+    Of a fact that has kept its ``date_month``, Spark reads only the folders of these days' months,
+    which it learns from ``days`` while the query runs.
+    """
+    keys = ["date_key"]
+    if MONTH in fact.columns:
+        days, keys = days.withColumn(MONTH, month_of("date_key")), [MONTH, "date_key"]
+    return fact.join(days.select(*keys), keys, "left_semi").select(*fact.columns)
+
+
 def register_views(
     spark: SparkSession,
     root: str,

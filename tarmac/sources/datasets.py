@@ -71,13 +71,24 @@ def read_frame(
 
 
 def read_datasets(
-    spark: SparkSession, locations: dict[str, str], fmt: str = "parquet", multi_line: bool = True
+    spark: SparkSession,
+    locations: dict[str, str],
+    fmt: str | dict[str, str] = "parquet",
+    multi_line: bool = True,
+    malformed: str = "fail",
 ) -> dict[str, DataFrame]:
     """Read flights, bookings, passengers and payments, check and type their columns.
 
-    Times are left as stored: reading them leniently is part of the cleaning rules.
+    ``fmt`` is the format of all, or of each dataset. Times are left as stored: reading them
+    leniently is part of the cleaning rules. So are rows with too many or too few fields, if they
+    are marked: the plan puts them into quarantine and audit.
     """
-    frames = {name: read_frame(spark, at, fmt, multi_line) for name, at in locations.items()}
+    frames = {
+        name: read_frame(
+            spark, at, fmt if isinstance(fmt, str) else fmt[name], multi_line, malformed
+        )
+        for name, at in locations.items()
+    }
     require_columns(frames)
     times = {"departure_time", "arrival_time", "booking_date"}
     return {

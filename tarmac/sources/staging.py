@@ -7,15 +7,17 @@ a hint in the code.
 
 from __future__ import annotations
 
+import json
 import threading
 import time
 import uuid
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -51,7 +53,11 @@ def replace_folder(spark: SparkSession, finished: str, published: str) -> None:
 
 
 class StagedTables:
-    """Named Parquet tables below one folder, each built when first asked for."""
+    """Named Parquet tables below one folder, each built when first asked for.
+
+    Figures that a build asks for with ``watched`` are taken while its table is written, so that
+    no row is read again to be counted. They are in ``tallies``, and as JSON in the folder.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
@@ -59,6 +65,9 @@ class StagedTables:
         self._schemas: dict[str, T.StructType] = {}
         #: Seconds that writing each table took, with those it waited for.
         self.seconds: dict[str, float] = {}
+        #: What was observed while tables were written, by label.
+        self.tallies: dict[str, dict[str, int]] = {}
+        self._building = threading.local()
         self._locks: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
         self._guard = threading.Lock()
 
@@ -70,7 +79,9 @@ class StagedTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(
+        self, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
         """The table, written first if this run has not done so or its files are gone."""
         with self._guard:
             lock = self._locks[name]
@@ -81,12 +92,61 @@ class StagedTables:
                 except AnalysisException:
                     del self._schemas[name]
             began = time.perf_counter()
-            df = build()
-            df.write.mode("overwrite").parquet(self.path(name))
+            outer = getattr(self._building, "watched", None)
+            self._building.watched = watched = []
+            try:
+                df = build()
+                df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+            finally:
+                self._building.watched = outer
+            for label, observation in watched:
+                self._keep(label, observation.get)
             self.seconds[name] = time.perf_counter() - began
             self._schemas[name] = df.schema
             return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def watched(self, df: DataFrame, label: str, **measures: Column) -> DataFrame:
+        """``df``, with aggregates that are taken under ``label`` as the table being built is written.
+
+        Only for frames with no shuffle between them and the write. There each partition counts
+        once, as the attempt that finishes first; before a shuffle, a stage that is run again
+        after the loss of an executor would count twice.
+        """
+        building = getattr(self._building, "watched", None)
+        if building is None:
+            raise RuntimeError(f"{label} can be watched only while a table is built")
+        observation = Observation()
+        building.append((label, observation))
+        filled = (F.coalesce(m, F.lit(0)).cast("long").alias(n) for n, m in measures.items())
+        return df.observe(observation, *filled)
+
+    def _keep(self, label: str, tally: dict[str, int]) -> None:
+        self.tallies[label] = dict(tally)
+        at, system = _file_system(self.spark, f"{self.root}/tallies/{label}.json")
+        stream = system.create(at, True)
+        stream.write(json.dumps(tally).encode())
+        stream.close()
+
+
+_scratch: dict[str, StagedTables] = {}
+
+
+def scratch(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` written once, for operators that read them several times.
+
+    For use outside a plan, which has staged tables of its own. ``clear_scratch`` deletes the files.
+    """
+    spark = df.sparkSession
+    tables = _scratch.setdefault(spark.sparkContext.applicationId, StagedTables(spark))
+    return tables.table(f"scratch/{uuid.uuid4().hex}", lambda: df)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what ``scratch`` wrote; frames that read it end with it."""
+    tables = _scratch.pop(spark.sparkContext.applicationId, None)
+    if tables is not None:
+        tables.close()
+
 
 def build_together(*builds: Callable[[], DataFrame]) -> list[DataFrame]:
     """Build tables that do not depend on each other at the same time, so none waits for cores."""

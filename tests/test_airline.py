@@ -1,6 +1,7 @@
 """The airline plan on hand-made rows: every rule, the cascade, and row accounting."""
 
 import hashlib
+import json
 from types import SimpleNamespace
 
 import pytest
@@ -8,11 +9,11 @@ from base_helpers import rows
 from pyspark.sql import functions as F
 
 from tarmac.__main__ import main
-from tarmac.operators.reconcile import ReconciliationError, assert_reconciled, reconcile, tally
+from tarmac.operators.reconcile import ReconciliationError, assert_reconciled, reconcile
 from tarmac.plans import Airline, run
 from tarmac.rules import AirlineRules
 from tarmac.schemas import CURATED, RAW, SchemaError
-from tarmac.sources.staging import StagedTables, shared_folder
+from tarmac.sources.staging import StagedTables, clear_scratch, scratch, shared_folder
 
 FLIGHTS = "flight_id string, airline string, source string, destination string, departure_time string, arrival_time string, duration string"
 
@@ -169,10 +170,8 @@ def test_rows_are_accounted_for(plan):
 
 
 def test_a_lost_row_raises(plan):
-    recon = reconcile(
-        tally(plan.raw["flights"], "flights", raw_rows=F.count(F.lit(1))),
-        tally(plan.table("fact_flights"), "flights", final_rows=F.count(F.lit(1))),
-    )
+    counted = {"raw_rows": plan.raw["flights"].count(), "final_rows": plan.table("fact_flights").count()}
+    recon = reconcile(plan.spark, {"flights": counted})
     with pytest.raises(ReconciliationError, match="flights"):
         assert_reconciled(recon, "flights")
     assert_reconciled(recon, "payments")
@@ -352,6 +351,75 @@ def test_staged_tables_are_built_once_and_again_if_lost(spark, tmp_path):
     assert len(builds) == 2
 
 
+def test_figures_are_observed_while_a_table_is_written(spark, tmp_path):
+    stage = StagedTables(spark, str(tmp_path / "a"))
+
+    def inner():
+        return stage.watched(spark.range(5), "inner", rows=F.count(F.lit(1)))
+
+    def outer():
+        below = stage.table("inner", inner)
+        kept = stage.watched(spark.range(100).unionAll(below), "read", rows=F.count(F.lit(1)))
+        few = kept.where("id < 10").withColumn("part", F.col("id") % 3)
+        return stage.watched(few, "outer", most=F.max("id"), none=F.sum(F.lit(None).cast("int")))
+
+    stage.table("outer", outer, ["part"])
+    assert stage.tallies == {"inner": {"rows": 5}, "read": {"rows": 105}, "outer": {"most": 9, "none": 0}}
+    assert json.loads((tmp_path / "a" / "tallies" / "read.json").read_text()) == {"rows": 105}
+    assert len(list((tmp_path / "a" / "outer").glob("part=*"))) == 3
+    with pytest.raises(RuntimeError, match="only while a table is built"):
+        stage.watched(spark.range(1), "outside", rows=F.count(F.lit(1)))
+
+
+def test_scratch_is_deleted_when_cleared(spark):
+    kept = scratch(spark.range(3))
+    assert kept.count() == 3
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST"):
+        kept.collect()
+
+
+MARKED = {"flights": 2, "passengers": 1, "payments": 0}
+
+
+def with_malformed_rows(spark):
+    """Raw rows as a marking reader gives them: some are only text."""
+    frames = raw(spark)
+    for name, count in MARKED.items():
+        df = frames[name].withColumn("malformed_row", F.lit(None).cast("string"))
+        broken = spark.range(count).select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in frames[name].schema],
+            F.format_string("broken,%s,cid@x.com", F.col("id")).alias("malformed_row"),
+        )
+        frames[name] = df.unionAll(broken)
+    return frames
+
+
+def test_malformed_rows_are_quarantined_audited_and_counted(spark, plan):
+    marked = Airline(spark, with_malformed_rows(spark), run_ts="2026-05-01T00:00:00")
+    for name, df in plan.tables().items():
+        assert rows(marked.table(name)) == rows(df)
+    before = {r.dataset: r for r in plan.reconciliation().collect()}
+    for r in marked.reconciliation().collect():
+        more = MARKED.get(r.dataset, 0)
+        assert (r.raw_rows, r.quarantined_rows, r.status) == (
+            before[r.dataset].raw_rows + more, before[r.dataset].quarantined_rows + more, "PASS",
+        )
+    ids = {i: hashlib.sha256(f"broken,{i},cid@x.com".encode()).hexdigest() for i in range(2)}
+    events = marked.audit().where("rule_id = 'S-01'")
+    assert rows(events, "dataset", "record_id", "action") == sorted(
+        [("flights", ids[0], "QUARANTINE"), ("flights", ids[1], "QUARANTINE"), ("passengers", ids[0], "QUARANTINE")]
+    )
+    rejected = marked.quarantine()
+    assert rows(rejected["flights"].where("rule_id = 'S-01'"), "record_id", "malformed_row") == sorted(
+        (ids[i], f"broken,{i},cid@x.com") for i in range(2)
+    )
+    # The text of a passenger is personal: only its hash is kept.
+    assert rows(rejected["passengers"].where("rule_id = 'S-01'"), "record_id", "malformed_row") == [(ids[0], None)]
+    assert "malformed_row" not in rejected["bookings"].columns
+    assert marked.payment_reconciliation().first().status == "PASS"
+
+
 def test_shared_folder_comes_from_the_session():
     def session(master, folder=None):
         known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://warehouse/"}

@@ -3,8 +3,10 @@ from base_helpers import rows
 
 from tarmac.operators import explore as D
 from tarmac.operators import kpi as K
+from tarmac.operators.quantiles import frequencies, histogram
 from tarmac.plans import Dashboard
 from tarmac.schemas import CURATED
+from tarmac.sources.staging import StagedTables
 
 
 def curated(spark):
@@ -143,11 +145,11 @@ def test_views(dash):
 
 
 def test_histogram(spark, dash):
-    got = D.histogram(dash.flights, "calculated_duration_mins", 10).collect()
+    got = dash.duration_histogram(bins=10).collect()
     assert [(r.bin, r.bin_start, r.n) for r in got] == [(0, 10.0, 1), (1, 59.0, 2), (9, 451.0, 1)]
     same = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
-    assert [(r.bin, r.n) for r in D.histogram(same, "v").collect()] == [(0, 2)]
-    assert D.histogram(same.where("v > 5"), "v").collect() == []
+    assert [(r.bin, r.n) for r in histogram(frequencies(same, [], "v"), "v").collect()] == [(0, 2)]
+    assert histogram(frequencies(same.where("v > 5"), [], "v"), "v").collect() == []
 
 
 def test_airline_focus(dash):
@@ -166,6 +168,27 @@ def test_explore_and_export(spark, dash, tmp_path):
     assert spark.read.csv(f"{tmp_path}/out", header=True).count() == 2
 
 
+def test_staged_views_equal_computed_ones(spark, tables, dash):
+    stage = StagedTables(spark)
+    kept = Dashboard.of(tables, stage)
+    for selection in (D.CrossFilter(), D.CrossFilter(airlines=("IndiGo",)), D.CrossFilter(routes=("BLR-CCU",))):
+        a, b = dash.select(selection), kept.select(selection)
+        for dataset in ("flights", "bookings", "payments"):
+            assert rows(a.explore(dataset)) == rows(b.explore(dataset))
+        assert rows(a.duration_histogram(bins=7)) == rows(b.duration_histogram(bins=7))
+        assert rows(a.duration_box()) == rows(b.duration_box())
+    # A selection of a selection is another one.
+    both = kept.select(D.CrossFilter(airlines=("IndiGo",))).select(D.CrossFilter(overnight_only=True))
+    assert both.duration_histogram().agg({"n": "sum"}).first()[0] == 1
+    stage.close()
+
+
+def test_payments_carry_each_route_once(tables, dash):
+    carried = {r.payment_id: r.booked for r in dash.payments.collect()}
+    assert {p: len(b) for p, b in carried.items()} == {"Y1": 1, "Y2": 1, "Y3": 1, "Y4": 1}
+    assert dash.explore("payments").columns == tables["fact_payments"].columns
+
+
 def test_persisted_frames_give_the_same(dash):
     kept = dash.persist()
     assert rows(kept.flights) == rows(dash.flights)

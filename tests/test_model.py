@@ -56,7 +56,7 @@ def test_ledger_agrees_with_the_rollup(spark):
     ]
 
 
-def test_fact_bookings(spark):
+def test_curated_bookings(spark):
     bookings = spark.createDataFrame(
         [
             ("B1", "P1", "F1", datetime.datetime(2026, 4, 20), "OK", "1A"),
@@ -67,7 +67,10 @@ def test_fact_bookings(spark):
     flights = spark.createDataFrame(
         [("F1", "r", "a", 1, 1.0, False, False, "ORIGINAL")], CURATED["fact_flights"]
     )
-    fact = M.fact_bookings(bookings, M.payment_rollup(payments(spark)), flights)
+    keys = flights.select("flight_id", "route_key", "airline_key")
+    rollup = M.payment_rollup(payments(spark))
+    joined = bookings.join(keys, "flight_id", "left").join(rollup, "booking_id", "left")
+    fact = M.curated_bookings(joined)
     assert rows(fact) == [
         ("B1", "P1", "F1", "r", "a", 20260420, "OK", "1A", 15.5, 2),
         ("B2", "P1", "F9", None, None, 0, "OK", None, 0.0, 0),

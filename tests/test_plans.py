@@ -1,16 +1,22 @@
 """The shape of the physical plans: what is read, shuffled, broadcast and generated."""
 
 import re
+import tempfile
 
 import pytest
 from base_helpers import final_plan
 from pyspark.sql import functions as F
 
+from contract.inputs import FLIGHT_IDS, raw_tables
 from contract.queries import all_queries, plan
 from tarmac.operators import explore as D
 from tarmac.operators import kpi as K
-from tarmac.operators.quantiles import box_stats, iqr_upper_bounds
-from tarmac.plans import Dashboard
+from tarmac.operators.quantiles import frequencies, iqr_upper_bounds
+from tarmac.plans import Dashboard, run
+from tarmac.rules import AirlineRules
+from tarmac.sources import curated
+from tarmac.sources.curated import on_days, read_curated, write_curated
+from tarmac.sources.staging import StagedTables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,10 +64,101 @@ def test_facts_are_aggregated_before_the_join(airline):
     assert text.index("partial_count") > join
 
 
-def test_deduplication_shuffles_flights_once(airline):
-    text = executed(airline._resolve_flights())
-    assert text.count("Exchange") == 1
-    assert "partial_min" in text and "Window" not in text
+def test_keys_are_resolved_by_hash_aggregation(airline):
+    for resolved in (airline._resolve_flights(), airline._compare_passengers()):
+        text = final_plan(resolved)
+        assert "SortAggregate" not in text and "HashAggregate" in text
+        # Only the numbers per key are shuffled; the rows of keys with several variants are few.
+        assert "partial_count" in text
+
+
+def test_raw_rows_are_shuffled_once(airline):
+    text = executed(_building(airline, airline._flight_variants))
+    assert text.count("Exchange") == 1 and "partial_count" in text and "SortAggregate" not in text
+
+
+def _building(airline, build):
+    """The frame of a build, taken while a table is built, as builds may watch theirs."""
+    found = []
+
+    def keep():
+        found.append(build())
+        return found[0]
+
+    airline.stage.table(f"test/{build.__name__}", keep)
+    return found[0]
+
+
+def test_each_raw_dataset_is_read_twice_in_a_run(spark, monkeypatch):
+    """Once to be processed and once to be counted."""
+    raw = {}
+    root = tempfile.mkdtemp()  # a short path, as plans cut long ones
+    for name, df in raw_tables(spark, SF_DIR).items():
+        df.write.parquet(f"{root}/raw_{name}.parquet")
+        raw[name] = spark.read.parquet(f"{root}/raw_{name}.parquet")
+    texts = []
+    whole = StagedTables.table
+
+    def recorded(self, name, build, partition_by=()):
+        def kept():
+            df = build()
+            texts.append(executed(df))
+            return df
+
+        return whole(self, name, kept, partition_by)
+
+    monkeypatch.setattr(StagedTables, "table", recorded)
+    written, write = [], curated.write_parquet
+
+    def also_recorded(df, path, partition_by=()):
+        written.append(executed(df))
+        write(df, path, partition_by)
+
+    monkeypatch.setattr(curated, "write_parquet", also_recorded)
+    finished = run(spark, raw, f"{root}/out", "t", AirlineRules(flight_id_pattern=FLIGHT_IDS))
+    counted = set(finished._counted)
+    assert counted == {"passengers", "bookings", "payments"}
+    for name in raw:
+        reads = sum(t.count(f"raw_{name}.parquet]") for t in texts + written)
+        assert reads + (name in counted) == 2, name
+
+
+def test_accounting_reads_no_table(airline):
+    for report in (airline.reconciliation(), airline.payment_reconciliation(), airline.airline_reconciliation()):
+        assert "FileScan" not in executed(report)
+
+
+def test_the_audit_reads_each_table_once(airline):
+    airline.audit()
+    audit = _building(airline, airline._audit)
+    folders = {file.rsplit("/", 1)[0] for file in audit.inputFiles()}
+    assert executed(audit).count("FileScan") == len(folders) == 8
+
+
+def test_selections_need_no_join(airline):
+    kept = Dashboard.of(airline.tables(), airline.stage)
+    chosen = kept.select(D.CrossFilter(airlines=("IndiGo",), sources=("DEL",), overnight_only=True))
+    for df in (chosen.flights, chosen.bookings, chosen.payments, chosen.explore("payments")):
+        text = executed(df)
+        assert "Join" not in text and "Exchange" not in text
+    assert "Join" not in executed(D.kpi_cards(chosen.flights, chosen.bookings, chosen.payments))
+    assert "EqualTo(airline,IndiGo)" in executed(chosen.flights)
+
+
+def test_days_prune_months(spark, airline, tmp_path):
+    write_curated(airline.tables(), str(tmp_path))
+    tables = read_curated(spark, str(tmp_path), months=True)
+    days = tables["dim_date"].where("year = 1995 and month = 3")
+    for fact in ("fact_flights", "fact_bookings"):
+        text = final_plan(on_days(tables[fact], days).agg(F.count("date_key")))
+        assert re.search(r"PartitionFilters: \[.*dynamicpruning", text)
+    flights = on_days(tables["fact_flights"], days)
+    whole = airline.table("fact_flights").where("date_key between 19950301 and 19950331")
+    assert 0 < flights.count() == whole.count()
+    parts = [p.name for p in (tmp_path / "fact_flights.parquet").iterdir() if p.name.startswith("date_month")]
+    assert "date_month=199503" in parts and len(parts) > 50
+    # Without the folders' column days are found as well.
+    assert on_days(tables["fact_flights"].drop("date_month"), days).count() == flights.count()
 
 
 def test_tagged_rows_stay_in_generated_code(spark, airline):
@@ -71,14 +168,14 @@ def test_tagged_rows_stay_in_generated_code(spark, airline):
 
 
 def test_a_hot_route_is_reduced_before_it_is_shuffled(spark):
-    """Per-group windows see ranges and distinct values, never the rows of the group."""
+    """What is dealt to ranges are counted values, never the rows of a group."""
     df = spark.range(0, 100000, 1, 8).selectExpr(
         "if(id % 3 = 0, 'hot', concat('r', id % 40)) AS route", "cast(id % 300 AS double) AS minutes"
     )
-    text = final_plan(iqr_upper_bounds(df, ["route"], "minutes"))
-    below_window = text[text.index("Window") :]
-    assert "partial_count" in below_window
-    assert "hashpartitioning(route" in text and ", minutes" in text
+    text = executed(frequencies(df, ["route"], "minutes"))
+    assert text.index("Exchange hashpartitioning(route") < text.index("partial_count")
+    bounds = final_plan(iqr_upper_bounds(df, ["route"], "minutes"))
+    assert "scratch" in bounds and "partial_count" not in bounds
 
 
 def test_hot_flight_is_split_in_the_booking_check(spark, airline, conf):
@@ -101,7 +198,10 @@ def test_hot_flight_is_split_in_the_booking_check(spark, airline, conf):
     assert {r.found: r.n for r in counted.collect()} == {True: 20000, False: 40000}
 
 
-def test_box_statistics_scan_the_fact_once(dash):
-    text = final_plan(D.duration_view(dash.flights, "all").transform(lambda f: box_stats(f, "airline", K.DURATION)))
-    final = text[: text.index("Initial Plan")]
-    assert len(re.findall(r"FileScan parquet \[[^\]]*calculated_duration_mins", final)) == 1
+def test_box_and_histogram_come_from_one_count_of_the_fact(airline):
+    kept = Dashboard.of(airline.tables(), airline.stage)
+    kept.duration_box(), kept.duration_histogram()
+    for df in (kept.duration_box(), kept.duration_histogram()):
+        assert df.inputFiles() and all("/serving/duration" in file for file in df.inputFiles())
+    text = executed(Dashboard.of(airline.tables()).durations())
+    assert len(re.findall(r"FileScan parquet \[[^\]]*calculated_duration_mins", text)) == 1
