@@ -8,12 +8,15 @@ rounds end when none is left, after about log2 of the longest repeated run.
 
 An interval of common prefix ``min_lines`` or more holds the copies of a run. Its first suffix, in
 order of document id and line, is the original, and the lines of all later ones are deleted;
-overlapping intervals join to the maximal repeated run. The first place of a line is never
-deleted, so no text is lost altogether.
+overlapping intervals join to the maximal repeated run. A single line of ``min_words`` words or
+more is a run by itself, so long passages are found whatever their neighbours; its interval is
+that of rank 0. The first place of a line is never deleted, so no text is lost altogether.
 
 All steps are DataFrame operations. Each interval is a pair of minima and maxima that combine
 before the shuffle, and a frequent line or run is the many side of a join that adaptive execution
-splits; no interval is collected. Every round's table is written.
+splits; no interval is collected. Every round's table is written. Rows that repeat an id and a text
+enter once, so the tables hold one suffix per line and place, however often a row is repeated.
+Texts are not moved, but for those that a bitmap of fixed size says may change.
 
 Null text stays null, text without lines stays as it is. Rows that repeat an id and a text are one
 document and answered alike; of rows that share an id with different texts the order is that of
@@ -23,36 +26,64 @@ text pass through. Documents and lines are compared by 64-bit hashes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.shared import Stage
 
 #: Shortest run that counts as repeated, in lines.
 MIN_LINES = 2
+#: Words, parted by ASCII blanks, with which a single line counts as a run.
+MIN_WORDS = 50
+#: Bits of the bitmap of documents that may change: 4 MB, whatever their number.
+BITMAP_BITS = 25
 
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+def _document(doc_id: str, text: str) -> Column:
+    """A number for each id and text; a null id is one of its own."""
+    return F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), F.xxhash64(text))
+
+
+def line_positions(
+    documents: DataFrame, stage: Stage, doc_id: str, text: str, min_words: int
+) -> DataFrame:
+    """(d, i, j, at, line, long): document, number among non-blank lines, line number, place, hash.
+
+    ``long`` tells whether the line has at least ``min_words`` words.
+    """
+    full = F.filter(
+        F.transform(F.split(text, "\n"), lambda x, j: F.struct(j.alias("j"), x.alias("x"))),
+        lambda s: F.trim(s["x"]) != "",
+    )
+
+    def hashed(s: Column) -> Column:
+        # So many words take at least so many characters; most lines need not be searched.
+        enough = (F.length(s["x"]) >= 2 * min_words - 1) & (
+            F.regexp_count(s["x"], F.lit(_WORD)) >= min_words
+        )
+        return F.struct(s["j"].alias("j"), F.xxhash64(s["x"]).alias("line"), enough.alias("long"))
 
-def line_positions(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(d, i, j, at, line): document, number among non-blank lines, line number, place, line's hash."""
     rows = documents.where(F.col(text).isNotNull()).select(
+        _document(doc_id, text).alias("d"),
         F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("id"),
         F.xxhash64(text).alias("t"),
-        F.split(text, "\n").alias("lines"),
+        F.transform(full, hashed).alias("h"),
     )
+    again = rows.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("d")
+    again = stage.table("again", again)
+    once = rows.join(again, "d", "left_anti")
+    rows = once.unionByName(rows.join(again, "d", "left_semi").dropDuplicates(["d"]))
     # Places are ordered by document id, then by the text's hash, then by line.
     first = F.col("id").cast("decimal(38,0)") * F.lit(10**9).cast("decimal(10,0)") + F.pmod(
         "t", F.lit(10**9)
     ).cast("decimal(10,0)")
-    full = F.filter(
-        F.transform("lines", lambda x, j: F.struct(j.alias("j"), x.alias("x"))),
-        lambda s: F.trim(s["x"]) != "",
-    )
-    hashed = F.transform(full, lambda s: F.struct(s["j"].alias("j"), F.xxhash64(s["x"]).alias("line")))
     spread = rows.select(
-        F.xxhash64("id", "t").alias("d"), first.cast("decimal(29,0)").alias("first"), hashed.alias("h")
-    ).select("d", "first", F.posexplode("h").alias("i", "s"))
+        "d", first.cast("decimal(29,0)").alias("first"), F.posexplode("h").alias("i", "s")
+    )
     at = (F.col("first") * F.lit(10**9).cast("decimal(10,0)") + F.col("i")).cast("decimal(38,0)")
-    return spread.select("d", "i", F.col("s.j").alias("j"), at.alias("at"), F.col("s.line").alias("line"))
+    return spread.select("d", "i", "s.j", at.alias("at"), "s.line", "s.long")
 
 
 def _intervals(rows: DataFrame, *keys: str) -> DataFrame:
@@ -67,16 +98,23 @@ def _ahead(ranks: DataFrame, lines: int) -> DataFrame:
     return ranks.select("d", "i", "at", "rank").join(other, ["d", "i"])
 
 
-def suffix_ranks(positions: DataFrame, stage: Stage, min_lines: int) -> DataFrame | None:
-    """Doubles until no prefix repeats; returns (d, i, later) of suffixes in deep enough intervals.
+def suffix_ranks(
+    positions: DataFrame, stage: Stage, min_lines: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Doubles until no prefix repeats; the suffixes that repeat in a line, and in ``min_lines``.
 
-    ``later`` tells whether the suffix is not the first of its interval.
+    Both have d, i and ``later``, which tells whether the suffix is not the first of its interval.
     """
     lines = _intervals(positions, "line")
     ranks = positions.join(lines, "line").select(
-        "d", "i", "at", F.col("line").alias("rank"), (F.col("at") > F.col("first")).alias("later")
+        "d",
+        "i",
+        "at",
+        F.col("line").alias("rank"),
+        (F.col("at") > F.col("first")).alias("later"),
+        "long",
     )
-    ranks = stage.table("ranks-0", ranks)
+    ranks = single = stage.table("ranks-0", ranks)
     depth, level, deep = 1, 0, None
     while ranks.take(1):
         if depth <= min_lines < 2 * depth:
@@ -95,11 +133,34 @@ def suffix_ranks(positions: DataFrame, stage: Stage, min_lines: int) -> DataFram
         depth, level = 2 * depth, level + 1
         ranks = stage.table(f"ranks-{level}", ranks)
         stage.drop(f"pairs-{level - 1}", f"classes-{level - 1}")
-    return deep
+    return single, deep
+
+
+def _bitmap(keys: DataFrame, key: str) -> Column:
+    """Pieces of a bitmap of keys by number, as one value for all rows of a query."""
+    place = F.pmod(F.col(key), F.lit(1 << BITMAP_BITS)) + 1
+    pieces = keys.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    return pieces.agg(F.map_from_entries(F.collect_list(F.struct("piece", "bits")))).scalar()
+
+
+def _maybe(bitmap: Column, key: str) -> Column:
+    """False if the key is in no piece of the bitmap."""
+    place = F.pmod(F.col(key), F.lit(1 << BITMAP_BITS)) + 1
+    bit = F.bitmap_bit_position(place).cast("int")
+    piece = F.try_element_at(bitmap, F.bitmap_bucket_number(place))
+    octet = F.conv(F.hex(F.substring(piece, F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), bit % 8 + 1)
+    return F.coalesce(octet.bitwiseAND(mask) != 0, F.lit(False))
 
 
 def remove_repeated_lines(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    min_lines: int = MIN_LINES,
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """The rows with all their columns, the text without later copies of repeated runs.
 
@@ -107,30 +168,25 @@ def remove_repeated_lines(
     columns of these names are replaced.
     """
     stage = Stage(documents.sparkSession, "lines")
-    positions = stage.table("positions", line_positions(documents, doc_id, text))
-    deep = suffix_ranks(positions, stage, min_lines)
-    rows = documents.drop("n_lines", "n_removed", "longest_run").withColumn(
-        "__d",
-        F.xxhash64(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), F.xxhash64(text)),
+    positions = line_positions(documents, stage, doc_id, text, min_words)
+    positions = stage.table("positions", positions)
+    single, deep = suffix_ranks(positions, stage, min_lines)
+    covered = single.where("later and long").select("d", "i")
+    if deep is not None:
+        runs = F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1)))
+        covered = covered.unionByName(deep.where("later").select("d", runs.alias("i")))
+    gone = (
+        positions.join(covered.distinct(), ["d", "i"])
+        .groupBy(F.col("d").alias("__d"))
+        .agg(F.array_sort(F.collect_set("j")).alias("__gone"))
     )
-    if deep is None:
-        gone = rows.sparkSession.createDataFrame([], "__d long, __gone array<int>")
-    else:
-        covered = deep.where("later").select(
-            "d", F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i")
-        )
-        gone = (
-            positions.join(covered.distinct(), ["d", "i"])
-            .groupBy(F.col("d").alias("__d"))
-            .agg(F.array_sort(F.collect_set("j")).alias("__gone"))
-        )
-        gone = stage.table("gone", gone)
+    gone = stage.table("gone", gone)
+    rows = documents.drop("n_lines", "n_removed", "longest_run")
+    rows = rows.withColumn("__d", _document(doc_id, text))
+    rows = rows.withColumn("__maybe", _maybe(_bitmap(gone, "__d"), "__d"))
+    # Merged at every size, so that what is shuffled keeps in proportion to what changes.
+    changed = rows.where("__maybe").join(gone.hint("merge"), "__d", "left")
     lines = F.split(text, "\n")
-    # Merged at every size: a plan that sends one side everywhere while it is small tells nothing
-    # of the next size.
-    joined = rows.join(gone.hint("merge"), "__d", "left").withColumn(
-        "__gone", F.coalesce("__gone", F.expr("cast(array() as array<int>)"))
-    )
     # What stays lies between the deleted lines.
     bounds = F.zip_with(
         F.concat(F.array(F.lit(-1)), "__gone"),
@@ -148,11 +204,19 @@ def remove_repeated_lines(
         ),
         lambda s: s["most"].cast("long"),
     )
-    out = joined.withColumn("__lines", lines)
-    kept = [F.col(c) if c != text else shorter.alias(text) for c in rows.columns if c != "__d"]
-    return out.select(
-        *kept,
-        F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("__gone").cast("long").alias("n_removed"),
-        runs.alias("longest_run"),
+    none = F.expr("cast(array() as array<int>)")
+    changed = changed.withColumns({"__gone": F.coalesce("__gone", none), "__lines": lines})
+    names = [c for c in rows.columns if c not in ("__d", "__maybe")]
+    n_lines = F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines")
+    zero = F.lit(0).cast("long")
+    same = rows.where("not __maybe").select(
+        *names, n_lines, zero.alias("n_removed"), zero.alias("longest_run")
+    )
+    return same.unionByName(
+        changed.select(
+            *[F.col(c) if c != text else shorter.alias(text) for c in names],
+            n_lines,
+            F.size("__gone").cast("long").alias("n_removed"),
+            runs.alias("longest_run"),
+        )
     )
