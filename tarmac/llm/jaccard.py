@@ -47,6 +47,8 @@ PERCENT = 80
 HEAVY = 1 << 17
 #: Rounds in which lists are compared with a pivot before the rest is paired.
 PIVOT_ROUNDS = 2
+#: Sets that a task remembers to have sent; it forgets them all when there are more.
+SENT = 200_000
 #: Shingles counted together, and texts worked on together, in a task.
 COUNTED, ROWS = 4_000_000, 2_000
 
@@ -230,6 +232,8 @@ class _Pass:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sent: set[int] = set()
             for batch in batches:
+                if len(sent) > SENT:
+                    sent.clear()
                 ids = batch.column(0).fill_null(0).to_numpy()
                 for at in range(0, batch.num_rows, ROWS):
                     kept: dict[int, bytes] = {}
@@ -266,7 +270,10 @@ def near_duplicates(
     percent: int = PERCENT,
     heavy: int = HEAVY,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id of its class) and text_hash."""
+    """doc_id, n_shingles, component_id (the smallest id of its class), text_hash and class.
+
+    ``class`` numbers the classes, also those that share a smallest id; texts without words have none.
+    """
     spark = documents.sparkSession
     stage = Stage(spark, "jaccard")
     reader = _Pass(documents, doc_id, text, words, percent)
@@ -324,13 +331,14 @@ def near_duplicates(
 
     final = _classes(nodes, roots, stage, "final")
     lowest = final.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_node = final.join(lowest, "root").select("node", "component_id")
+    by_node = final.join(lowest, "root").select("node", "root", "component_id")
     alone = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return docs.join(by_node, "node", "left").select(
         F.col("id").alias("doc_id"),
         "n_shingles",
         F.when(F.col("id").isNotNull(), alone).alias("component_id"),
         F.col("t").alias("text_hash"),
+        F.col("root").alias("class"),
     )
 
 
@@ -339,14 +347,21 @@ def keep_one(
 ) -> DataFrame:
     """One row of each class, that of its smallest id, with all columns.
 
-    Texts without words are no copies of each other, and rows with a null id all stay. Most texts
-    stay where they are: only rows that a bitmap of fixed size names are joined with the rows to
-    go, which are known by id and text hash.
+    Of several texts of that id the one with the smallest hash stays. Texts without words are no
+    copies of each other, and rows with a null id all stay. Most texts stay where they are: only
+    rows that a bitmap of fixed size names are joined with the rows to go, which are known by id
+    and text hash.
     """
     stage = Stage(documents.sparkSession, "classes")
     found = near_duplicates(documents, doc_id, text, **options).where("doc_id is not null")
-    found = stage.table("found", found.select("doc_id", "component_id", "text_hash"))
-    gone = found.where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    found = stage.table("found", found.select("doc_id", "text_hash", "class"))
+    own = F.struct("doc_id", "text_hash")
+    several = found.where("class is not null").groupBy("class").agg(
+        F.min(own).alias("kept"), F.max(own).alias("last")
+    )
+    several = several.where("kept <> last").select("class", "kept")
+    gone = found.join(several, "class").where(own != F.col("kept"))
+    gone = gone.select("doc_id", "text_hash").distinct()
     again = found.groupBy("doc_id", "text_hash").count().where("count > 1")
     gone = stage.table("gone", gone)
     key = F.xxhash64("doc_id", "text_hash").alias("key")
@@ -432,22 +447,23 @@ def _apart(pairs: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _rest(lists, members, percent: int) -> DataFrame:
-    """All node pairs of a list that are in different classes and pass the filters."""
-    rows = lists.join(members.select("g", "node", "root"), "g")
-    mixed = rows.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    rows = rows.join(mixed.where("lo < hi").select("h"), "h").select("h", "node", "root", "n", "at")
-    other = rows.select(
-        "h",
-        F.col("node").alias("node2"),
-        F.col("root").alias("root2"),
-        F.col("n").alias("n2"),
-        F.col("at").alias("at2"),
-    )
-    each = rows.join(other, "h").where("root < root2").where(_size_filter(percent))
-    pairs = each.where(_position_filter(percent)).select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")
-    )
-    return pairs.distinct()
+    """All node pairs of groups that share a shingle, pass the filters, and are in different classes.
+
+    Pairs of groups are filtered, each once however many shingles they share, and then expanded.
+    """
+    groups = members.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    rows = lists.join(groups, "g")
+    mixed = rows.groupBy("h").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+    rows = rows.join(mixed.where("least < most").select("h"), "h")
+    rows = rows.select("h", "g", "n", "at", "lo", "hi")
+    other = rows.toDF("h", "g2", "n2", "at2", "lo2", "hi2")
+    each = rows.join(other, "h").where("g < g2 and not (lo = hi and lo2 = hi2 and lo = lo2)")
+    each = each.where(_size_filter(percent)).where(_position_filter(percent))
+    inside = groups.where("lo < hi").select("g", F.col("g").alias("g2"))
+    pairs = each.select("g", "g2").distinct().unionByName(inside)
+    own = members.select("g", "node", "root")
+    both = pairs.join(own, "g").join(own.toDF("g2", "node2", "root2"), "g2").where("root <> root2")
+    return both.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
 def _likely(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -477,7 +493,8 @@ def _verified(pairs, nodes, reader: _Pass, percent: int, stage: Stage, round_: i
     """The pairs whose whole sets are similar enough; a set may come from several tasks."""
     spark = pairs.sparkSession
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
-    bits = key_filter(wanted.select(F.expr("node ^ id").alias("key")), "key")
+    # A text whose rows have no id is known by its set alone.
+    bits = key_filter(wanted.select(F.expr("node ^ coalesce(id, 0)").alias("key")), "key")
     sets = reader.sets(spark.sparkContext.broadcast(bits))
     sets = stage.table(f"shingles-{round_}", sets.withColumnRenamed("shingles", "s"))
     joined = (
