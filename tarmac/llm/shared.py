@@ -35,12 +35,18 @@ class Stage:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.written: list[str] = []
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.written.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def names(self, beginning: str) -> list[str]:
+        """The staged tables whose names begin so."""
+        return [name for name in self.written if name.startswith(beginning)]
+
     def drop(self, *names: str) -> None:
         """Delete staged tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
@@ -48,6 +54,7 @@ class Stage:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
+        self.written = [name for name in self.written if name not in names]
 
 
 _shipped: set[str] = set()

@@ -40,6 +40,8 @@ from tarmac.llm import deepshallow, wordhash
 from tarmac.llm.shared import Stage, key_filter, text_column
 
 WIDTH, GRAM = 200, 32
+#: Bytes before and from an anchor are one number, times and plus less than this.
+SIDE = 4096
 #: Different contexts of a gram that one task sorts.
 GROUP = 128
 #: Contexts that a task remembers to have sent; it forgets them all when there are more.
@@ -83,7 +85,7 @@ class Anchors:
         self.right = np.minimum(last - at, width)
         a, b = at - self.left, at + self.right
         context = (sums[b] - sums[a]) * inverse[a]
-        size = (self.left * 4096 + self.right).astype(np.uint64)
+        size = (self.left * SIDE + self.right).astype(np.uint64)
         self.context = wordhash.mix(context ^ wordhash.mix(size)).view(np.int64)
 
     def references(self, text_hashes: np.ndarray) -> np.ndarray:
@@ -132,18 +134,17 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
             for found, own in _anchors(batch, width, gram):
                 kept = bits.value.maybe(found.gram)
                 columns = (
-                    found.gram, found.context, found.references(own), own[found.text],
-                    found.position, found.left, found.right,
+                    found.gram, found.context, found.references(own), own[found.text], found.position
                 )
-                yield _record("gram ctx ref t at l r", *(c[kept] for c in columns))
+                sides = (found.left * SIDE + found.right)[kept].astype(np.int32)
+                yield _record("gram ctx ref t at sides", *(c[kept] for c in columns), sides)
 
-    kinds = "gram long, ctx long, ref long, t long, at long, l long, r long"
+    kinds = "gram long, ctx long, ref long, t long, at long, sides int"
     anchors = stage.table("anchors", texts.mapInArrow(places, kinds))
+    bits.destroy()
+    # Equal contexts reach equally far to both sides of the anchor.
     contexts = anchors.groupBy("gram", "ctx").agg(
-        F.min("ref").alias("lo"),
-        F.max("ref").alias("hi"),
-        F.min("l").alias("l"),
-        F.min("r").alias("r"),
+        F.min("ref").alias("lo"), F.max("ref").alias("hi"), F.min("sides").alias("sides")
     )
     contexts = stage.table("contexts", contexts)
     # Grams with several contexts, one of which has a single place.
@@ -151,7 +152,9 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
         F.count("*").alias("n"), F.max(F.expr("lo = hi")).alias("open")
     )
     mixed = stage.table("mixed", mixed.where("n > 1 and open").select("gram", "n"))
-    chosen = contexts.join(mixed, "gram").select(F.col("lo").alias("ref"))
+    # A gram that the filter lets pass wrongly has nothing to find: its contexts are alone, or repeat.
+    several = spark.sparkContext.broadcast(key_filter(mixed, "gram"))
+    chosen = _filtered(contexts.select("gram", F.col("lo").alias("ref")), several, 0)
     wanted = spark.sparkContext.broadcast(key_filter(chosen, "ref"))
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,6 +177,8 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     hot = spark.sparkContext.broadcast(key_filter(crowded, "gram"))
     pieces = texts.mapInArrow(bytes_of, "gram long, ctx long, l long, bytes binary, big boolean")
     pieces = stage.table("pieces", pieces)
+    for used in (several, wanted, hot):
+        used.destroy()
     few = pieces.where("not big").unionByName(
         pieces.where("big").join(crowded, "gram", "left_anti")
     )
@@ -183,13 +188,22 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
         .sortWithinPartitions("gram", "ctx")
         .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
     )
-    whole = contexts.where("lo < hi").select("gram", "ctx", "l", "r")
+    whole = contexts.where("lo < hi").select(
+        "gram",
+        "ctx",
+        F.expr(f"sides div {SIDE}").alias("l"),
+        (F.col("sides") % SIDE).cast("long").alias("r"),
+    )
     reach = whole.unionByName(small)
     large = pieces.where("big").drop("big").join(crowded, "gram", "left_semi")
     for part in _halved(large, stage, width, gram):
         reach = reach.unionByName(part)
-    reach = reach.where(f"l + r >= {width}")
-    spans = anchors.select("gram", "ctx", "t", "at").join(reach, ["gram", "ctx"])
+    reach = stage.table("reach", reach.where(f"l + r >= {width}"))
+    stage.drop("pieces", "mixed", "contexts", *stage.names("halved-"), *stage.names("sure-"))
+    # Only anchors whose context may reach far enough meet the contexts that do.
+    far = spark.sparkContext.broadcast(key_filter(reach, "ctx"))
+    found = _filtered(anchors.select("ctx", "gram", "t", "at"), far, 0)
+    spans = found.join(reach, ["gram", "ctx"])
     # A text has as many spans as repeated anchors; only distinct ones are kept.
     return spans.groupBy("t").agg(
         F.collect_set(
@@ -198,6 +212,17 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     )
 
 
+def _filtered(rows: DataFrame, bits, column: int) -> DataFrame:
+    """The rows whose key in this column may be in a broadcast filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(column).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(bits.value.maybe(keys)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _unsent(grams: np.ndarray, contexts: np.ndarray, sent: set[tuple[int, int]]) -> np.ndarray:
     """Whether each context comes for the first time; ``sent`` holds those before and is filled."""
     if len(sent) > SENT:
@@ -324,8 +349,11 @@ def remove_repeats(
     copies = rows.groupBy("t").agg(F.count("*").alias("n"), F.min(F.octet_length("text")).alias("b"))
     copies = stage.table("copies", copies.where(f"n > 1 and b >= {width}").select("t"))
     texts = rows.where(F.octet_length("text") >= width).select("t", "text")
+    if width > SIDE:
+        raise ValueError(f"width is at most {SIDE}")
     spans = repeated_spans(texts, stage, width, gram, group)
     spans = stage.table("spans", spans.join(copies, "t", "left_anti"))
+    stage.drop("anchors", "reach")
     changed = spark.sparkContext.broadcast(key_filter(spans, "t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
