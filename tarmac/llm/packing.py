@@ -18,10 +18,12 @@ table gives no window. Only the named columns are read, so other columns cannot
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +36,14 @@ CAPACITY = 1024
 PIECE = 256
 #: Tokens of the pieces that are balanced together; bounds memory and work of one differencing.
 BATCH_TOKENS = 128 * 1024
-#: Texts tokenised together.
-SLICE_CHARS = 2 << 20
+#: Texts tokenised together, and tokens that leave together, in whole pieces.
+SLICE_CHARS = 1 << 20
+OUT_TOKENS = 1 << 18
 
-#: Texts with blanks that parsers may treat differently, runs of blanks, or marks of special tokens.
-_ODD = re.compile(
+#: Texts with blanks that parsers may treat differently, or with runs of blanks.
+_ODD = (
     "[\\x00-\\x09\\x0b-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200f\\u2028-\\u202f\\u205f\\u3000]"
-    "|[ \\n][ \\n]|^[ \\n]|[ \\n]$|<\\|"
+    "|[ \\n][ \\n]|^[ \\n]|[ \\n]$"
 )
 #: The public pre-tokenisation pattern of byte-level encodings: a fixed value.
 _PRETOKENS = (
@@ -49,15 +52,16 @@ _PRETOKENS = (
 
 
 class ChunkIds(dict):
-    """Chunk of text to its row in ``flat``, encoded when first met.
+    """Chunk of text to its row: ``flat[bounds[row] : bounds[row + 1]]`` are its ids.
 
     Byte-level pre-tokenisers part a text before each blank that stands between other characters,
     so chunks may be encoded on their own, and the many that repeat only once. A chunk stands for
     itself after a blank, unless it starts with a line break or with ``BARE``.
     """
 
-    #: Chunks remembered by one worker, some 150 bytes each; then it starts anew.
-    LIMIT = 800_000
+    #: Bytes that one worker remembers, estimated; then it starts anew.
+    LIMIT = 64 << 20
+    ENTRY = 150
     BARE = "\x01"
 
     def __init__(self, encode):
@@ -65,26 +69,38 @@ class ChunkIds(dict):
         self.encode = encode
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.bounds = np.zeros(1 << 14, dtype=np.int64)
-        self.rows = self.used = 0
 
-    def __missing__(self, chunk: str) -> int:
-        lead = chunk[:1]
-        ids = self.encode(chunk if lead == "\n" else chunk[1:] if lead == self.BARE else " " + chunk)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if self.rows + 2 > len(self.bounds):
-            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.rows += 1
-        self.bounds[self.rows] = self.used
-        self[chunk] = self.rows - 1
-        return self.rows - 1
-
-    def empty_if_full(self) -> None:
-        if self.rows > self.LIMIT or self.used > 8 * self.LIMIT:
+    def learn(self, chunks: set[str]) -> None:
+        """Encodes the chunks that are not yet known."""
+        if self.ENTRY * len(self) + 4 * int(self.bounds[len(self)]) > self.LIMIT:
             self.clear()
-            self.rows = self.used = 0
+        new = list(chunks - self.keys())
+        found = [self.encode(self._text(chunk)) for chunk in new]
+        first, used = len(self), int(self.bounds[len(self)])
+        ends = used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        if not new:
+            return
+        last = first + len(new)
+        self.flat = _with_room(self.flat, int(ends[-1]))
+        self.bounds = _with_room(self.bounds, last + 1)
+        self.flat[used : ends[-1]] = np.fromiter(
+            chain.from_iterable(found), np.uint32, int(ends[-1]) - used
+        )
+        self.bounds[first + 1 : last + 1] = ends
+        self.update(zip(new, range(first, last)))
+
+    def _text(self, chunk: str) -> str:
+        lead = chunk[:1]
+        return chunk if lead == "\n" else chunk[1:] if lead == self.BARE else " " + chunk
+
+
+def _with_room(table: np.ndarray, size: int) -> np.ndarray:
+    """The table, or a copy of at least twice its length, so that ``size`` entries fit."""
+    if size <= len(table):
+        return table
+    larger = np.zeros(max(size, 2 * len(table)), dtype=table.dtype)
+    larger[: len(table)] = table
+    return larger
 
 
 class Encoder:
@@ -96,27 +112,30 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks = ChunkIds(_ranked(path) or self._whole)
+        with open(path, encoding="utf-8") as file:
+            marks = [t["content"] for t in json.load(file).get("added_tokens", [])]
+        self.odd = re.compile("|".join([_ODD, *map(re.escape, marks)])).search
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by ``end_id``, and where each text ends."""
-        self.chunks.empty_if_full()
-        row_of, rows, counts, odd = self.chunks.__getitem__, [], [], {}
+        chunks: list[str] = []
+        counts, odd = [], {}
         for i, text in enumerate(texts):
+            before = len(chunks)
             if not text:
-                counts.append(0)
-            elif _ODD.search(text):
+                pass
+            elif self.odd(text):
                 odd[i] = np.array(self._whole(text), dtype=np.uint32)
-                counts.append(0)
             else:
-                chunks = text.replace("\n", " \n").split(" ")
-                chunks[0] = ChunkIds.BARE + chunks[0]
-                rows.extend(map(row_of, chunks))
-                counts.append(len(chunks))
+                chunks += text.replace("\n", " \n").split(" ")
+                chunks[before] = ChunkIds.BARE + chunks[before]
+            counts.append(len(chunks) - before)
+        self.chunks.learn(set(chunks))
         flat, bounds = self.chunks.flat, self.chunks.bounds
-        at = np.array(rows, dtype=np.int64)
+        at = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
         begin = bounds[at]
         size = bounds[at + 1] - begin
         ends = np.cumsum(size)
@@ -136,8 +155,6 @@ class Encoder:
 
 def _ranked(path: str):
     """An equal but faster encoder for chunks, if the file's ids are the ranks of its merges."""
-    import json
-
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
@@ -283,16 +300,19 @@ def pack_documents(
             encoder = _encoders[tokenizer] = Encoder(tokenizer)
         packer = Packer(capacity, piece, batch_tokens, TaskContext.get().partitionId() << 36)
         out: list[tuple] = []
+        tokens = 0
         key_type = None
         for batch in batches:
             key_type = batch.column(0).type
             for keys, texts in _slices(batch):
                 ids, ends = encoder(texts, end_id)
                 for key, first, last in zip(keys, [0, *ends.tolist()], ends.tolist()):
-                    out.extend(packer.add(key, ids[first:last]))
-                if len(out) >= 20_000:
-                    yield _batch(out, key_type, with_ids)
-                    out = []
+                    for ready in packer.add(key, ids[first:last]):
+                        out.append(ready)
+                        tokens += len(ready[2])
+                    if tokens >= OUT_TOKENS:
+                        yield _batch(out, key_type, with_ids)
+                        out, tokens = [], 0
         out.extend(packer.flush())
         if out:
             yield _batch(out, key_type, with_ids)
