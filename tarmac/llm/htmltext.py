@@ -3,7 +3,7 @@
 A page is read into its leaf blocks: runs of text between block-level tags, each with the path of
 tags, classes and ids above it. Character references are decoded and white space becomes one
 blank. A block's vector counts its hashed path entries and hashed words and adds some figures of
-its form. A numpy LSTM reads the blocks forwards and another backwards; their states give each
+its form; all words count. A numpy LSTM reads the blocks forwards and another backwards; their states give each
 block's probability of being main text, and the main blocks are joined in page order.
 
 There are no labels for pages. The network learns from at most ``sample_pages`` pages, those with
@@ -33,6 +33,8 @@ from tarmac.llm.shared import text_column
 
 #: The bound of the training sample, in pages.
 SAMPLE_PAGES = 250
+#: Blocks whose vectors are held at once when pages are labelled.
+STEP_BLOCKS = 8_192
 PATH_SIZE, WORD_SIZE, FORM_SIZE, HIDDEN = 192, 48, 8, 12
 INPUT = PATH_SIZE + WORD_SIZE + FORM_SIZE
 
@@ -153,10 +155,13 @@ def _slot(entry: str, size: int, offset: int) -> int:
     return slot
 
 
-def vectors(sequence: list[tuple[tuple[str, ...], str]]) -> np.ndarray:
-    """A row of features per block."""
+def vectors(
+    sequence: list[tuple[tuple[str, ...], str]], first: int = 0, size: int | None = None
+) -> np.ndarray:
+    """A row of features per block; ``sequence`` may be a part of a page of ``size`` blocks."""
     rows, columns, values = [], [], []
     form = np.zeros((len(sequence), FORM_SIZE))
+    size = size or len(sequence)
     for i, (path, text) in enumerate(sequence):
         words = text.split(" ")
         for k, entry in enumerate(path):
@@ -167,20 +172,18 @@ def vectors(sequence: list[tuple[tuple[str, ...], str]]) -> np.ndarray:
                 rows.append(i)
                 columns.append(_slot("leaf " + entry, PATH_SIZE, 0))
                 values.append(1.0)
-        few = words if len(words) < 60 else words[:: len(words) // 30]
-        share = 1.0 / len(few)
-        for word in few:
-            rows.append(i)
-            columns.append(_slot(word, WORD_SIZE, PATH_SIZE))
-            values.append(share)
+        share = 1.0 / len(words)
+        rows.extend([i] * len(words))
+        columns.extend([_slot(word, WORD_SIZE, PATH_SIZE) for word in words])
+        values.extend([share] * len(words))
         n = len(text)
         form[i] = (
             np.log1p(n) / 5, np.log1p(len(words)) / 4, n / len(words) / 10,
             sum(text.count(c) for c in ".!?") / len(words), ("©" in text) * 1.0,
-            ("|" in text) * 1.0, i / len(sequence), 1.0,
+            ("|" in text) * 1.0, (first + i) / size, 1.0,
         )
-    x = np.zeros((len(sequence), INPUT))
-    np.add.at(x, (rows, columns), values)
+    places = np.array(rows, dtype=np.int64) * INPUT + np.array(columns, dtype=np.int64)
+    x = np.bincount(places, weights=values, minlength=len(sequence) * INPUT).reshape(-1, INPUT)
     x[:, PATH_SIZE + WORD_SIZE :] = form
     return x
 
@@ -211,10 +214,11 @@ class Lstm:
         self.wx, self.wh, self.b = np.split(weights, [INPUT, INPUT + HIDDEN])
         self.backwards = backwards
 
-    def forward(self, x: np.ndarray, layout: Layout, keep: bool = False):
+    def forward(self, x: np.ndarray, layout: Layout, keep: bool = False, state=None):
+        """The states of all blocks, and the tape if wanted; ``last`` is the state at the end."""
         pre = x @ self.wx + self.b
         states = np.zeros((len(x), HIDDEN))
-        h = c = np.zeros((len(layout.begin), HIDDEN))
+        h, c = state or (np.zeros((len(layout.begin), HIDDEN)),) * 2
         tape = []
         for t, k in enumerate(layout.alive):
             at = layout.rows(t, self.backwards)
@@ -228,6 +232,7 @@ class Lstm:
             states[at] = h
             if keep:
                 tape.append((at, i, f, o, g, h_before, c_before, tanh))
+        self.last = h, c
         return states, tape
 
     def backward(self, x: np.ndarray, tape: list, grad: np.ndarray) -> np.ndarray:
@@ -262,7 +267,25 @@ class Labeller:
     def probabilities(self, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         layout = Layout(lengths)
         states = [d.forward(x, layout)[0] for d in (self.ahead, self.back)]
-        return _sigmoid(np.concatenate(states, axis=1) @ self.weights[2][:-1] + self.weights[2][-1])
+        return self._outcome(np.concatenate(states, axis=1))
+
+    def long_probabilities(self, sequence: list[tuple[tuple[str, ...], str]]) -> np.ndarray:
+        """The same for one page of very many blocks, whose vectors are made part by part."""
+        n = len(sequence)
+        states = np.zeros((n, 2 * HIDDEN))
+        parts = range(0, n, STEP_BLOCKS)
+        for lstm, column, order in ((self.ahead, 0, parts), (self.back, HIDDEN, reversed(parts))):
+            state = None
+            for at in order:
+                part = sequence[at : at + STEP_BLOCKS]
+                x = vectors(part, at, n)
+                found, _ = lstm.forward(x, Layout(np.array([len(part)])), state=state)
+                states[at : at + len(part), column : column + HIDDEN] = found
+                state = lstm.last
+        return self._outcome(states)
+
+    def _outcome(self, states: np.ndarray) -> np.ndarray:
+        return _sigmoid(states @ self.weights[2][:-1] + self.weights[2][-1])
 
 
 def fit(
@@ -387,18 +410,33 @@ def train(
 
 
 def main_texts(pages: list[str], model: Labeller, threshold: float = 0.5) -> list[str]:
-    """The main text of each page."""
-    sequences = [blocks(p) for p in pages]
-    lengths = np.array([len(s) for s in sequences])
-    if not lengths.sum():
-        return [""] * len(pages)
-    x = np.concatenate([vectors(s) for s in sequences if s])
-    p = model.probabilities(x, lengths[lengths > 0])
-    out, at = [], 0
-    for s in sequences:
-        main = p[at : at + len(s)] >= threshold
-        at += len(s)
-        out.append("\n\n".join(text for (_, text), is_main in zip(s, main) if is_main))
+    """The main text of each page; pages are labelled together up to ``STEP_BLOCKS`` blocks."""
+    out: list[str] = []
+    waiting: list[list[tuple[tuple[str, ...], str]]] = []
+
+    def chosen(sequence, p: np.ndarray) -> str:
+        main = p >= threshold
+        return "\n\n".join(text for (_, text), is_main in zip(sequence, main) if is_main)
+
+    def label() -> None:
+        lengths = np.array([len(s) for s in waiting], dtype=np.int64)
+        p = np.zeros(0)
+        if lengths.sum():
+            x = np.concatenate([vectors(s) for s in waiting if s])
+            p = model.probabilities(x, lengths[lengths > 0])
+        ends = np.cumsum(lengths)
+        out.extend(chosen(s, p[end - len(s) : end]) for s, end in zip(waiting, ends))
+        waiting.clear()
+
+    for page in pages:
+        sequence = blocks(page)
+        if waiting and sum(map(len, waiting)) + len(sequence) > STEP_BLOCKS:
+            label()
+        if len(sequence) > STEP_BLOCKS:
+            out.append(chosen(sequence, model.long_probabilities(sequence)))
+        else:
+            waiting.append(sequence)
+    label()
     return out
 
 
