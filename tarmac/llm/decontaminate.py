@@ -17,7 +17,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import reduce
-from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,8 @@ HITS = f"n_words long, hits {SPANS}, items array<string>"
 class ItemWindows:
     """The windows of some items: per length a sorted array of hashes, and what they stand for."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
+    def __init__(self, items: list[tuple[list[str], str]], window: int):
+        """``items`` are the ids of each text, and the text."""
         self.found: dict[int, dict[int, list[tuple[bytes, set[str]]]]] = {}
         column = pa.array([text for _, text in items], pa.string())
         for row, data, offsets in wordhash.text_slices(column):
@@ -57,8 +57,7 @@ class ItemWindows:
                     ids = next((ids for known, ids in entries if known == text), None)
                     if ids is None:
                         entries.append((text, ids := set()))
-                    if items[row + k][0] is not None:
-                        ids.add(items[row + k][0])
+                    ids.update(items[row + k][0])
         self.bitmaps = {}
         for n, by_hash in self.found.items():
             bitmap = np.zeros(1 << _BITS, dtype=bool)
@@ -120,31 +119,33 @@ def find_windows(
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """``keep`` columns of each document with n_words, the spans of words hit, and the item ids."""
+    # Items of one text are one, however often it is repeated.
     bare = items.select(
         F.col(item_id).cast("string").alias("id"), text_column(items, item_text).alias("words")
-    ).where("words <> ''")
+    ).where("words <> ''").groupBy("words").agg(F.collect_set("id").alias("ids"))
     size = bare.agg(F.sum(F.length("words"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 / block_words))  # a word and its blank: two characters
     rows = documents.select(*keep, text_column(documents, text).alias("__text"))
     if blocks == 1:
         return _scan(rows, keep, bare, window)
-    # Equal rows have equal hits, so the kept columns and the text's hash may stand for the row.
-    keyed = rows.withColumn("__key", F.xxhash64("__text"))
-    keys = [*keep, "__key"]
-    scans = [
-        _scan(keyed, keys, bare.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b), window)
-        for b in range(blocks)
-    ]
-    hits = reduce(DataFrame.unionByName, scans).where("size(hits) > 0").groupBy(*keys)
-    hits = hits.agg(
+    # Hits are those of the text, so two hashes of it stand for the row.
+    keys = ["__key_1", "__key_2"]
+    rows = rows.select(
+        *keep,
+        F.xxhash64("__text").alias("__key_1"),
+        F.xxhash64(F.lit(1), "__text").alias("__key_2"),
+        "__text",
+    )
+    scans = []
+    for b in range(blocks):
+        own = bare.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b)
+        scans.append(_scan(rows, [*keep, *keys] if b == 0 else keys, own, window))
+    found = [s.where("size(hits) > 0").select(*keys, "hits", "items") for s in scans]
+    hits = reduce(DataFrame.unionByName, found).groupBy(*keys).agg(
         F.flatten(F.collect_set("hits")).alias("__hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"),
     )
-    base, hits = scans[0].alias("a"), hits.alias("b")
-    same = reduce(and_, (F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in keys))
-    joined = base.join(hits, same, "left").select(
-        *(F.col(f"a.`{c}`") for c in keep), "n_words", "__hits", "__items"
-    )
+    joined = scans[0].drop("hits", "items").join(hits, keys, "left")
     return _with_merged_spans(
         joined.select(
             *keep,
@@ -177,7 +178,7 @@ def _scan(rows: DataFrame, keep: list[str], items: DataFrame, window: int) -> Da
         f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]
     ) + f", {HITS}"
     windows = rows.sparkSession.sparkContext.broadcast(
-        ItemWindows([(r.id, r.words) for r in items.collect()], window)
+        ItemWindows([(r.ids, r.words) for r in items.collect()], window)
     )
     span = pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64()}))
 
