@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
@@ -30,6 +30,8 @@ from tarmac.llm.toxicity import training_sample
 
 #: The bound of the training sample, in documents.
 SAMPLE_DOCS = 4_000
+#: Lines of a text that is learnt from.
+SAMPLE_LINES = 2_000
 
 
 def _class(characters: bytes) -> np.ndarray:
@@ -177,6 +179,11 @@ def fit(x: np.ndarray, first: np.ndarray, label: np.ndarray, rounds: int = 150)
     return Field(mean, scale, theta[:FEATURES], theta[FEATURES:].reshape(2, 2))
 
 
+def line_count(text: Column) -> Column:
+    """How many lines a text has."""
+    return F.length(text) - F.length(F.translate(text, "\n", "")) + 1
+
+
 def train(
     documents: DataFrame,
     labels: DataFrame,
@@ -184,9 +191,12 @@ def train(
     text: str = "text",
     label: str = "quality",
     sample_docs: int = SAMPLE_DOCS,
+    sample_lines: int = SAMPLE_LINES,
 ) -> Field:
     """Learn from labelled documents; the driver gets numbers per line of the sample only."""
-    sample = training_sample(documents, labels, doc_id, text, label, sample_docs)
+    sample = training_sample(
+        documents, labels, doc_id, text, label, sample_docs, line_count, sample_lines
+    )
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

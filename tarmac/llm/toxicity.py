@@ -17,11 +17,11 @@ named columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
@@ -29,6 +29,8 @@ from tarmac.llm.shared import text_column
 
 #: The bound of the training sample, in documents.
 SAMPLE_DOCS = 6_000
+#: Words, about, of a text that is learnt from.
+SAMPLE_WORDS = 10_000
 #: Hashed features; word beginnings of these lengths are features beside the whole word.
 BUCKET_BITS = 18
 PREFIXES = (4, 5)
@@ -121,18 +123,40 @@ def fit(
     return Model(weights, b)
 
 
+def word_count(text: Column) -> Column:
+    """About how many words a text has: its blanks and breaks, and one."""
+    return F.length(text) - F.length(F.translate(text, " \t\n\r", "")) + 1
+
+
 def training_sample(
-    documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, size: int
+    documents: DataFrame,
+    labels: DataFrame,
+    doc_id: str,
+    text: str,
+    label: str,
+    size: int,
+    units: Callable[[Column], Column],
+    most: int,
 ) -> DataFrame:
-    """(label, text) of the ``size`` labelled rows with the smallest hash of their id."""
+    """(label, text) of the ``size`` labelled ids with the smallest hash, whatever rows repeat.
+
+    An id with several labels has the smallest, with several texts that of the smallest hash. A
+    text of more than ``most`` ``units`` (lines, or words) teaches nothing, which bounds the sample.
+    """
     chosen = (
         labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
         .where("__id is not null and __label in (0, 1)")
-        .orderBy(F.xxhash64("__id"), "__id", "__label")
+        .groupBy("__id")
+        .agg(F.min("__label").alias("__label"))
+        .orderBy(F.xxhash64("__id"), "__id")
         .limit(size)
     )
     texts = documents.select(F.col(doc_id).alias("__id"), text_column(documents, text).alias("text"))
-    return texts.join(F.broadcast(chosen), "__id").select(F.col("__label").alias("label"), "text")
+    texts = texts.where(units(F.col("text")) <= most).join(F.broadcast(chosen), "__id")
+    once = texts.groupBy("__id").agg(
+        F.min("__label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")
+    )
+    return once.select("label", "text")
 
 
 def train(
@@ -142,9 +166,12 @@ def train(
     text: str = "text",
     label: str = "toxic",
     sample_docs: int = SAMPLE_DOCS,
+    sample_words: int = SAMPLE_WORDS,
 ) -> Model:
     """Learn from labelled documents; tasks hash the texts, the driver gets features only."""
-    sample = training_sample(documents, labels, doc_id, text, label, sample_docs)
+    sample = training_sample(
+        documents, labels, doc_id, text, label, sample_docs, word_count, sample_words
+    )
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
