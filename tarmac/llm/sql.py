@@ -1,7 +1,7 @@
 """DuckDB SQL for the text queries that SQL can express; the others have brute-force tests."""
 
 SQL: dict[str, str] = {
-    # Windows of two non-blank lines whose first place is elsewhere lose their lines.
+    # Windows of two non-blank lines, and single lines of 50 words, whose first place is elsewhere go.
     "op2_lines": """
 WITH raw AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
@@ -19,10 +19,16 @@ placed AS (
   SELECT *, row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, i) AS place
   FROM filled WHERE line2 IS NOT NULL
 ),
+long AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS place
+  FROM filled WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 50
+),
 covered AS (
   SELECT doc_id, i FROM placed WHERE place > 1
   UNION
   SELECT doc_id, i + 1 FROM placed WHERE place > 1
+  UNION
+  SELECT doc_id, i FROM long WHERE place > 1
 ),
 gone AS (
   SELECT f.doc_id, f.j FROM filled f JOIN covered USING (doc_id, i)
@@ -137,6 +143,42 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        sha256(coalesce(x.ids, '')) AS items_sha256,
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
 FROM worded d LEFT JOIN words h USING (doc_id) LEFT JOIN ids x USING (doc_id)
+""",
+    # Every string of 200 bytes, as hexadecimal digits cut from pieces of 1,000 bytes and 199 more.
+    "op10_suffix": """
+WITH whole AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+),
+pieces AS (
+  SELECT r, p, substring(h, 2 * p + 1, 2398) AS h
+  FROM (SELECT r, h, unnest(range(0, greatest(length(h) // 2 - 199, 0), 1000)) AS p FROM whole)
+),
+places AS (
+  SELECT r, p + i AS i, md5(substring(h, 2 * i + 1, 400)) AS g
+  FROM (SELECT r, p, h, unnest(range(0, least(1000, length(h) // 2 - 199))) AS i FROM pieces)
+),
+again AS (SELECT g FROM places GROUP BY g HAVING count(*) > 1),
+starts AS (SELECT r, i FROM places WHERE g IN (SELECT g FROM again)),
+numbered AS (
+  SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS island
+  FROM (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens
+        FROM starts)
+),
+spans AS (SELECT r, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, island),
+cut AS (
+  SELECT w.r, s.a, s.b, substring(w.h, 2 * prev + 1, 2 * (s.a - prev)) AS kept
+  FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS prev FROM spans) s
+  JOIN whole w ON s.r = w.r
+),
+summed AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, string_agg(kept, '' ORDER BY a) AS kept
+  FROM cut GROUP BY r
+)
+SELECT w.doc_id, CAST(length(w.h) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(s.n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(s.kept, '') || substring(w.h, 2 * coalesce(s.last, 0) + 1))) AS kept_sha256
+FROM whole w LEFT JOIN summed s ON w.r = s.r
 """,
     # Every document that shares a term with an item is scored.
     "op11_ranked": """

@@ -74,6 +74,46 @@ def test_scores_of_odd_rows(spark, edges, empty, module, label):
         assert module.score(empty, model, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("unit", ["lines", "words"])
+def test_training_sample_is_bounded(spark, unit):
+    docs = [(1, f"text {i % 3}") for i in range(300)] + [(2, "one two\n" * 50), (3, "three"), (4, None), (5, "six")]
+    labels = [(1, 1)] * 200 + [(2, 0), (3, 1), (3, 0), (3, None), (4, 1), (None, 1), (9, 1)]
+    sample = toxicity.training_sample(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, mark int"),
+        "doc_id", "text", "mark", 4, {"lines": quality.line_count, "words": toxicity.word_count}[unit], 20,
+    )
+    found = sorted(tuple(r) for r in sample.collect())
+    # One label and one text of each id; five ids are labelled, four of them have texts, one is too long.
+    assert len(found) <= 4 and len({t for _, t in found}) == len(found)
+    assert all(t.startswith("text") or t in ("", "three") for _, t in found)
+    assert [y for y, t in found if t == "three"] in ([0], [])
+
+
+def test_a_mixed_document_gets_mixed_lines(spark):
+    """A line's label follows its own form and that of the lines beside it."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet").where(~held_out(3, 1))
+    field = quality.train(docs, labels)
+    kinds = {k: [] for k in (0, 1)}
+    marked = docs.join(labels.where("quality is not null"), "doc_id").orderBy("doc_id").limit(400)
+    for r in marked.collect():
+        kinds[r.quality] += [x for x in (r.text or "").split("\n") if len(x) > 80]
+    rng = random.Random(2)
+    good, bad = (rng.sample(kinds[k], min(60, len(kinds[k]))) for k in (1, 0))
+
+    def lines(text):
+        ((_, data, offsets),) = wordhash.text_slices(pa.array([text]))
+        found = quality.Lines(data, offsets)
+        return quality.marginals(field.potentials(found.x), found.first, field.transition)[0]
+
+    mixed = lines("\n".join([*good[:20], *bad[:20], *good[20:40]]))
+    assert mixed[:20].mean() > 0.7 > 0.3 > mixed[20:40].mean()
+    among_good = [lines("\n".join([*good[:3], x, *good[3:6]]))[3] for x in bad[:20]]
+    among_bad = [lines("\n".join([*bad[20:23], x, *bad[23:26]]))[3] for x in bad[:20]]
+    assert np.mean(among_good) > np.mean(among_bad) + 0.01
+
+
 def test_labels_train_alone(spark):
     labels = spark.createDataFrame([(i,) for i in range(40)], "doc_id long").where(~held_out(3, 1))
     import zlib
@@ -170,6 +210,29 @@ def test_odd_pages(spark, labeller):
     assert htmltext.extract(pages, untaught, ["page_id"]).count() == len(rows)
 
 
+def test_pages_in_parts_are_labelled_alike(labeller, monkeypatch):
+    rng = random.Random(4)
+    page = "<html><body><nav><a>x</a></nav><article>" + "".join(
+        f"<p>{' '.join(f'wort{rng.randrange(50)}' for _ in range(rng.randrange(1, 90)))}</p>" for _ in range(70)
+    )
+    pages = [page + "</article><footer>f</footer>", "", "<article><p>short</p></article>", page * 2]
+    whole = [labeller.probabilities(htmltext.vectors(s), np.array([len(s)])) for s in map(htmltext.blocks, pages) if s]
+    texts = htmltext.main_texts(pages, labeller)
+    monkeypatch.setattr(htmltext, "STEP_BLOCKS", 16)
+    parts = [labeller.long_probabilities(s) for s in map(htmltext.blocks, pages) if s]
+    assert all(np.allclose(a, b) for a, b in zip(whole, parts))
+    assert htmltext.main_texts(pages, labeller) == texts
+
+
+def test_every_word_of_a_long_block_counts():
+    words = [f"w{k}" for k in range(200)]
+    base = htmltext.vectors([(("p",), " ".join(words))])
+    for k in range(0, 200, 7):
+        changed = htmltext.vectors([(("p",), " ".join([*words[:k], "other-word", *words[k + 1 :]]))])
+        same = htmltext._slot(words[k], htmltext.WORD_SIZE, 0) == htmltext._slot("other-word", htmltext.WORD_SIZE, 0)
+        assert same or not np.allclose(base[0, : htmltext.PATH_SIZE + htmltext.WORD_SIZE], changed[0, : htmltext.PATH_SIZE + htmltext.WORD_SIZE])
+
+
 def test_long_page_keeps_all_paragraphs(labeller):
     rng = random.Random(3)
     body = [" ".join(f"wort{rng.randrange(900)}" for _ in range(30)) + "." for _ in range(3000)]

@@ -91,6 +91,28 @@ def test_one_of_each_class_stays(spark, edges):
     assert ids == sorted([1, 2, 3, 4, 7, 9, 9, 10, 11, 12, 13, None, None], key=repr)
 
 
+def test_links_through_texts_without_id(spark):
+    """1 and 3 are linked only by way of a text whose rows have no id."""
+    w = [f"w{k}" for k in range(100)]
+    table = [(1, " ".join(w[:88])), (None, " ".join(w)), (3, " ".join(w[12:]))]
+    plain = classes(table)
+    assert [c for _, _, c in plain] == [1, None, 1]
+    assert not any(100 * len(a & b) >= 80 * len(a | b) for a, b in [(shingles(table[0][1]), shingles(table[2][1]))])
+    found = jaccard.near_duplicates(frame(spark, table))
+    assert rows(found, "doc_id", "n_shingles", "component_id") == sorted(plain, key=repr)
+    assert [r.doc_id for r in jaccard.keep_one(frame(spark, table)).orderBy("doc_id").collect()] == [None, 1]
+
+
+def test_near_copies_that_share_an_id(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    table = [(1, base), (1, base + " end"), (1, base), (1, other), (2, base + " more"), (2, "unlike"), (3, other)]
+    kept = sorted((r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, table)).collect())
+    texts = {base, base + " end", base + " more"}
+    assert len([t for d, t in kept if t in texts]) == 1 and all(d == 1 for d, t in kept if t in texts)
+    assert [(d, t) for d, t in kept if t not in texts] == [(1, other), (2, "unlike")]
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7)]
     found = components(spark.createDataFrame(edges, "a long, b long"), Stage(spark, "test"))
@@ -109,8 +131,8 @@ def test_filter_never_misses(spark, largest, wrong):
     assert not none.maybe(keys).any()
 
 
-def without_runs(table, min_lines=2):
-    """(doc_id, text) with later copies of runs deleted; table in order of place."""
+def without_runs(table, min_lines=2, min_words=50):
+    """(doc_id, text) with later copies of runs, and of long lines, deleted; table in order of place."""
     places, gone = {}, {k: set() for k in range(len(table))}
     for k, (_, text) in enumerate(table):
         lines = [(j, x) for j, x in enumerate((text or "").split("\n")) if x.strip(" ")]
@@ -118,6 +140,10 @@ def without_runs(table, min_lines=2):
             run = tuple(x for _, x in lines[i : i + min_lines])
             if places.setdefault(run, (k, i)) != (k, i):
                 gone[k] |= {j for j, _ in lines[i : i + min_lines]}
+        for i, (j, line) in enumerate(lines):
+            enough = len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= min_words
+            if enough and places.setdefault(line, (k, i)) != (k, i):
+                gone[k].add(j)
     out = []
     for k, (doc, text) in enumerate(table):
         kept = None if text is None else "\n".join(
@@ -141,6 +167,64 @@ def test_line_runs_equal_brute_force(spark, min_lines):
     assert rows(found, "doc_id", "text", "n_removed") == want
 
 
+def test_long_lines_are_runs_by_themselves(spark):
+    rng = random.Random(5)
+    long, short = " ".join(words(rng, 50)), " ".join(words(rng, 49))
+    table = [
+        (1, f"own 1\n{long}\nown 2\n{short}"), (2, f"own 3\n{short}\nown 4\n{long}\nown 5"),
+        (3, long), (4, short), (5, f"{long}\n{long}"), (6, f"  {long}"),
+    ]
+    found = linededup.remove_repeated_lines(frame(spark, table))
+    assert rows(found, "doc_id", "text", "n_removed") == sorted(without_runs(table), key=repr)
+    texts = {r.doc_id: (r.text, r.longest_run) for r in found.collect()}
+    assert texts[2] == (f"own 3\n{short}\nown 4\nown 5", 1) and texts[3] == ("", 1)
+    assert texts[4] == (short, 0) and texts[5] == ("", 2) and texts[6][0] == f"  {long}"
+    few = linededup.remove_repeated_lines(frame(spark, table), min_words=49)
+    want = sorted(without_runs(table, min_words=49), key=repr)
+    assert rows(few, "doc_id", "text", "n_removed") == want
+
+
+def test_rows_that_repeat_enter_once(spark):
+    """Fifty equal rows whose lines occur elsewhere too; tables hold one row per line and place."""
+    rng = random.Random(6)
+    run = [f"shared {k}" for k in range(9)]
+    other = [(k, "\n".join([f"own {k}", *run[k % 4 : 4 + k % 5], f"end {k}"])) for k in range(100, 140)]
+    copied = (7, "\n".join(["first", *run, "last"]))
+    table = [copied] * 50 + other + [(None, copied[1])] * 50
+    rng.shuffle(table)
+    sizes = {}
+
+    class Counted(Stage):
+        def table(self, name, df):
+            out = super().table(name, df)
+            sizes[name] = out.count()
+            return out
+
+    original, linededup.Stage = linededup.Stage, Counted
+    try:
+        found = rows(linededup.remove_repeated_lines(frame(spark, table)), "doc_id", "text", "n_removed")
+    finally:
+        linededup.Stage = original
+    once = [(None, copied[1]), copied, *sorted(other)]
+    plain = {(d, t): kept for (d, t), kept in zip(once, without_runs(once))}
+    assert found == sorted((plain[d, t] for d, t in table), key=repr)
+    lines = sum(t.count("\n") + 1 for _, t in once)
+    assert sizes["positions"] == lines and max(sizes.values()) <= lines
+
+
+@pytest.mark.parametrize("bits", [25, 15])
+def test_bitmap_of_documents_never_misses(spark, monkeypatch, bits):
+    monkeypatch.setattr(linededup, "BITMAP_BITS", bits)
+    keys = spark.range(0, 4000).selectExpr("xxhash64(id) as k")
+    others = spark.range(4000, 8000).selectExpr("xxhash64(id) as k")
+    bitmap = linededup._bitmap(keys, "k")
+    assert keys.where(linededup._maybe(bitmap, "k")).count() == 4000
+    wrong = others.where(linededup._maybe(bitmap, "k")).count()
+    assert wrong < (5 if bits == 25 else 700)
+    none = linededup._bitmap(keys.limit(0), "k")
+    assert keys.where(linededup._maybe(none, "k")).count() == 0
+
+
 def test_line_dedup_edges(spark, edges, empty):
     found = {}
     for r in linededup.remove_repeated_lines(edges).collect():
@@ -149,7 +233,9 @@ def test_line_dedup_edges(spark, edges, empty):
     assert found[1][0].text is None and found[2][0].text == "" and found[3][0].text == " \n\t\n "
     assert found[11][0].text == "same line here" and found[11][0].longest_run == 29
     assert found[7][0].n_removed == 0 and found[8][0].text == ""
-    assert [r.text for r in found[4]] == [edge_rows()[3][1]] * 2
+    # A line of 60 words: the null id comes first, equal rows are answered alike.
+    assert [r.text for r in found[4]] == ["", ""] and found[5][0].text == ""
+    assert sorted((r.text for r in found[None]), key=repr) == sorted([None, edge_rows()[3][1]], key=repr)
     assert linededup.remove_repeated_lines(empty).count() == 0
 
 

@@ -1,6 +1,7 @@
 """Licence scan, decontamination, packing and top-k search against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -279,8 +280,8 @@ def best(table, is_query, k):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block_rows, query_rows", [(8192, 512), (40, 3)])
-def test_top_k_equals_all_scores(spark, block_rows, query_rows):
+@pytest.mark.parametrize("block_rows, query_bytes", [(8192, 1 << 20), (40, 300)])
+def test_top_k_equals_all_scores(spark, block_rows, query_bytes):
     rng = np.random.default_rng(6)
     table = [(i, rng.normal(0, 0.3, 12).tolist()) for i in range(150)]
     table += [(i, [0.25] * 12) for i in range(150, 170)]  # ties
@@ -290,7 +291,7 @@ def test_top_k_equals_all_scores(spark, block_rows, query_rows):
         [(i, v, "x", 1) for i, v in table], "vec_id long, embedding array<double>, id string, rank int"
     )
     found = topk.top_k(
-        vectors, F.col("id") % 10 == 0, k=4, block_rows=block_rows, query_rows=query_rows
+        vectors, F.col("id") % 10 == 0, k=4, block_rows=block_rows, query_bytes=query_bytes
     )
     want = best(table, lambda i: i % 10 == 0, 4)
     assert rows(found, "query_id", "rank", "vec_id", "score") == want
@@ -302,5 +303,29 @@ def test_top_k_of_few_and_none(spark):
     assert topk.top_k(vectors.limit(0), F.col("id") == 0).count() == 0
     alone = vectors.where("vec_id = 0")
     assert topk.top_k(alone, F.col("id") == 0).count() == 0
-    with pytest.raises(ValueError):
-        topk.top_k(spark.createDataFrame([(0, [1e12])], "vec_id long, embedding array<double>"), F.col("id") == 0)
+
+
+def test_top_k_of_vectors_of_any_size(spark):
+    """Products far beyond 64 bits and doubles' 53 bits, beside small vectors, are ranked exactly."""
+    rng = random.Random(8)
+    big = float(2**53)
+    table = [(i, [rng.uniform(-9, 9) for _ in range(3)]) for i in range(40)]
+    table += [(100, [3e6, 0.0, 0.0]), (101, [3e6, 0.0, 2**-8]), (102, [1e12, -1e12, 1e12])]
+    table += [(103, [big, 1.0, 0.0]), (104, [big, 1.0, 2**-8]), (105, [-big, -1.0, 5.0]), (106, [1e150, 1.0, 0.0])]
+    table += [(107, [1e300, -1e300, 1e-300]), (108, [1e-320, 0.0, -0.0]), (109, [1e150, 1.0, 0.5]), (110, [2e305, 0.0, 0.0])]
+    table += [(111, [1e308, 0.0, 0.0])]  # not finite once scaled
+    vectors = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(256.0 * x) for x in v] for i, v in table if i != 111}
+    want = []
+    for q, a in whole.items():
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in whole.items() if i != q)[:6]
+        for rank, (score, i) in enumerate(scored, 1):
+            want.append((q, rank, i, min(max(-score, -(1 << 63)), (1 << 63) - 1)))
+    for block_rows, query_bytes in ((4096, 1 << 20), (7, 200)):
+        found = topk.top_k(vectors, F.col("id") >= 0, k=6, block_rows=block_rows, query_bytes=query_bytes)
+        assert rows(found, "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
+def test_bytes_sort_like_numbers():
+    numbers = [0, 1, -1, 255, 256, -255, -256, 1 << 63, -(1 << 63), 1 << 200, -(1 << 200), (1 << 200) + 1]
+    assert sorted(numbers, key=topk._order) == sorted(numbers)
