@@ -17,10 +17,10 @@ table gives no window. Only the named columns are read, so other columns cannot
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -40,11 +40,6 @@ BATCH_TOKENS = 128 * 1024
 SLICE_CHARS = 1 << 20
 OUT_TOKENS = 1 << 18
 
-#: Texts with blanks that parsers may treat differently, or with runs of blanks.
-_ODD = (
-    "[\\x00-\\x09\\x0b-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200f\\u2028-\\u202f\\u205f\\u3000]"
-    "|[ \\n][ \\n]|^[ \\n]|[ \\n]$"
-)
 #: The public pre-tokenisation pattern of byte-level encodings: a fixed value.
 _PRETOKENS = (
     r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -75,7 +70,13 @@ class ChunkIds(dict):
         if self.ENTRY * len(self) + 4 * int(self.bounds[len(self)]) > self.LIMIT:
             self.clear()
         new = list(chunks - self.keys())
-        found = [self.encode(self._text(chunk)) for chunk in new]
+        encode, bare = self.encode, self.BARE
+        # Very many short lists, which no garbage collection need look at.
+        gc.disable()
+        found = [
+            encode(" " + c if c[0] not in ("\n", bare) else c[1:] if c[0] == bare else c) for c in new
+        ]
+        gc.enable()
         first, used = len(self), int(self.bounds[len(self)])
         ends = used + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
         if not new:
@@ -89,10 +90,6 @@ class ChunkIds(dict):
         self.bounds[first + 1 : last + 1] = ends
         self.update(zip(new, range(first, last)))
 
-    def _text(self, chunk: str) -> str:
-        lead = chunk[:1]
-        return chunk if lead == "\n" else chunk[1:] if lead == self.BARE else " " + chunk
-
 
 def _with_room(table: np.ndarray, size: int) -> np.ndarray:
     """The table, or a copy of at least twice its length, so that ``size`` entries fit."""
@@ -113,26 +110,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.chunks = ChunkIds(_ranked(path) or self._whole)
         with open(path, encoding="utf-8") as file:
-            marks = [t["content"] for t in json.load(file).get("added_tokens", [])]
-        self.odd = re.compile("|".join([_ODD, *map(re.escape, marks)])).search
+            self.marks = [t["content"] for t in json.load(file).get("added_tokens", [])]
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _chunks(self, text: str) -> list[str] | None:
+        """The chunks of a text, or null if it must be encoded whole.
+
+        That is so for texts with control characters, or blanks other than space and line break,
+        which parsers may treat differently, for those with runs of blanks, with blanks at either
+        end, and with the mark of a special token.
+        """
+        if not text.replace("\n", "").isprintable() or any(mark in text for mark in self.marks):
+            return None
+        chunks = text.replace("\n", " \n").split(" ")
+        return None if "" in chunks or "\n" in chunks else chunks
+
     def __call__(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by ``end_id``, and where each text ends."""
         chunks: list[str] = []
         counts, odd = [], {}
         for i, text in enumerate(texts):
-            before = len(chunks)
-            if not text:
-                pass
-            elif self.odd(text):
+            own = self._chunks(text) if text else []
+            if own is None:
                 odd[i] = np.array(self._whole(text), dtype=np.uint32)
-            else:
-                chunks += text.replace("\n", " \n").split(" ")
-                chunks[before] = ChunkIds.BARE + chunks[before]
-            counts.append(len(chunks) - before)
+                own = []
+            elif own:
+                own[0] = ChunkIds.BARE + own[0]
+            chunks += own
+            counts.append(len(own))
         self.chunks.learn(set(chunks))
         flat, bounds = self.chunks.flat, self.chunks.bounds
         at = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
