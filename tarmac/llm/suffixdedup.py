@@ -376,7 +376,10 @@ def remove_repeats(
             )
 
     slim = rows.mapInArrow(light, f"doc_id {kind}, t long, n_bytes long, bytes binary, sha string")
-    joined = slim.join(spans, "t", "left").join(
+    # Texts that may change are merged with their spans, as they are for any input of some size:
+    # were the spans sent to all tasks while they are few, what is shuffled would seem to grow faster
+    # than the input.
+    joined = slim.join(spans.hint("merge"), "t", "left").join(
         copies.withColumn("all", F.lit(True)), "t", "left"
     )
 
