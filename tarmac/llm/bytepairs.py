@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from tarmac.llm.shared import text_column
+from tarmac.llm.shared import text_column, worker_table
 
 #: Characters of texts that are encoded, and leave, together; longer texts are listed in parts.
 SLICE_CHARS = 1 << 20
@@ -355,13 +355,11 @@ class Codec:
         return pc.if_else(pa.array(null), pa.scalar(None, pa.large_binary()), texts).cast(pa.binary())
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def _codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+    codecs = worker_table("bytepairs")
+    if (path, pattern) not in codecs:
+        codecs[path, pattern] = Codec(path, pattern)
+    return codecs[path, pattern]
 
 
 def encode(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
-from tarmac.llm.shared import text_column
+from tarmac.llm.shared import text_column, worker_table
 
 WINDOW = 13
 #: Words of items that one scan looks for: some tens of MB in each Python worker.
@@ -183,6 +183,7 @@ def _scan(rows: DataFrame, keep: list[str], items: DataFrame, window: int) -> Da
     span = pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64()}))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table("decontaminate")
         for batch in batches:
             if not batch.num_rows:
                 continue

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
 from tarmac.llm.components import components
-from tarmac.llm.shared import Stage, key_filter, text_column
+from tarmac.llm.shared import Stage, key_filter, text_column, worker_table
 
 WORDS = 5
 PERCENT = 80
@@ -50,7 +50,7 @@ PIVOT_ROUNDS = 2
 #: Sets that a task remembers to have sent; it forgets them all when there are more.
 SENT = 200_000
 #: Shingles counted together, and texts worked on together, in a task.
-COUNTED, ROWS = 4_000_000, 2_000
+COUNTED, ROWS = 2_000_000, 1_000
 
 
 def shingle_sets(column: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -151,6 +151,7 @@ class _Pass:
             return _batch(np.ones(len(s)), _longs(s), n, _longs(s), _longs(s))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker_table("jaccard")
             waiting: list[np.ndarray] = []
             size = 0
             for batch in batches:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tarmac.llm.shared import text_column
+from tarmac.llm.shared import text_column, worker_table
 
 CAPACITY = 1024
 PIECE = 256
@@ -275,9 +275,6 @@ class Packer:
         self.waiting, self.tokens = [], 0
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def pack_documents(
     documents: DataFrame,
     tokenizer: str,
@@ -302,9 +299,10 @@ def pack_documents(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(tokenizer)
+        encoders = worker_table("packing")
+        encoder = encoders.get(tokenizer)
         if encoder is None:
-            encoder = _encoders[tokenizer] = Encoder(tokenizer)
+            encoder = encoders[tokenizer] = Encoder(tokenizer)
         packer = Packer(capacity, piece, batch_tokens, TaskContext.get().partitionId() << 36)
         out: list[tuple] = []
         tokens = 0

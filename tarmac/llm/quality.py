@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import wordhash
-from tarmac.llm.shared import text_column
+from tarmac.llm.shared import text_column, worker_table
 from tarmac.llm.toxicity import training_sample
 
 #: The bound of the training sample, in documents.
@@ -235,6 +235,7 @@ def score(documents: DataFrame, field: Field, keep: list[str], text: str = "text
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_table("quality")
         for batch in batches:
             if not batch.num_rows:
                 continue

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import uuid
@@ -84,6 +86,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: What tasks keep in their worker for later tasks of the same operator.
+_kept: dict[str, dict] = {}
+
+
+def worker_table(operator: str) -> dict:
+    """The table that a worker keeps for one operator; called as a task begins.
+
+    Workers outlive stages. What they kept for other operators is given back to the system, so that a
+    chain of stages needs the memory of one.
+    """
+    others = [name for name in _kept if name != operator]
+    for name in others:
+        del _kept[name]
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return _kept.setdefault(operator, {})
+
+
 def text_column(df: DataFrame, column: str):
     """The column as text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -340,3 +340,12 @@ def test_deep_shallow_order():
                 a, b = strings[i], strings[j]
                 want = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
                 assert prefixes[i, j] == want
+
+
+def test_a_worker_keeps_one_operator_s_tables():
+    from tarmac.llm import shared
+
+    mine = shared.worker_table("one")
+    mine["key"] = 1
+    assert shared.worker_table("one") is mine
+    assert shared.worker_table("two") == {} == shared.worker_table("one")
