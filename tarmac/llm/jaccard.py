@@ -294,6 +294,9 @@ def near_duplicates(
     shared = stage.table("shared", shared.where("lo < hi").select("h"))
     known = spark.sparkContext.broadcast(key_filter(shared, "h"))
     second = stage.table("postings", reader.postings(order, known))
+    # Workers hold what was broadcast until it is ended.
+    for used in (known, order):
+        used.destroy()
     members = second.where("kind = 0").select(F.col("h").alias("node"), "g", "n", "sketch")
     members = stage.table("members", members.dropDuplicates(["node"]).join(nodes, "node"))
     lists = (
@@ -496,8 +499,10 @@ def _verified(pairs, nodes, reader: _Pass, percent: int, stage: Stage, round_: i
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node")
     # A text whose rows have no id is known by its set alone.
     bits = key_filter(wanted.select(F.expr("node ^ coalesce(id, 0)").alias("key")), "key")
-    sets = reader.sets(spark.sparkContext.broadcast(bits))
-    sets = stage.table(f"shingles-{round_}", sets.withColumnRenamed("shingles", "s"))
+    shared = spark.sparkContext.broadcast(bits)
+    sets = reader.sets(shared).withColumnRenamed("shingles", "s")
+    sets = stage.table(f"shingles-{round_}", sets)
+    shared.destroy()
     joined = (
         pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("s")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("s").alias("s2")), "a")
