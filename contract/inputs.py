@@ -6,6 +6,7 @@ The same text serves Spark and DuckDB; only the table names and the addition of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _airport(number: str) -> str:
@@ -135,6 +136,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 #: How raw rows look as CSV: blanks around flight ids, line breaks, and times in two formats.
 #: ``broken`` says which rows get a field too many (``longer``) or too few.
 CSV_TIME_FORMAT = "dd/MM/yyyy HH:mm:ss.SSSSSS"
+#: Most rows of a file. Values hold line breaks, so a file is read by one task, whatever its size.
+CSV_FILE_ROWS = 200_000
 CSV_ROWS = {
     "flights": {
         "broken": "cast(duration as int)%83 in (5,6)",
@@ -186,15 +189,16 @@ def write_raw_csv(raw: dict[str, DataFrame], dataset: str, path: str) -> None:
     lines = raw[dataset].selectExpr(
         f"case when not coalesce({shape['broken']},false) then {line}"
         f" when {shape['longer']} then concat({line},',more')"
-        f" else concat_ws(',',{','.join(fields[:3])}) end as value",
-        "1 as place",
-    ).selectExpr("value", "place", "pmod(hash(value),4) as file")
-    # A folder per file; the header is the first line of each.
-    header = raw[dataset].sparkSession.range(4).selectExpr(
-        f"'{','.join(shape['fields'])}' as value", "0 as place", "cast(id as int) as file"
+        f" else concat_ws(',',{','.join(fields[:3])}) end as value"
     )
-    sorted_lines = lines.unionAll(header).repartition("file").sortWithinPartitions("file", "place")
-    sorted_lines.drop("place").write.mode("overwrite").partitionBy("file").text(path)
+    header = ",".join(shape["fields"])
+    # A task writes its rows as they come, so they need no sort: the first row of a file is the
+    # first of the task, or follows a full file. One file more has the header alone, for no rows.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) % F.lit(CSV_FILE_ROWS)
+    begun = F.when(place == 0, F.concat(F.lit(header + "\n"), "value")).otherwise(F.col("value"))
+    bare = raw[dataset].sparkSession.range(0, 1, 1, 1).select(F.lit(header).alias("value"))
+    files = lines.select(begun.alias("value")).unionAll(bare)
+    files.write.mode("overwrite").option("maxRecordsPerFile", CSV_FILE_ROWS).text(path)
 
 
 def duckdb_csv_sql(dataset: str) -> str:
