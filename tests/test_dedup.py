@@ -6,6 +6,7 @@ from tarmac.operators.dedup import (
     quarantine_conflicts,
     resolve_by_key,
     resolve_duplicates,
+    resolve_variants,
 )
 
 
@@ -111,3 +112,21 @@ def test_fingerprints_tell_null_from_its_place_and_text(spark):
     assert rows(resolved, "k", "copies", "duplicated", "conflict") == [
         ("k", 2, True, True), ("q", 2, False, False), ("z", 2, True, True),
     ]
+
+
+def test_keys_with_several_rows_are_stored_once_for_both_joins(spark, tmp_path):
+    variants = spark.range(200).selectExpr(
+        "if(id % 50 = 7, cast(null as string), concat('k', id - id % 40 % 2)) as k", "id as v", "1 + id % 3 as copies"
+    )
+    stored = []
+
+    def write(keys):
+        stored.append(keys)
+        keys.write.parquet(f"{tmp_path}/{len(stored)}")
+        return spark.read.parquet(f"{tmp_path}/{len(stored)}")
+
+    kept = resolve_variants(variants, "k", write=write)
+    assert rows(kept) == rows(resolve_variants(variants, "k"))
+    assert len(stored) == 1
+    # Few keys are sent to the rows: no row is moved but those of such keys.
+    assert "SortMergeJoin" not in final_plan(kept) and "ENSURE_REQUIREMENTS" in final_plan(kept)

@@ -72,6 +72,14 @@ def test_keys_are_resolved_by_hash_aggregation(airline):
         assert "partial_count" in text
 
 
+def test_distinct_rows_stay_where_they_are_to_be_resolved(airline):
+    for build in (airline._resolve_flights_watched, airline._resolve_passengers):
+        text = executed(_building(airline, build))
+        # The keys of several rows, counted once and stored, are few; only their rows are moved.
+        assert "several_" in text and "partial_count" not in text and "SortMergeJoin" not in text
+        assert text.count("Exchange hashpartitioning") == text.count("Window [") == 1
+
+
 def test_raw_rows_are_shuffled_once(airline):
     text = executed(_building(airline, airline._flight_variants))
     assert text.count("Exchange") == 1 and "partial_count" in text and "SortAggregate" not in text
