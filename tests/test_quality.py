@@ -89,3 +89,13 @@ def test_conform_casts_leniently(spark):
     assert rows(out) == [(7, "x"), (8, "z"), (None, "y")]
     with pytest.raises(SchemaError, match="age"):
         require_types(df, "passengers", RAW["passengers"])
+
+
+def test_amounts_are_parsed_once(spark):
+    df = spark.createDataFrame([("1.5",), (" 2 ",), ("x",), (None,), ("1e400",), ("9" * 30,)], "amount string")
+    parsed = parse_amount(df, "amount")
+    assert rows(parsed, "amount_parsed", "amount_status") == sorted(
+        [(1.5, "VALID"), (2.0, "VALID"), *[(None, "MARKED_INVALID")] * 3, (None, None)], key=repr
+    )
+    text = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("RLIKE") == 1 and text.count("trim(") == 1
