@@ -133,3 +133,16 @@ def test_a_folder_is_replaced_whole(spark, tmp_path):
     assert not (tmp_path / "new").exists()
     replace_folder(spark, str(tmp_path / "old"), str(tmp_path / "deep" / "first"))
     assert spark.read.parquet(str(tmp_path / "deep" / "first")).count() == 2
+
+
+def test_exported_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A file is read by one task, as its values may hold line breaks."""
+    monkeypatch.setattr("tarmac.sources.curated.CSV_FILE_ROWS", 10, raising=False)
+    df = spark.range(95).selectExpr("concat('a', id, chr(10), 'b') as k", "id % 2 as half").coalesce(1)
+    export_csv(df, f"{tmp_path}/whole")
+    files = list((tmp_path / "whole").glob("part-*"))
+    assert len(files) == 10 and all(f.read_text().startswith("k,half\n") for f in files)
+    assert rows(read_frame(spark, f"{tmp_path}/whole", "csv")) == rows(df.select("k", df.half.cast("string")))
+    export_csv(df, f"{tmp_path}/halves", ["half"])
+    assert [len(list(h.glob("part-*"))) for h in (tmp_path / "halves").glob("half=*")] == [5, 5]
+    assert read_frame(spark, f"{tmp_path}/halves", "csv").count() == 95
