@@ -17,9 +17,11 @@ context: ``width - gram`` bytes before it and ``width`` bytes from it on, within
    them are sorted in a task, the suffixes from the anchor on and the reversed texts before it,
    by deep-shallow sorting: multikey quicksort to a shallow depth, then blind tries. The common
    prefixes of both orders tell how far the string shared with any other reaches.
-4. Larger groups are not collected: halving the places that a window may take around the anchor,
-   each half is kept while the bytes common to its windows repeat, and is decided at once when all
-   bytes of its windows repeat. Rows are those undecided, and one of each decided class to meet them.
+4. Larger groups are split first: the places that a window may take around the anchor are parted,
+   and contexts that share a window of a part agree on the bytes common to its windows. Up to
+   ``group`` that agree are sorted as in 3. More are parted again; those that agree on all bytes of
+   the windows are decided at once, and one of them stays to meet the others. Until it is sorted a
+   context stays where it is: only hashes are shuffled, and bitmaps tell the tasks what they found.
 
 Equal texts are one text; if it is repeated all its windows are. Null and empty text, and text
 below ``width`` bytes, has nothing to remove. Repeated rows each get their row, null ids too. Only
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +47,10 @@ WIDTH, GRAM = 200, 32
 SIDE = 4096
 #: Different contexts of a gram that one task sorts.
 GROUP = 128
+#: Parts of the places of a window, when more contexts agree.
+PARTS = 4
+#: Keys that a task puts in a filter of one round.
+FILTER_KEYS = 1 << 16
 #: Contexts that a task remembers to have sent; it forgets them all when there are more.
 SENT = 200_000
 
@@ -147,14 +154,15 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
         F.min("ref").alias("lo"), F.max("ref").alias("hi"), F.min("sides").alias("sides")
     )
     contexts = stage.table("contexts", contexts)
-    # Grams with several contexts, one of which has a single place.
+    # Grams with several contexts, one of which has a single place; large groups are known in any case,
+    # as a filter may let them pass.
     mixed = contexts.groupBy("gram").agg(
         F.count("*").alias("n"), F.max(F.expr("lo = hi")).alias("open")
     )
-    mixed = stage.table("mixed", mixed.where("n > 1 and open").select("gram", "n"))
+    mixed = stage.table("mixed", mixed.where(f"n > 1 and open or n > {group}"))
     # A gram that the filter lets pass wrongly has nothing to find: its contexts are alone, or repeat.
-    several = spark.sparkContext.broadcast(key_filter(mixed, "gram"))
-    chosen = _filtered(contexts.select("gram", F.col("lo").alias("ref")), several, 0)
+    several = spark.sparkContext.broadcast(key_filter(mixed.where("open"), "gram"))
+    chosen = _filtered(contexts.select("gram", F.col("lo").alias("ref")), 0, several)
     wanted = spark.sparkContext.broadcast(key_filter(chosen, "ref"))
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,19 +179,16 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
                     pa.array(pieces, pa.binary()), hot.value.maybe(found.gram[kept]),
                 )
 
-    # Only pieces that may belong to a large group are joined with those; the others, and the few
-    # that a filter let pass wrongly, make small groups, which are dealt out once.
+    # Small groups that the filter takes for large ones are decided as well as those.
     crowded = mixed.where(F.col("n") > group).select("gram")
     hot = spark.sparkContext.broadcast(key_filter(crowded, "gram"))
     pieces = texts.mapInArrow(bytes_of, "gram long, ctx long, l long, bytes binary, big boolean")
     pieces = stage.table("pieces", pieces)
     for used in (several, wanted, hot):
         used.destroy()
-    few = pieces.where("not big").unionByName(
-        pieces.where("big").join(crowded, "gram", "left_anti")
-    )
     small = (
-        few.select("gram", "ctx", "l", "bytes")
+        pieces.where("not big")
+        .select("gram", "ctx", "l", "bytes")
         .repartition("gram")
         .sortWithinPartitions("gram", "ctx")
         .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
@@ -195,14 +200,13 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
         (F.col("sides") % SIDE).cast("long").alias("r"),
     )
     reach = whole.unionByName(small)
-    large = pieces.where("big").drop("big").join(crowded, "gram", "left_semi")
-    for part in _halved(large, stage, width, gram):
+    for part in _parted(pieces.where("big"), stage, width, gram, group):
         reach = reach.unionByName(part)
     reach = stage.table("reach", reach.where(f"l + r >= {width}"))
-    stage.drop("pieces", "mixed", "contexts", *stage.names("halved-"), *stage.names("sure-"))
+    stage.drop("pieces", "mixed", "contexts", *stage.names("sorted-"), *stage.names("sure-"))
     # Only anchors whose context may reach far enough meet the contexts that do.
     far = spark.sparkContext.broadcast(key_filter(reach, "ctx"))
-    found = _filtered(anchors.select("ctx", "gram", "t", "at"), far, 0)
+    found = _filtered(anchors.select("ctx", "gram", "t", "at"), 0, far)
     spans = found.join(reach, ["gram", "ctx"])
     # A text has as many spans as repeated anchors; only distinct ones are kept.
     return spans.groupBy("t").agg(
@@ -212,13 +216,16 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     )
 
 
-def _filtered(rows: DataFrame, bits, column: int) -> DataFrame:
-    """The rows whose key in this column may be in a broadcast filter."""
+def _filtered(rows: DataFrame, column: int, *inside, outside=None) -> DataFrame:
+    """The rows whose key in this column may be in some broadcast filters, and is surely not in another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(column).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(bits.value.maybe(keys)))
+            kept = np.ones(len(keys), dtype=bool) if outside is None else ~outside.value.maybe(keys)
+            for bits in inside:
+                kept &= bits.value.maybe(keys)
+            yield batch.filter(pa.array(kept))
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -236,22 +243,27 @@ def _unsent(grams: np.ndarray, contexts: np.ndarray, sent: set[tuple[int, int]])
 
 
 def _sorted_groups(width: int):
-    """For batches in order of gram and context: how far each context repeats, to either side."""
+    """For batches in order of gram and context: how far each context repeats, to either side.
+
+    Groups may be parts of a gram's contexts: the first column names the group, a fifth the gram.
+    """
 
-    def solve(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+    def solve(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
         if len(rows) < 2:
             return []
-        after = deepshallow.common_prefixes([b[l:] for _, _, l, b in rows])
-        before = deepshallow.common_prefixes([b[:l][::-1] for _, _, l, b in rows])
+        after = deepshallow.common_prefixes([b[l:] for _, _, l, b, *_ in rows])
+        before = deepshallow.common_prefixes([b[:l][::-1] for _, _, l, b, *_ in rows])
         enough = after + before >= width
         np.fill_diagonal(enough, False)
         left, right = np.where(enough, before, 0).max(axis=1), np.where(enough, after, 0).max(axis=1)
         return [
-            (g, c, int(x), int(y)) for (g, c, _, _), x, y in zip(rows, left, right) if x + y >= width
+            (gram[0] if gram else group, ctx, int(x), int(y))
+            for (group, ctx, _, _, *gram), x, y in zip(rows, left, right)
+            if x + y >= width
         ]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, int, bytes]] = []
+        waiting: list[tuple] = []
         for batch in batches:
             out: list[tuple[int, int, int, int]] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -273,15 +285,22 @@ def _found(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     )
 
 
-def _halved(pieces: DataFrame, stage: Stage, width: int, gram: int) -> Iterator[DataFrame]:
-    """Reach of the contexts of large groups, by halving the places of a window.
+def _parted(pieces: DataFrame, stage: Stage, width: int, gram: int, group: int) -> Iterator[DataFrame]:
+    """Reach of the contexts of large groups, by parting the places of a window.
 
     A window starts ``o`` bytes before the anchor, lo <= o <= hi. All windows of a range share
     the bytes from lo before the anchor to width - hi after it; together they cover those from hi
-    before to width - lo after it. Contexts that agree on the latter are decided. One of them
-    stays, closed, to meet the undecided, which may share part of its windows.
+    before to width - lo after it. Contexts that share a window agree on the former; up to ``group``
+    that do are sorted. Contexts of more that agree on the latter are decided. One of them stays,
+    closed, to meet the undecided, which may share part of its windows.
     """
-    rows = pieces.select(
+    context = pieces.sparkSession.sparkContext
+
+    def bitmap(keys: DataFrame, column: str):
+        return context.broadcast(key_filter(keys, column, per_task=FILTER_KEYS))
+
+    columns = ["gram", "ctx", "l", "r", "bytes", "lo", "hi", "open"]
+    rows = pieces.dropDuplicates(["gram", "ctx"]).select(
         "gram",
         "ctx",
         "l",
@@ -290,44 +309,80 @@ def _halved(pieces: DataFrame, stage: Stage, width: int, gram: int) -> Iterator[
         F.lit(0).alias("lo"),
         F.lit(width - gram).alias("hi"),
         F.lit(True).alias("open"),
-    ).dropDuplicates(["gram", "ctx"])
+    )
+    rest = stage.table("rest-0", rows)
     shared = F.expr(f"substring(bytes, cast(l - lo + 1 as int), lo + {width} - hi)")
     covered = F.expr(f"substring(bytes, cast(l - hi + 1 as int), hi + {width} - lo)")
+    step = f"cast(ceil((hi - lo + 1) / {PARTS}) as int)"
+    parts = F.expr(
+        f"explode(transform(sequence(0, {PARTS - 1}), i -> struct(lo + i * {step} as x, "
+        f"least(hi, lo + (i + 1) * {step} - 1) as y)))"
+    )
     round_ = 0
     while True:
-        rows = rows.where(f"lo <= l and hi >= {width} - r")
-        rows = rows.withColumn("key", F.xxhash64("gram", "lo", "hi", shared))
-        alive = rows.groupBy("key").agg(
-            F.min("ctx").alias("first"), F.max("ctx").alias("last"), F.max("open").alias("any_open")
+        rows = rest.withColumn("part", parts).withColumns({"lo": F.col("part.x"), "hi": F.col("part.y")})
+        rows = rows.where(f"lo <= hi and lo <= l and hi >= {width} - r")
+        rows = rows.select(F.xxhash64("gram", "lo", "hi", shared).alias("key"), *columns)
+        keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any_open"))
+        keys = stage.table("keys", keys.where(f"n > 1 and any_open or n > {group}"))
+        # Large ones are known in any case, as the filter of the others may let them pass.
+        alive = bitmap(keys.where("any_open"), "key")
+        large = bitmap(keys.where(F.col("n") > group), "key")
+        more = bool(keys.where(F.col("n") > group).where("any_open").take(1))
+        stage.drop("keys")
+        few = (
+            _filtered(rows.select("key", "ctx", "l", "bytes", "gram"), 0, alive, outside=large)
+            .repartition("key")
+            .sortWithinPartitions("key", "ctx")
+            .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
         )
-        alive = alive.where("first < last and any_open").select("key")
-        rows = stage.table(f"halved-{round_}", rows.join(alive, "key").drop("key"))
-        if not rows.take(1):
+        yield stage.table(f"sorted-{round_}", few)
+        if more:
+            full = F.expr(f"l >= hi and r >= {width} - lo")
+            key = F.when(full, F.xxhash64("gram", "lo", "hi", covered)).otherwise(F.xxhash64("ctx"))
+            rows = stage.table("many", _filtered(rows, 0, alive, large).withColumn("key", key))
+        alive.destroy()
+        large.destroy()
+        stage.drop(f"rest-{round_}")
+        if not more:
             return
-        full = F.expr(f"l >= hi and r >= {width} - lo")
-        rows = rows.withColumn(
-            "key", F.when(full, F.xxhash64("gram", "lo", "hi", covered)).otherwise(F.xxhash64("ctx"))
-        )
         same = rows.groupBy("key").agg(F.min("ctx").alias("first"), F.max("ctx").alias("last"))
-        rows = rows.join(same, "key").withColumn("sure", F.expr("first < last")).drop("key", "last")
-        rows = stage.table(f"sure-{round_}", rows)
-        yield rows.where("sure and open").select(
+        same = stage.table("same", same.where("first < last").select("key", "first"))
+        repeated = bitmap(same, "key")
+        # What may be decided is told from the keys, without the bytes.
+        told = _filtered(rows.drop("l", "r", "bytes"), 0, repeated).join(same, "key", "left")
+        told = stage.table("told", told)
+        decided = told.where("first is not null and open").select(
             "gram",
             "ctx",
             F.col("hi").cast("long").alias("l"),
             (F.lit(width) - F.col("lo")).cast("long").alias("r"),
         )
-        rest = rows.where("lo < hi and (not sure or ctx = first)")
-        halves = F.expr(
-            "explode(array(struct(lo as x, cast(floor((lo + hi) / 2) as int) as y), "
-            "struct(cast(floor((lo + hi) / 2) as int) + 1 as x, hi as y)))"
-        )
-        rows = rest.withColumn("open", F.expr("open and not sure")).withColumn("half", halves)
-        rows = rows.select(
-            "gram", "ctx", "l", "r", "bytes",
-            F.col("half.x").alias("lo"), F.col("half.y").alias("hi"), "open",
-        )
+        yield stage.table(f"sure-{round_}", decided)
+        own = F.xxhash64("key", "ctx").alias("own")
+        loose = bitmap(told.where("first is null").select(own), "own")
+        first = bitmap(told.where("ctx = first").select(own), "own")
+        rows = _going_on(rows.where("lo < hi").select("key", own, *columns), repeated, loose, first)
         round_ += 1
+        rest = stage.table(f"rest-{round_}", rows.drop("key", "own"))
+        for used in (repeated, loose, first):
+            used.destroy()
+        stage.drop("many", "same", "told")
+
+
+def _going_on(rows: DataFrame, repeated, loose, first) -> DataFrame:
+    """The undecided rows (key, own, ...), and the first of each decided class, which is closed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, own = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            undecided = ~repeated.value.maybe(key) | loose.value.maybe(own)
+            at = batch.schema.names.index("open")
+            still = pc.and_(batch.column(at), pa.array(undecided))
+            batch = batch.set_column(at, batch.schema.field(at), still)
+            yield batch.filter(pa.array(undecided | first.value.maybe(own)))
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def remove_repeats(

@@ -326,6 +326,33 @@ def test_a_task_sends_a_context_once(spark):
     assert rows_ == different > 0
 
 
+def test_contexts_of_large_groups_are_sorted_once_few_agree(spark, monkeypatch):
+    """A gram of many contexts, of which two at a time agree on more: bytes are not staged by the round."""
+    rng = random.Random(11)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    common, table = letters(30), []
+    for pair in range(20):
+        passage = letters(20) + common + letters(20)
+        table += [(2 * pair + k, letters(60) + passage + letters(60)) for k in range(2)]
+    staged = []
+
+    class Counted(Stage):
+        def table(self, name, df):
+            out = super().table(name, df)
+            if "bytes" in df.columns:
+                staged.append((name, out.count()))
+            return out
+
+    monkeypatch.setattr(suffixdedup, "Stage", Counted)
+    found = suffixdedup.remove_repeats(frame(spark, table), width=50, gram=12, group=4)
+    assert rows(found, *COLUMNS) == removed(table, 50)
+    pieces = dict(staged)["pieces"]
+    assert pieces >= 40 and sum(n for name, n in staged if name != "pieces") <= 2 * pieces
+
+
 def test_deep_shallow_order():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 60))) for _ in range(300)]
