@@ -23,6 +23,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tarmac.llm.shared import text_column, worker_table
+from tarmac.llm.shared import bound_batches, release_memory, text_column, worker_table
 
 CAPACITY = 1024
 PIECE = 256
@@ -104,13 +105,20 @@ class Encoder:
     """Token ids as the public tokenizer of ``path`` gives them, without special tokens added."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path = path
         self.chunks = ChunkIds(_ranked(path) or self._whole)
         with open(path, encoding="utf-8") as file:
             self.marks = [t["content"] for t in json.load(file).get("added_tokens", [])]
+        # Reading the file took more memory than what is kept of it.
+        release_memory()
+
+    @cached_property
+    def tokenizer(self):
+        """Only texts that are encoded whole need it, so it is loaded with the first of them."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -291,6 +299,7 @@ def pack_documents(
     ``tokenizer`` is the path of a byte-level tokenizer file, at the same place on every machine.
     Each window is filled without gaps from offset 0; ``ids`` is null without ``with_ids``.
     """
+    bound_batches(documents.sparkSession)
     rows = documents.select(doc_id, text_column(documents, text).alias("__text"))
     kind = rows.schema[0].dataType.simpleString()
     schema = (

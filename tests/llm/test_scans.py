@@ -7,11 +7,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import edge_rows, frame, rows, words
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, licenses, packing, topk
+from tarmac.llm import decontaminate, licenses, packing, shared, topk
 from tarmac.llm.license_rules import GATES, RULES, WHOLE_GATES
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -248,6 +249,35 @@ def test_packing_is_whole_and_tight(spark):
     assert len(windows) * 1024 <= 1.03 * total + 1024
 
 
+def test_plain_texts_need_no_whole_tokenizer():
+    encoder = packing.Encoder(TOKENIZER)
+    encoder(["plain words\nof a text", ""], 0)
+    assert "tokenizer" not in vars(encoder)
+    encoder(["two  blanks"], 0)
+    assert "tokenizer" in vars(encoder)
+
+
+def test_rows_reach_python_in_bounded_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    table = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('word ', 2000)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["size", "n"])
+
+    try:
+        spark.conf.unset(setting)
+        packing.pack_documents(table, TOKENIZER)
+        found = table.mapInArrow(sizes, "size long, n long").collect()
+        assert sum(r.n for r in found) == 3000
+        assert max(r.size for r in found) < shared.BATCH_BYTES + 100_000
+        spark.conf.set(setting, 1 << 20)
+        packing.pack_documents(table, TOKENIZER)
+        assert spark.conf.get(setting) == str(1 << 20)
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_packing_of_nothing(spark, empty):
     assert packing.pack_documents(empty, TOKENIZER).count() == 0
 
