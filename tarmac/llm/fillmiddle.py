@@ -107,7 +107,8 @@ class Units:
         # The first place at which the wanted number of units has begun, less the byte there.
         while (open_ := low < high).any():
             middle = (low + high) >> 1
-            reached = self._boundaries(middle + 1) >= wanted
+            # A text that is done, at the end of the slice, has no place behind it.
+            reached = self._boundaries(np.minimum(middle + 1, high)) >= wanted
             high = np.where(open_ & reached, middle, high)
             low = np.where(open_ & ~reached, middle + 1, low)
         low = np.where(units >= self.count, self.offsets[1:], low)

@@ -52,6 +52,21 @@ def test_middle_equals_units_listed(spark):
     assert {r[2] for r in got} == {"plain", "spm", "psm"}
 
 
+@pytest.mark.parametrize("last", ["", " ", "x", "é"])
+def test_a_cut_at_the_end_of_a_slice_of_any_size(last):
+    for size in range(140):
+        texts = ["a " * (size // 2) + "b" * (size % 2), last]
+        raw = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, raw)])
+        units = fillmiddle.Units(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
+        listed = [UNIT.findall(t) for t in texts]
+        assert units.count.tolist() == [len(x) for x in listed]
+        for taken in (0, 1, 3, 200):
+            places = units.cut(np.minimum(taken, units.count)).tolist()
+            ends = [len("".join(x[:taken]).encode()) for x in listed]
+            assert places == [a + b for a, b in zip(offsets.tolist(), ends)]
+
+
 def test_middle_keeps_columns_and_rows(spark, edges, empty):
     keep = [c for c in edges.columns if c not in ("n", "text")]
     made = fillmiddle.fill_in_middle(edges, keep)
