@@ -1,7 +1,7 @@
 """Deep-shallow sorting of byte strings that share long prefixes.
 
-Multikey quicksort orders the strings byte by byte to a shallow depth. Groups that still agree
-there are ordered by a blind trie: a Patricia trie that keeps only the depth of each branching, so
+Multikey quicksort orders the strings by the bytes in which they differ, to a shallow depth beyond
+what all begin with. Groups that still agree there are ordered by a blind trie: a Patricia trie that keeps only the depth of each branching, so
 inserting a string costs one blind descent and one comparison with the leaf it ends at.
 """
 
@@ -73,41 +73,50 @@ class _BlindTrie:
 
 
 def sort(strings: list[bytes], shallow: int = SHALLOW) -> list[int]:
-    """The numbers of the strings in order; a string sorts before those it begins."""
+    """The numbers of the strings in order; a string sorts before those it begins.
+
+    What all strings of a group begin with is passed over, as the least and the greatest tell it.
+    """
     out: list[int] = []
-    todo = [(list(range(len(strings))), 0)]
+    todo = [list(range(len(strings)))]
+    limit = None
     while todo:
-        group, depth = todo.pop()
+        group = todo.pop()
         if len(group) == 1:
             out.append(group[0])
-        elif depth >= shallow:
+            continue
+        own = [strings[i] for i in group]
+        least, greatest = min(own), max(own)
+        if least == greatest:
+            out.extend(group)
+            continue
+        depth = common_prefix(least, greatest)
+        if limit is None:
+            limit = depth + shallow
+        if depth >= limit:
             trie = _BlindTrie(strings)
             for i in group:
                 trie.insert(i)
             out.extend(trie.order())
-        else:
-            pivot = _byte(strings[group[len(group) // 2]], depth)
-            less, same, more = [], [], []
-            for i in group:
-                b = _byte(strings[i], depth)
-                (less if b < pivot else same if b == pivot else more).append(i)
-            if more:
-                todo.append((more, depth))
-            if pivot == _END:
-                out_now = same
-                if less:  # nothing sorts before the end of a string
-                    raise AssertionError("a byte below the end mark")
-                out.extend(out_now)
-            else:
-                todo.append((same, depth + 1))
-                if less:
-                    todo.append((less, depth))
+            continue
+        # The byte that decides; it is empty behind the end, and so the least.
+        bytes_ = [s[depth : depth + 1] for s in own]
+        pivot = bytes_[len(group) // 2]
+        parts = (
+            [i for i, b in zip(group, bytes_) if b < pivot],
+            [i for i, b in zip(group, bytes_) if b == pivot],
+            [i for i, b in zip(group, bytes_) if b > pivot],
+        )
+        todo.extend(part for part in reversed(parts) if part)
     return out
 
 
 def common_prefixes(strings: list[bytes]) -> np.ndarray:
     """The common prefix of every pair, from the sorted order and its neighbours' prefixes."""
     n = len(strings)
+    if n == 2:
+        both = common_prefix(*strings)
+        return np.array([[0, both], [both, 0]], dtype=np.int32)
     order = sort(strings)
     lcp = np.array(
         [common_prefix(strings[a], strings[b]) for a, b in zip(order, order[1:])], dtype=np.int32

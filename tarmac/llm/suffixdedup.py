@@ -51,9 +51,12 @@ GROUP = 128
 PARTS = 4
 #: Keys that a task puts in a filter of one round.
 FILTER_KEYS = 1 << 16
+#: Bytes of texts whose anchors are found at once; the arrays of so many stay in a core's cache.
+SLICE = 1 << 18
 #: Contexts that a task remembers to have sent; it forgets them all when there are more.
 SENT = 200_000
 
+_KEYS = [f"key{i}" for i in range(PARTS)]
 _ORDER_MASK = np.uint64((1 << 36) - 1 << 28)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -71,18 +74,23 @@ class Anchors:
         grams = max(0, n - gram + 1)
         h = wordhash.mix((sums[gram:] - sums[: grams]) * inverse[:grams]) if grams else sums[:0]
         span = width - gram + 1
-        least = (h & _ORDER_MASK) | np.arange(grams, dtype=np.uint64)
+        least = h & _ORDER_MASK
+        least |= np.arange(grams, dtype=np.uint64)
         reach = 1
         while 2 * reach <= span and len(least) > reach:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         if span > reach and len(least) > span - reach:
             least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
-        starts = np.arange(max(0, n - width + 1))
-        text = np.searchsorted(offsets, starts, side="right") - 1
-        inside = starts + width <= offsets[np.minimum(text + 1, len(offsets) - 1)]
-        chosen = (least[: len(starts)][inside] & ~_ORDER_MASK).astype(np.int64) if len(starts) else starts
-        at = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))] if len(chosen) else chosen
+        # Of each text its windows, and not those that begin in it and end in another.
+        sizes = np.diff(offsets)
+        windows = np.maximum(sizes - width + 1, 0)
+        inside = np.repeat(np.tile([True, False], len(sizes)), np.stack([windows, sizes - windows], 1).reshape(-1))
+        starts = max(0, n - width + 1)
+        chosen = least[:starts][inside[:starts]]
+        changes = np.ones(len(chosen), dtype=bool)
+        np.not_equal(chosen[1:], chosen[:-1], out=changes[1:])
+        at = (chosen[changes] & ~_ORDER_MASK).astype(np.int64)
         self.at = at
         self.text = np.searchsorted(offsets, at, side="right") - 1
         first, last = offsets[self.text], offsets[self.text + 1]
@@ -103,7 +111,7 @@ class Anchors:
 
 def _anchors(batch: pa.RecordBatch, width: int, gram: int) -> Iterator[tuple[Anchors, np.ndarray]]:
     hashes = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    for row, data, offsets in wordhash.text_slices(batch.column(1)):
+    for row, data, offsets in wordhash.text_slices(batch.column(1), SLICE):
         own = hashes[row : row + len(offsets) - 1]
         found = Anchors(data, offsets, width, gram)
         if len(found.at):
@@ -216,13 +224,13 @@ def repeated_spans(texts: DataFrame, stage: Stage, width: int, gram: int, group:
     )
 
 
-def _filtered(rows: DataFrame, column: int, *inside, outside=None) -> DataFrame:
-    """The rows whose key in this column may be in some broadcast filters, and is surely not in another."""
+def _filtered(rows: DataFrame, column: int, *inside) -> DataFrame:
+    """The rows whose key in this column may be in some broadcast filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(column).to_numpy(zero_copy_only=False)
-            kept = np.ones(len(keys), dtype=bool) if outside is None else ~outside.value.maybe(keys)
+            kept = np.ones(len(keys), dtype=bool)
             for bits in inside:
                 kept &= bits.value.maybe(keys)
             yield batch.filter(pa.array(kept))
@@ -251,14 +259,18 @@ def _sorted_groups(width: int):
     def solve(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
         if len(rows) < 2:
             return []
+        if len(rows) == 2:
+            (_, _, l, a, *_), (_, _, m, b, *_) = rows
+            x, y = (deepshallow.common_prefix(*p) for p in ((a[:l][::-1], b[:m][::-1]), (a[l:], b[m:])))
+            return [(*_of(row), x, y) for row in rows] if x + y >= width else []
         after = deepshallow.common_prefixes([b[l:] for _, _, l, b, *_ in rows])
         before = deepshallow.common_prefixes([b[:l][::-1] for _, _, l, b, *_ in rows])
         enough = after + before >= width
         np.fill_diagonal(enough, False)
         left, right = np.where(enough, before, 0).max(axis=1), np.where(enough, after, 0).max(axis=1)
         return [
-            (gram[0] if gram else group, ctx, int(x), int(y))
-            for (group, ctx, _, _, *gram), x, y in zip(rows, left, right)
+            (*_of(row), int(x), int(y))
+            for row, x, y in zip(rows, left, right)
             if x + y >= width
         ]
 
@@ -278,6 +290,11 @@ def _sorted_groups(width: int):
     return run
 
 
+def _of(row: tuple) -> tuple[int, int]:
+    """The gram and context of a row of a group."""
+    return (row[4] if len(row) > 4 else row[0]), row[1]
+
+
 def _found(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * 4
     return pa.RecordBatch.from_arrays(
@@ -310,20 +327,13 @@ def _parted(pieces: DataFrame, stage: Stage, width: int, gram: int, group: int)
         F.lit(width - gram).alias("hi"),
         F.lit(True).alias("open"),
     )
-    rest = stage.table("rest-0", rows)
-    shared = F.expr(f"substring(bytes, cast(l - lo + 1 as int), lo + {width} - hi)")
+    rest = stage.table("rest-0", _with_keys(rows, width))
     covered = F.expr(f"substring(bytes, cast(l - hi + 1 as int), hi + {width} - lo)")
-    step = f"cast(ceil((hi - lo + 1) / {PARTS}) as int)"
-    parts = F.expr(
-        f"explode(transform(sequence(0, {PARTS - 1}), i -> struct(lo + i * {step} as x, "
-        f"least(hi, lo + (i + 1) * {step} - 1) as y)))"
-    )
     round_ = 0
     while True:
-        rows = rest.withColumn("part", parts).withColumns({"lo": F.col("part.x"), "hi": F.col("part.y")})
-        rows = rows.where(f"lo <= hi and lo <= l and hi >= {width} - r")
-        rows = rows.select(F.xxhash64("gram", "lo", "hi", shared).alias("key"), *columns)
-        keys = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any_open"))
+        # Keys are stored beside the contexts, so that counting them reads no bytes.
+        keys = rest.select("open", F.explode(F.array(*_KEYS)).alias("key")).where("key is not null")
+        keys = keys.groupBy("key").agg(F.count("*").alias("n"), F.max("open").alias("any_open"))
         keys = stage.table("keys", keys.where(f"n > 1 and any_open or n > {group}"))
         # Large ones are known in any case, as the filter of the others may let them pass.
         alive = bitmap(keys.where("any_open"), "key")
@@ -331,7 +341,8 @@ def _parted(pieces: DataFrame, stage: Stage, width: int, gram: int, group: int)
         more = bool(keys.where(F.col("n") > group).where("any_open").take(1))
         stage.drop("keys")
         few = (
-            _filtered(rows.select("key", "ctx", "l", "bytes", "gram"), 0, alive, outside=large)
+            _dealt(rest, alive, large, small=True)
+            .select("key", "ctx", "l", "bytes", "gram")
             .repartition("key")
             .sortWithinPartitions("key", "ctx")
             .mapInArrow(_sorted_groups(width), "gram long, ctx long, l long, r long")
@@ -340,7 +351,8 @@ def _parted(pieces: DataFrame, stage: Stage, width: int, gram: int, group: int)
         if more:
             full = F.expr(f"l >= hi and r >= {width} - lo")
             key = F.when(full, F.xxhash64("gram", "lo", "hi", covered)).otherwise(F.xxhash64("ctx"))
-            rows = stage.table("many", _filtered(rows, 0, alive, large).withColumn("key", key))
+            rows = _dealt(rest, alive, large, small=False).withColumn("key", key)
+            rows = stage.table("many", rows)
         alive.destroy()
         large.destroy()
         stage.drop(f"rest-{round_}")
@@ -364,12 +376,55 @@ def _parted(pieces: DataFrame, stage: Stage, width: int, gram: int, group: int)
         first = bitmap(told.where("ctx = first").select(own), "own")
         rows = _going_on(rows.where("lo < hi").select("key", own, *columns), repeated, loose, first)
         round_ += 1
-        rest = stage.table(f"rest-{round_}", rows.drop("key", "own"))
+        rest = stage.table(f"rest-{round_}", _with_keys(rows.drop("key", "own"), width))
         for used in (repeated, loose, first):
             used.destroy()
         stage.drop("many", "same", "told")
 
 
+def _with_keys(rows: DataFrame, width: int) -> DataFrame:
+    """The rows with a key for each part of their places: gram, part, and what its windows share.
+
+    A key is null where the context has no window of the part.
+    """
+    step = f"cast(ceil((hi - lo + 1) / {PARTS}) as int)"
+    keys = {}
+    for i, name in enumerate(_KEYS):
+        x, y = f"(lo + {i} * {step})", f"least(hi, lo + {i + 1} * {step} - 1)"
+        shared = f"substring(bytes, cast(l - {x} + 1 as int), {x} + {width} - {y})"
+        keys[name] = F.expr(
+            f"if({x} <= {y} and {x} <= l and {y} >= {width} - r, xxhash64(gram, {x}, {y}, {shared}), null)"
+        )
+    return rows.withColumns(keys)
+
+
+def _dealt(rest: DataFrame, alive, large, small: bool) -> DataFrame:
+    """A row (key, ...) for each part of the contexts whose key is alive, in a small group or a large one.
+
+    Bytes reach a task once for all parts, and leave it for the parts that are wanted.
+    """
+    columns = [c for c in rest.columns if c not in _KEYS]
+    schema = rest.select(F.col(_KEYS[0]).alias("key"), *columns).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo, hi = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi"))
+            step = -((lo - hi - 1) // PARTS)
+            for i, name in enumerate(_KEYS):
+                key = batch.column(name)
+                there = key.is_valid().to_numpy(zero_copy_only=False)
+                key = pc.fill_null(key, 0).to_numpy(zero_copy_only=False)
+                at = np.flatnonzero(there & alive.value.maybe(key) & (large.value.maybe(key) != small))
+                part = batch.select(columns).take(pa.array(at))
+                ends = {"lo": lo + i * step, "hi": np.minimum(hi, lo + (i + 1) * step - 1)}
+                values = [
+                    pa.array(ends[c][at], pa.int32()) if c in ends else part.column(c) for c in columns
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(key[at]), *values], names=schema.names)
+
+    return rest.mapInArrow(run, schema)
+
+
 def _going_on(rows: DataFrame, repeated, loose, first) -> DataFrame:
     """The undecided rows (key, own, ...), and the first of each decided class, which is closed."""
 
@@ -385,6 +440,25 @@ def _going_on(rows: DataFrame, repeated, loose, first) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
+def _runs(spans: pa.ListArray) -> tuple[list[int], list[int], list[int]]:
+    """The maximal runs of each row's spans: where those of a row begin and end, first and last bytes.
+
+    Rows are parted by 2**40, so that one order and one running maximum do for all.
+    """
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    first, last = (x.to_numpy(zero_copy_only=False) for x in spans.flatten().flatten())
+    row = np.repeat(np.arange(len(spans), dtype=np.int64), sizes) << 40
+    order = np.argsort(row + first, kind="stable")
+    first, reach = (row + first)[order], np.maximum.accumulate((row + last)[order])
+    new = np.ones(len(first), dtype=bool)
+    new[1:] = first[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    begins = np.searchsorted(first[at], np.arange(len(spans) + 1, dtype=np.int64) << 40)
+    mask = (1 << 40) - 1
+    ends = np.append(at[1:], len(new))[: len(at)] - 1
+    return begins.tolist(), (first[at] & mask).tolist(), (reach[ends] & mask).tolist()
+
+
 def remove_repeats(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -443,26 +517,22 @@ def remove_repeats(
             if not batch.num_rows:
                 continue
             ids, sizes, raws, shas, spans_, alls = batch.columns
+            begins, firsts, lasts = _runs(spans_)
             out = []
-            for size, raw, sha, found, everything in zip(
-                sizes.to_pylist(), raws, shas.to_pylist(), spans_.to_pylist(), alls.to_pylist()
+            for i, (size, raw, sha, everything) in enumerate(
+                zip(sizes.to_pylist(), raws, shas.to_pylist(), alls.to_pylist())
             ):
+                runs = range(begins[i], begins[i + 1])
                 if everything:
                     out.append((size, 1, b"", hashlib.sha256(b"").hexdigest()))
-                elif not found:
+                elif not runs:
                     digest = sha or hashlib.sha256(raw.as_buffer().to_pybytes()).hexdigest()
                     out.append((0, 0, None, digest))
                 else:
                     own = raw.as_buffer().to_pybytes()
-                    pieces, at, spans_left = [], 0, 0
-                    for first, last in sorted((s["first"], s["last"]) for s in found):
-                        if first > at or not spans_left:
-                            pieces.append(own[at:first])
-                            spans_left += 1
-                        at = max(at, last)
-                    pieces.append(own[at:])
-                    kept = b"".join(pieces)
-                    out.append((size - len(kept), spans_left, kept, hashlib.sha256(kept).hexdigest()))
+                    bounds = zip([0, *(lasts[k] for k in runs)], [*(firsts[k] for k in runs), size])
+                    kept = b"".join([own[a:b] for a, b in bounds])
+                    out.append((size - len(kept), len(runs), kept, hashlib.sha256(kept).hexdigest()))
             removed, n_spans, kept, digests = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [

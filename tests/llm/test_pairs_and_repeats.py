@@ -353,6 +353,61 @@ def test_contexts_of_large_groups_are_sorted_once_few_agree(spark, monkeypatch):
     assert pieces >= 40 and sum(n for name, n in staged if name != "pieces") <= 2 * pieces
 
 
+def test_bytes_of_large_groups_go_to_a_task_once_for_all_parts(spark, monkeypatch):
+    rng = random.Random(12)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    common = letters(30)
+    table = [(k, letters(60) + common + letters(60)) for k in range(40)]
+    table += [(40 + k, table[k][1][:100] + letters(30)) for k in range(6)]
+    docs, moved = frame(spark, table), {"contexts": 0, "sent": 0}
+    plain = type(docs).mapInArrow
+
+    def counted(self, f, schema, *args, **more):
+        if {"bytes", "ctx"} <= set(self.columns):
+            moved["sent"] += self.count()
+        return plain(self, f, schema, *args, **more)
+
+    class Counted(Stage):
+        def table(self, name, df):
+            out = super().table(name, df)
+            if name == "rest-0":
+                moved["contexts"] = out.count()
+            return out
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    monkeypatch.setattr(suffixdedup, "Stage", Counted)
+    found = suffixdedup.remove_repeats(docs, width=50, gram=12, group=4)
+    assert rows(found, *COLUMNS) == removed(table, 50)
+    print(moved)
+    assert moved["contexts"] >= 40 and moved["sent"] <= 2 * moved["contexts"]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_runs_of_spans(seed):
+    rng = random.Random(seed)
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+    table = []
+    for _ in range(rng.randrange(6)):
+        firsts = [rng.randrange(30) for _ in range(rng.randrange(6))]
+        table.append(rng.choice([None, [{"first": a, "last": a + rng.randrange(1, 9)} for a in firsts]]))
+    begins, firsts, lasts = suffixdedup._runs(pa.array(table, kind))
+    for i, spans in enumerate(table):
+        covered = {b for s in spans or [] for b in range(s["first"], s["last"])}
+        want = [b for b in range(40) if (b in covered) != (b - 1 in covered)]
+        got = [b for k in range(begins[i], begins[i + 1]) for b in (firsts[k], lasts[k])]
+        assert got == want
+
+
+def test_what_strings_begin_with_is_passed_over(monkeypatch):
+    """Contexts of a gram agree on all its bytes; these count for nothing in the shallow depth."""
+    strings = [b"begins alike" * 9 + bytes([a, b]) for a in (3, 1, 2) for b in (8, 9, 7)] + [b"begins alike" * 9]
+    monkeypatch.setattr(deepshallow, "_BlindTrie", None)
+    assert [strings[i] for i in deepshallow.sort(strings)] == sorted(strings)
+
+
 def test_deep_shallow_order():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 60))) for _ in range(300)]
